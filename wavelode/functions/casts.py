@@ -16,7 +16,7 @@ def _column(c):
 
 def lenient_double(c):
     c = _column(c)
-    return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def lenient_int(c):

@@ -1,63 +1,109 @@
 """Pearson correlation over the rows where both columns are present."""
 
-from functools import reduce
+import math
 from itertools import combinations
 
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import nan_to_null
 
-# Ten buffer fields per pair; generated code stops at about 100 fields.
-_PAIRS_PER_PASS = 9
+# Generated code for an aggregate is given up beyond about 100 buffer fields.
+_SUMS_PER_PASS = 90
 
+# A variance this small against the mean square is rounding, not spread.
+_CONSTANT = 1e-12
 
-def _pearson(a, b):
-    """Null, not an error, when either side is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.stddev_samp(F.when(both, a)) * F.stddev_samp(F.when(both, b))
-    return F.covar_samp(a, b) / F.nullif(spread, F.lit(0.0))
 
+def _passes(pairs, needs):
+    """Group pairs so that no group needs too many different sums."""
+    group, sums = [], set()
+    for pair in pairs:
+        if group and len(sums | needs(pair)) > _SUMS_PER_PASS:
+            yield group, sums
+            group, sums = [], set()
+        group.append(pair)
+        sums |= needs(pair)
+    if group:
+        yield group, sums
 
-def _pairs(df, pairs):
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        rows = [
-            F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                _pearson(nan_to_null(a), nan_to_null(b)).alias("r"),
-            )
-            for a, b in pairs[start:start + _PAIRS_PER_PASS]
-        ]
-        parts.append(df.agg(F.array(*rows).alias("r")).select(F.inline("r")))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+
+def _pearson(n, a, b, aa, bb, ab):
+    """Correlation from power sums; None when either side is constant."""
+    if not n or n < 2:
+        return None
+    var_a, var_b = aa / n - (a / n) ** 2, bb / n - (b / n) ** 2
+    if var_a <= _CONSTANT * aa / n or var_b <= _CONSTANT * bb / n:
+        return None
+    return max(-1.0, min(1.0, (ab / n - a / n * b / n) / math.sqrt(var_a * var_b)))
+
+
+def _correlations(df, pairs):
+    """{pair: r}, from sums around the column means.
+
+    A sum is named by its factors and by the columns that must be present. A
+    column without gaps needs no such mark, so pairs of complete columns share
+    all their sums but one and a complete table takes two scans.
+    """
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    first = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(nan_to_null(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.avg(nan_to_null(c)).alias(f"mean{i}") for i, c in enumerate(columns)],
+        *[F.min(nan_to_null(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(nan_to_null(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
+    ).first()
+    complete, centre = {}, {}
+    for i, c in enumerate(columns):
+        complete[c] = first[f"n{i}"] == first["rows"]
+        # The mean of a constant can miss it by a rounding error.
+        constant = first[f"lo{i}"] == first[f"hi{i}"]
+        centre[c] = first[f"lo{i}"] if constant else first[f"mean{i}"]
+
+    def sums(pair):
+        a, b = sorted(pair)
+        present = tuple(sorted(c for c in {a, b} if not complete[c]))
+        return [(f, present) for f in ((), (a,), (b,), (a, a), (b, b), (a, b))]
+
+    shifted = {c: F.col(f"x{i}") for i, c in enumerate(columns)}
+
+    def total(factors, present):
+        product = F.lit(1.0)
+        for c in factors:
+            product = product * shifted[c]
+        for c in present:
+            product = F.when(shifted[c].isNotNull(), product)
+        return F.sum(product)
+
+    result = {}
+    for group, needed in _passes(pairs, lambda pair: set(sums(pair))):
+        names = {key: f"s{i}" for i, key in enumerate(sorted(needed))}
+        used = sorted({columns.index(c) for pair in group for c in pair})
+        row = df.select(*[
+            (nan_to_null(columns[i]) - F.lit(centre[columns[i]])).alias(f"x{i}") for i in used
+        ]).agg(*[total(*key).alias(name) for key, name in names.items()]).first()
+        for pair in group:
+            result[pair] = _pearson(*[row[names[key]] for key in sums(pair)])
+    return result
 
 
 def corr_matrix(df, columns):
     """All ordered pairs, diagonal included, as (column_a, column_b, r)."""
-    upper = _pairs(df, [*combinations(columns, 2), *[(c, c) for c in columns]])
-    # Each pair is computed once and shown both ways round.
-    sides = F.when(
-        F.col("column_a") == F.col("column_b"),
-        F.array(F.struct("column_a", "column_b", "r")),
-    ).otherwise(
-        F.array(
-            F.struct("column_a", "column_b", "r"),
-            F.struct(
-                F.col("column_b").alias("column_a"),
-                F.col("column_a").alias("column_b"),
-                "r",
-            ),
-        )
+    pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
+    found = _correlations(df, pairs)
+    rows = [
+        (a, b, found[a, b] if (a, b) in found else found[b, a])
+        for a in columns for b in columns
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "column_a STRING, column_b STRING, r DOUBLE"
     )
-    return upper.select(F.inline(sides)).orderBy("column_a", "column_b")
 
 
 def corr_with(df, target, columns):
     """Correlation of each column with the target, strongest first."""
     others = [c for c in columns if c != target]
-    return (
-        _pairs(df, [(c, target) for c in others])
-        .select(F.col("column_a").alias("column"), "r")
-        .orderBy(F.abs("r").desc_nulls_last(), "column")
+    found = _correlations(df, [(c, target) for c in others])
+    rows = [(c, found[c, target]) for c in others]
+    return df.sparkSession.createDataFrame(rows, "column STRING, r DOUBLE").orderBy(
+        F.abs("r").desc_nulls_last(), "column"
     )

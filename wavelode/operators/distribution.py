@@ -43,37 +43,34 @@ def histogram(df, columns, bins):
             [], "column STRING, bin INT, lo DOUBLE, hi DOUBLE, count BIGINT"
         )
 
-    numbers = []
-    for i, (c, (_, low, high)) in enumerate(ranges.items()):
-        low, high, step = _edges(low, high, bins)
-        x = nan_to_null(c)
-        guess = F.least(
-            F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(float(bins))),
-            F.lit(bins - 1),
-        )
-        # Division can land one bin off next to an edge; the edges decide.
-        number = (
-            F.when(x < guess * F.lit(step) + F.lit(low), guess - 1)
-            .when(
-                (guess < bins - 1) & (x >= (guess + 1) * F.lit(step) + F.lit(low)),
-                guess + 1,
-            )
-            .otherwise(guess)
-        )
-        numbers.append(F.when(x.isNotNull(), number + F.lit(i * bins)).alias(f"b{i}"))
-
+    edges = [_edges(low, high, bins) for _, low, high in ranges.values()]
+    low, high, step = (
+        F.get(F.array(*[F.lit(e[k]) for e in edges]), F.col("c")) for k in range(3)
+    )
+    x, guess = F.col("x"), F.col("guess")
+    # Division can land one bin off next to an edge; the edges decide.
+    number = (
+        F.when(x < guess * step + low, guess - 1)
+        .when((guess < bins - 1) & (x >= (guess + 1) * step + low), guess + 1)
+        .otherwise(guess)
+    )
     counted = (
-        df.select(F.explode(F.array(*numbers)).alias("slot"))
-        .filter(F.col("slot").isNotNull())
-        .groupBy("slot")
+        df.select(F.posexplode(F.array(*[nan_to_null(c) for c in ranges])).alias("c", "x"))
+        .filter(x.isNotNull())
+        .select(
+            "c", "x",
+            F.least(
+                F.floor((x - low) / (high - low) * F.lit(float(bins))), F.lit(bins - 1)
+            ).alias("guess"),
+        )
+        .groupBy((F.col("c") * bins + number).alias("slot"))
         .agg(F.count("*").alias("count"))
     )
     slots = []
-    for i, (c, (_, low, high)) in enumerate(ranges.items()):
-        low, high, step = _edges(low, high, bins)
+    for i, (c, (least, greatest, width)) in enumerate(zip(ranges, edges)):
         for b in range(bins):
-            upper = high if b == bins - 1 else (b + 1) * step + low
-            slots.append((i * bins + b, c, b, b * step + low, upper))
+            upper = greatest if b == bins - 1 else (b + 1) * width + least
+            slots.append((i * bins + b, c, b, b * width + least, upper))
     frame = spark.createDataFrame(
         slots, "slot BIGINT, column STRING, bin INT, lo DOUBLE, hi DOUBLE"
     )
@@ -96,22 +93,17 @@ class _Target:
         self.below, self.inside = 0, count
         self.value = None
 
-    def values(self):
-        """The column's values within the bounds, null elsewhere."""
-        x = nan_to_null(self.column)
-        keep = F.lit(True)
-        if self.low is not None:
-            keep = keep & (x > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (x < F.lit(self.high))
-        return F.when(keep, x)
+    def bounds(self):
+        return self.column, self.low, self.high
+
+    def offset(self):
+        return self.rank - self.below
 
     def narrow(self, cut, less, equal):
         """Use the exact number of inside values below and equal to ``cut``."""
-        offset = self.rank - self.below
-        if offset < less:
+        if self.offset() < less:
             self.high, self.inside = cut, less
-        elif offset < less + equal:
+        elif self.offset() < less + equal:
             self.value = cut
         else:
             self.low = cut
@@ -119,67 +111,121 @@ class _Target:
             self.inside -= less + equal
 
 
-def _order_statistics(df, wanted, counts, inline_rows, accuracy):
-    """Exact values at the wanted (column, rank) pairs.
+def _inside(column, low, high):
+    """The column's values between exclusive bounds, null elsewhere."""
+    x = nan_to_null(column)
+    if low is not None:
+        x = F.when(x > F.lit(low), x)
+    if high is not None:
+        x = F.when(x < F.lit(high), x)
+    return x
+
+
+def _by_bounds(targets):
+    groups = {}
+    for t in targets:
+        groups.setdefault(t.bounds(), []).append(t)
+    return groups
+
 
-    Each round brackets a rank between two values taken from a fixed-size
-    sketch and counts exactly on which side it falls, which leaves a few
-    ten-thousandths of the rows. Once at most ``inline_rows`` are left the
-    value is read off them. No task holds more than a sketch or that many rows.
+# Rows drawn to choose where to cut, and how far a cut may be off for it.
+_SAMPLE = 1_000_000
+_MARGIN = 5 * math.sqrt(0.25 / _SAMPLE)
+
+
+def _narrow_all(df, targets, round_no):
+    """Bracket every target by two sampled values, then count its sides.
+
+    The sample only decides where to cut; the counts are of all rows, so a poor
+    cut costs another round and never a wrong value. Sampling keeps what map
+    tasks send to the merging task small however many tasks there are.
     """
-    targets = [_Target(c, rank, counts[c]) for c, rank in wanted]
-    while True:
-        large = [t for t in targets if t.value is None and t.inside > inline_rows]
-        if not large:
-            break
-        margin = 2.0 / accuracy
-        brackets = df.agg(*[
-            F.percentile_approx(
-                t.values(),
-                [
-                    max(0.0, (t.rank - t.below) / t.inside - margin),
-                    min(1.0, (t.rank - t.below) / t.inside + margin),
-                ],
-                accuracy,
-            ).alias(f"q{i}")
-            for i, t in enumerate(large)
-        ]).first()
-        cuts = [sorted(set(brackets[f"q{i}"])) for i in range(len(large))]
-        aggregates = []
-        for i, (t, pair) in enumerate(zip(large, cuts)):
-            x = t.values()
-            for j, cut in enumerate(pair):
-                aggregates += [
-                    F.count_if(x < F.lit(cut)).alias(f"less{i}_{j}"),
-                    F.count_if(x == F.lit(cut)).alias(f"equal{i}_{j}"),
-                ]
-        row = df.agg(*aggregates).first()
-        for i, (t, pair) in enumerate(zip(large, cuts)):
+    groups = list(_by_bounds(targets).items())
+    columns = sorted({t.column for t in targets})
+    drawn = df.select(*columns, F.rand(round_no).alias("__draw"))
+    sketches = []
+    for i, (bounds, members) in enumerate(groups):
+        inside = members[0].inside
+        margin = _MARGIN if inside > _SAMPLE else 1e-4
+        shares = [
+            min(1.0, max(0.0, t.offset() / inside + side))
+            for t in members for side in (-margin, margin)
+        ]
+        chosen = F.when(F.col("__draw") <= _SAMPLE / inside, _inside(*bounds))
+        sketches.append(F.percentile_approx(chosen, shares, 10_000).alias(f"q{i}"))
+    row = drawn.agg(*sketches).first()
+    cuts = [sorted(set(row[f"q{i}"] or [])) for i in range(len(groups))]
+    counts = [F.lit(0).alias("none")]
+    for i, (bounds, _) in enumerate(groups):
+        x = _inside(*bounds)
+        for j, cut in enumerate(cuts[i]):
+            counts += [
+                F.count_if(x < F.lit(cut)).alias(f"less{i}_{j}"),
+                F.count_if(x == F.lit(cut)).alias(f"equal{i}_{j}"),
+            ]
+    row = df.agg(*counts).first()
+    for i, (_, members) in enumerate(groups):
+        for t in members:
             start = t.below
-            for j, cut in enumerate(pair):
+            for j, cut in enumerate(cuts[i]):
                 if t.value is None and (t.high is None or cut < t.high):
                     passed = t.below - start
                     t.narrow(cut, row[f"less{i}_{j}"] - passed, row[f"equal{i}_{j}"])
 
-    small = [t for t in targets if t.value is None]
-    if small:
-        row = df.agg(*[
-            F.element_at(
-                F.array_sort(F.collect_list(t.values())), t.rank - t.below + 1
-            ).alias(f"v{i}")
-            for i, t in enumerate(small)
-        ]).first()
-        for i, t in enumerate(small):
-            t.value = row[f"v{i}"]
+
+def _read_off(df, targets):
+    """The values of targets with few candidates left."""
+    groups = list(_by_bounds(targets).items())
+    row = df.agg(*[
+        F.array_sort(F.collect_list(_inside(*bounds))).alias(f"v{i}")
+        for i, (bounds, _) in enumerate(groups)
+    ]).select(*[
+        F.array(*[F.get(f"v{i}", F.lit(t.offset())) for t in members]).alias(f"v{i}")
+        for i, (_, members) in enumerate(groups)
+    ]).first()
+    for i, (_, members) in enumerate(groups):
+        for t, value in zip(members, row[f"v{i}"]):
+            t.value = value
+
+
+def _order_statistics(df, wanted, counts, inline_rows):
+    """Exact values at the wanted (column, rank) pairs.
+
+    Each round leaves a few thousandths of the rows as candidates. Once at most
+    ``inline_rows`` are left the value is read off them, so no task ever holds
+    more than that many values or a sketch.
+    """
+    targets = [_Target(c, rank, counts[c]) for c, rank in wanted]
+    round_no = 0
+    while True:
+        unsolved = [t for t in targets if t.value is None]
+        large = [t for t in unsolved if t.inside > inline_rows]
+        if not large:
+            break
+        _narrow_all(df, large, round_no)
+        round_no += 1
+    if unsolved:
+        _read_off(df, unsolved)
     return {(t.column, t.rank): t.value for t in targets}
 
 
-def exact_quantiles(df, columns, probabilities, inline_rows=100_000, accuracy=10_000):
-    """Exact quantiles with linear interpolation: (column, probability, value)."""
+def _rank(probability, count, interpolate):
+    """Fractional position of a quantile among ``count`` sorted values."""
+    if interpolate:
+        return probability * (count - 1)
+    return max(math.ceil(probability * count) - 1, 0)
+
+
+def exact_quantiles(df, columns, probabilities, interpolate=True, inline_rows=100_000):
+    """Exact quantiles: (column, probability, value).
+
+    With ``interpolate`` a quantile may lie between two values, otherwise it is
+    the least value with at least that share of the rows at or below it.
+    """
     columns = [columns] if isinstance(columns, str) else list(columns)
     counts = {c: n for c, (n, _, _) in value_range(df, columns).items()}
     positions = {
-        (c, p): p * (counts[c] - 1)
+        (c, p): _rank(p, counts[c], interpolate)
         for c in columns for p in probabilities if counts[c]
     }
     wanted = sorted({
@@ -187,7 +233,7 @@ def exact_quantiles(df, columns, probabilities, inline_rows=100_000, accuracy=10
         for (c, _), position in positions.items()
         for rank in (math.floor(position), math.ceil(position))
     })
-    found = _order_statistics(df, wanted, counts, inline_rows, accuracy) if wanted else {}
+    found = _order_statistics(df, wanted, counts, inline_rows) if wanted else {}
     rows = []
     for c in columns:
         for p in probabilities:

@@ -14,6 +14,7 @@ def regression_metrics(predictions, columns, label=LABEL):
         error = y - F.col(column)
         rows.append(F.struct(
             F.lit(name).alias("model"),
+            F.count(error).alias("rows"),
             F.sqrt(F.avg(error * error)).alias("rmse"),
             F.avg(F.abs(error)).alias("mae"),
             (

@@ -1,5 +1,7 @@
 """The five regressors, their training and scoring."""
 
+from contextlib import contextmanager
+
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -54,15 +56,27 @@ def regressors(label=LABEL, max_bins=32, trees=100, rounds=100, features="featur
     }
 
 
-def fit_all(train, estimators):
-    """Fit each estimator on the same training table, read once and kept."""
-    used = {e.getFeaturesCol() for e in estimators.values()}
-    used |= {e.getLabelCol() for e in estimators.values()}
-    kept = train.select(*sorted(used)).persist()
+@contextmanager
+def kept(df):
+    """Hold a table that several fits read; lost parts are computed again."""
+    df = df.persist()
     try:
-        return {name: estimator.fit(kept) for name, estimator in estimators.items()}
+        yield df
     finally:
-        kept.unpersist()
+        df.unpersist()
+
+
+def training_view(vectors, estimators):
+    """Only the columns the estimators read."""
+    used = {e.getFeaturesCol() for e in estimators.values()}
+    used |= {e.getLabelCol() for e in estimators.values()}
+    return vectors.select(*sorted(used))
+
+
+def fit_all(vectors, estimators):
+    """Fit each estimator on the same table, computed once."""
+    with kept(training_view(vectors, estimators)) as train:
+        return {name: estimator.fit(train) for name, estimator in estimators.items()}
 
 
 def score(model, df):

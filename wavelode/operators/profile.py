@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import nan_to_null
+from wavelode.operators.distribution import exact_quantiles
 
 # Generated code for an aggregate is given up beyond about 100 buffer fields,
 # so wide profiles are computed in groups of columns.
-_COLUMNS_PER_PASS = 10
+_COLUMNS_PER_PASS = 11
 
 
 def _long(df, rows):
@@ -58,26 +59,22 @@ def shape_stats(df, columns):
     return _in_passes(df, columns, row)
 
 
-def approx_medians(df, columns, accuracy=10000):
-    """Median by a mergeable sketch of fixed size."""
+def medians(df, columns):
+    """Lower median per column: a value of the column, NaN counted as missing.
 
-    def row(i, c):
-        return F.struct(
-            F.lit(i).alias("column_no"),
-            F.lit(c).alias("column"),
-            F.percentile_approx(c, 0.5, accuracy).cast("double").alias("median"),
-        )
-
-    return _in_passes(df, columns, row, per_pass=len(columns))
+    Exact, unlike a percentile sketch, and cheaper on very many partitions,
+    each of which would send its sketch to one task.
+    """
+    values = exact_quantiles(df, columns, [0.5], interpolate=False)
+    return values.select("column", F.col("value").alias("median"))
 
 
-def numeric_profile(df, columns, accuracy=10000):
-    """describe_numeric, approx_medians and shape_stats side by side."""
-    keys = ["column_no", "column"]
+def numeric_profile(df, columns):
+    """describe_numeric, medians and shape_stats side by side."""
     return (
         describe_numeric(df, columns)
-        .join(approx_medians(df, columns, accuracy), keys)
-        .join(shape_stats(df, columns), keys)
+        .join(F.broadcast(medians(df, columns)), "column")
+        .join(shape_stats(df, columns).drop("column_no"), "column")
         .orderBy("column_no")
     )
 
@@ -127,13 +124,11 @@ def schema_profile(df):
 
 def mean_and_median(df, columns):
     """Mean and exact median per column, NaN counted as missing."""
-    from wavelode.operators.distribution import exact_quantiles
-
-    medians = exact_quantiles(df, columns, [0.5]).select(
+    markers = exact_quantiles(df, columns, [0.5]).select(
         "column", F.col("value").alias("median")
     )
 
     def row(i, c):
         return F.struct(F.lit(c).alias("column"), F.avg(nan_to_null(c)).alias("mean"))
 
-    return _in_passes(df, columns, row).join(F.broadcast(medians), "column")
+    return _in_passes(df, columns, row).join(F.broadcast(markers), "column")

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from wavelode.functions.hashing import hash_bucket
+
 
 def not_null(c):
     return f"`{c}` IS NOT NULL"
@@ -106,19 +108,36 @@ def first_per_key(df, keys, order):
     )
 
 
-def dedupe(df, keys, order=None, watermark=None):
+def dedupe(df, keys, order=None, watermark=None, spread=None):
     """One row per key.
 
-    With ``order`` (batch only) the survivor is the first row in that order,
-    otherwise any. ``watermark`` is a (timestamp column, delay) pair which
-    bounds the state of a stream: copies further apart than the delay survive.
+    Batch: the survivor is the first row in ``order``, otherwise any. Whole rows
+    go through the same plan either way, as it moves them faster than an
+    aggregate would.
+
+    Stream: ``watermark`` is a (timestamp column, delay) pair which bounds the
+    state; copies further apart than the delay survive. ``spread`` is a
+    (columns, parts) pair: copies of a key are first reduced in ``parts``
+    places, chosen by the hash of columns that differ between copies, so one
+    heavy key does not load one task. It keeps a second entry per key.
     """
-    if watermark is not None and df.isStreaming:
-        column, delay = watermark
-        return df.withWatermark(column, delay).dropDuplicatesWithinWatermark(keys)
-    if order is not None and not df.isStreaming:
-        return first_per_key(df, keys, order)
-    return df.dropDuplicates(keys)
+    if not df.isStreaming:
+        if set(df.columns) == set(keys):
+            return df.dropDuplicates(keys)
+        return first_per_key(df, keys, order or keys[:1])
+    if watermark is not None:
+        df = df.withWatermark(*watermark)
+
+    def distinct(rows, by):
+        if watermark is not None:
+            return rows.dropDuplicatesWithinWatermark(by)
+        return rows.dropDuplicates(by)
+
+    if spread is not None:
+        columns, parts = spread
+        marked = df.withColumn("__part", hash_bucket(columns, parts))
+        df = distinct(marked, [*keys, "__part"]).drop("__part")
+    return distinct(df, keys)
 
 
 def latest_per_key(df, keys, order):

@@ -12,6 +12,9 @@ from wavelode.operators.quality import (
 
 EVENT_KEY = ["track_id", "event_time"]
 
+# Copies of one event differ in their place in the message source.
+COPY_SPREAD = (["partition", "offset"], 16)
+
 # The measures of the Gold summary and their digits.
 GOLD_MEANS = {"popularity": 2, "energy": 4, "danceability": 4}
 
@@ -25,10 +28,10 @@ def timed(bronze_rows):
     return bronze_rows.withColumn("event_timestamp", event_timestamp("event_time"))
 
 
-def silver(bronze_rows, now=None, order=None, watermark=None):
+def silver(bronze_rows, now=None, order=None, watermark=None, spread=COPY_SPREAD):
     """Valid events, one per track and event time."""
     valid = passing(timed(bronze_rows), SILVER_RULES)
-    unique = dedupe(valid, EVENT_KEY, order=order, watermark=watermark)
+    unique = dedupe(valid, EVENT_KEY, order, watermark, spread)
     return stamp(
         unique.withColumn("explicit_int", flag_int("explicit")),
         "silver_ingestion_time", now,

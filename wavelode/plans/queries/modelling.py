@@ -14,6 +14,7 @@ from wavelode.operators.evaluation import (
     actual_vs_predicted, compare_models, regression_metrics, residual_stats, residuals,
 )
 from wavelode.plans.queries.registry import load, query
+from wavelode.plans.queries.profiles import histogram_sql
 from wavelode.plans.queries.testbed import FEATURES_CTE, line_silver
 from wavelode.plans.training import (
     TOP_FEATURES, save_training, split_tracks, train_models, training_runs,
@@ -99,33 +100,33 @@ def hash_split_counts(spark, folder):
     )
 
 
-def _supplier_means(spark, folder):
-    """Price predicted by the mean of its supplier."""
-    lines = load(spark, folder, "lineitem").select("l_suppkey", "l_extendedprice")
-    means = lines.groupBy("l_suppkey").agg(F.avg("l_extendedprice").alias("prediction"))
-    return lines.join(means, "l_suppkey")
+def _priced(spark, folder):
+    """Price predicted by a straight line over quantity."""
+    return load(spark, folder, "lineitem").select(
+        "l_extendedprice", (F.col("l_quantity") * 1500.0 + 1000.0).alias("prediction")
+    )
 
 
-_MEANS_SQL = """
-p AS (SELECT l_extendedprice AS y, avg(l_extendedprice) OVER (PARTITION BY l_suppkey) AS f
+_PRICED_SQL = """
+p AS (SELECT l_extendedprice AS y, l_quantity * 1500.0::DOUBLE + 1000.0::DOUBLE AS f
   FROM lineitem),
 e AS (SELECT y, f, y - f AS r FROM p)
 """
 
 
 @query(
-    "metrics_group_mean",
-    f"""WITH {_MEANS_SQL} SELECT 'mean' AS model, round(sqrt(avg(r * r)), 4) AS rmse,
-      round(avg(abs(r)), 4) AS mae,
+    "regression_metrics",
+    f"""WITH {_PRICED_SQL} SELECT 'line' AS model, count(*) AS rows,
+      round(sqrt(avg(r * r)), 4) AS rmse, round(avg(abs(r)), 4) AS mae,
       round(1 - sum(r * r) / (var_pop(y) * count(*)), 6) AS r2,
       round(avg(abs(r)), 4) AS residual_abs_mean FROM e""",
 )
-def metrics_group_mean(spark, folder):
+def line_metrics(spark, folder):
     metrics = regression_metrics(
-        _supplier_means(spark, folder), {"mean": "prediction"}, "l_extendedprice"
+        _priced(spark, folder), {"line": "prediction"}, "l_extendedprice"
     )
     return metrics.select(
-        "model", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"),
+        "model", "rows", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"),
         F.round("r2", 6).alias("r2"),
         F.round("residual_abs_mean", 4).alias("residual_abs_mean"),
     )
@@ -133,23 +134,24 @@ def metrics_group_mean(spark, folder):
 
 @query(
     "residual_stats",
-    f"""WITH {_MEANS_SQL} SELECT abs(round(avg(r), 4)) AS residual_mean,
+    f"""WITH {_PRICED_SQL} SELECT round(avg(r), 4) AS residual_mean,
       round(stddev_samp(r), 4) AS residual_std, round(avg(abs(r)), 4) AS residual_abs_mean
     FROM e""",
 )
-def supplier_residual_stats(spark, folder):
-    stats = residual_stats(_supplier_means(spark, folder), "l_extendedprice")
-    return stats.select(
-        F.abs(F.round("residual_mean", 4)).alias("residual_mean"),
-        F.round("residual_std", 4).alias("residual_std"),
-        F.round("residual_abs_mean", 4).alias("residual_abs_mean"),
-    )
+def line_residual_stats(spark, folder):
+    stats = residual_stats(_priced(spark, folder), "l_extendedprice")
+    return stats.select(*[F.round(c, 4).alias(c) for c in stats.columns])
 
 
-@query("residual_histogram")
+@query(
+    "residual_histogram",
+    f"WITH {_PRICED_SQL} " + histogram_sql("r", 40, "e", "residual"),
+)
 def residual_histogram(spark, folder):
-    rows = residuals(_supplier_means(spark, folder), "l_extendedprice")
-    return histogram(rows, "residual", 40)
+    rows = residuals(_priced(spark, folder), "l_extendedprice")
+    return histogram(rows, "residual", 40).withColumns(
+        {c: F.round(c, 6) for c in ("lo", "hi")}
+    )
 
 
 def _price_points(spark, folder):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wavelode.operators.correlation import corr_matrix, corr_with
 from wavelode.operators.distribution import box_stats, exact_quantiles, histogram
 from wavelode.operators.profile import (
-    approx_medians, describe_numeric, distinct_counts, mean_and_median, null_profile,
+    describe_numeric, distinct_counts, mean_and_median, medians, null_profile,
     numeric_profile, schema_profile, shape_stats,
 )
 from wavelode.operators.sampling import sample_n
@@ -70,13 +70,14 @@ def lineitem_shape(spark, folder):
 
 
 @query(
-    "approx_medians",
-    """SELECT CAST(0 AS INT) AS column_no, 'l_quantity' AS "column",
-      quantile_disc(l_quantity, 0.5) AS median FROM lineitem
-    UNION ALL SELECT 1, 'l_discount', quantile_disc(l_discount, 0.5) FROM lineitem""",
+    "medians",
+    _union(
+        f"""SELECT '{c}' AS "column", quantile_disc({c}, 0.5) AS median FROM lineitem"""
+        for c in _MEASURES
+    ),
 )
 def lineitem_medians(spark, folder):
-    return approx_medians(load(spark, folder, "lineitem"), ["l_quantity", "l_discount"])
+    return medians(load(spark, folder, "lineitem"), _MEASURES)
 
 
 @query(
@@ -184,9 +185,9 @@ def target_correlations(spark, folder):
     return _rounded(rows, ["r"], 6)
 
 
-def _histogram_sql(column, bins, source):
+def histogram_sql(column, bins, source, name=None):
     return f"""
-    SELECT '{column}' AS "column", CAST(b AS INT) AS bin, round(b * step + lo, 6) AS lo,
+    SELECT '{name or column}' AS "column", CAST(b AS INT) AS bin, round(b * step + lo, 6) AS lo,
       round(CASE WHEN b = {bins} - 1 THEN hi ELSE (b + 1) * step + lo END, 6) AS hi,
       count(x) AS count
     FROM (SELECT min({column})::DOUBLE AS lo, max({column})::DOUBLE AS hi,
@@ -197,14 +198,14 @@ def _histogram_sql(column, bins, source):
     GROUP BY ALL"""
 
 
-@query("histogram", _histogram_sql("value", 50, "events"))
+@query("histogram", histogram_sql("value", 50, "events"))
 def value_histogram(spark, folder):
     return _rounded(histogram(load(spark, folder, "events"), "value", 50), ["lo", "hi"], 6)
 
 
 @query(
     "histograms",
-    _union(_histogram_sql(c, 50, "lineitem") for c in _MEASURES),
+    _union(histogram_sql(c, 50, "lineitem") for c in _MEASURES),
 )
 def measure_histograms(spark, folder):
     rows = histogram(load(spark, folder, "lineitem"), _MEASURES, 50)

@@ -33,7 +33,7 @@ def report(silver, keys=("track_id", "event_time"), label=LABEL):
         "schema": profile.schema_profile(silver),
         "describe": profile.describe_numeric(silver, numeric),
         "shape": profile.shape_stats(silver, numeric),
-        "approx_medians": profile.approx_medians(silver, numeric),
+        "medians": profile.medians(silver, numeric),
         "distinct": profile.distinct_counts(silver, names),
         "missing": profile.null_profile(silver),
         "histograms": histogram(silver, numeric, 50),

@@ -54,14 +54,19 @@ def train_models(train, test, label=LABEL, columns=FEATURE_COLUMNS,
     vectors = preparation.transform(train)
     if estimators is None:
         estimators = models.regressors(label, models.tree_bins(vectors), **settings)
-    fitted = models.fit_all(vectors, estimators)
+    with models.kept(models.training_view(vectors, estimators)) as table:
+        train_size = table.count()
+        fitted = {name: e.fit(table) for name, e in estimators.items()}
     predictions = models.score_all(fitted, preparation.transform(test))
     metrics = regression_metrics(
         predictions, {n: models.prediction_column(n) for n in fitted}, label
     )
+    # One row per model, so later uses do not score the test side again.
+    scores = metrics.collect()
     return Trained(
-        preparation, fitted, estimators, feature_names(vectors), predictions, metrics,
-        (train.count(), test.count()),
+        preparation, fitted, estimators, feature_names(vectors), predictions,
+        train.sparkSession.createDataFrame(scores, metrics.schema),
+        (train_size, scores[0]["rows"]),
     )
 
 
@@ -88,7 +93,7 @@ def training_runs(spark, trained, experiment, features_path="", label=LABEL):
         }
         if importance is not None:
             params["feature_importance_method"] = importance.first()["method"]
-        metrics = {k: v for k, v in scores[name].items() if k != "model"}
+        metrics = {k: v for k, v in scores[name].items() if k not in ("model", "rows")}
         logged.append(runs.run_rows(
             spark, experiment, name, params, metrics, runs.model_metadata(model)
         ))

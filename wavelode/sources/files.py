@@ -1,5 +1,7 @@
 """Batch and streaming table reads, and path lookup."""
 
+from pyspark.sql import functions as F
+
 from wavelode.functions.casts import lenient_bool, lenient_double, lenient_int
 from wavelode.schemas import EVENT_SCHEMA, TRACK_COLUMNS
 
@@ -45,35 +47,42 @@ def child_names(spark, path):
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def read_tracks_csv(spark, path):
-    """Header CSV of text cells to typed track rows."""
-    types = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA}
-    header = spark.read.option("header", True).csv(path, inferSchema=False).columns
-    text = (
-        spark.read.schema(", ".join(f"`{name}` STRING" for name in header))
-        .option("header", True)
-        .option("multiLine", False)
-        .option("escape", '"')
-        .csv(path)
-    )
-    return typed_tracks(text, types)
+def remove_path(spark, path):
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.delete(hadoop_path, True)
 
 
-def typed_tracks(text, types=None):
-    """Convert text columns to the track types; absent columns become null."""
-    from pyspark.sql import functions as F
+def read_tracks_csv(spark, path, multi_line=False):
+    """Header CSV of text cells to typed track rows.
+
+    ``multi_line`` allows line breaks inside quoted cells, at the price of one
+    task per file.
+    """
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    names = reader.csv(path).columns
+    text = reader.schema(", ".join(f"`{name}` STRING" for name in names)).csv(path)
+    return typed_tracks(text)
+
+
+def _text(name):
+    # The reader gives null for an empty cell.
+    return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
-    types = types or {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA}
+
+def typed_tracks(text):
+    """Convert text columns to the track types; absent columns become null."""
     convert = {
         "int": lenient_int,
         "double": lenient_double,
         "boolean": lenient_bool,
-        "string": F.col,
+        "string": _text,
     }
+    kinds = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA}
     return text.select(*[
-        convert[types[name]](name).alias(name)
-        if name in text.columns
-        else F.lit(None).cast(types[name]).alias(name)
+        (
+            convert[kinds[name]](name) if name in text.columns
+            else F.lit(None).cast(kinds[name])
+        ).alias(name)
         for name in TRACK_COLUMNS
     ])
 

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from wavelode.plans.layers import bronze, gold, silver
+from wavelode.plans.layers import COPY_SPREAD, bronze, gold, silver
 from wavelode.session import STATE_STORE_CONF, session_conf
 from wavelode.sources.files import table_stream
 from wavelode.streaming.sinks import (
@@ -45,8 +45,11 @@ def start_bronze(messages, layout, trigger=DEFAULT_TRIGGER, now=None):
 
 
 def start_silver(spark, layout, trigger=DEFAULT_TRIGGER, now=None, watermark=None,
-                 state_partitions=None, **options):
-    rows = silver(_layer_stream(spark, layout, "bronze", **options), now, watermark=watermark)
+                 spread=COPY_SPREAD, state_partitions=None, **options):
+    rows = silver(
+        _layer_stream(spark, layout, "bronze", **options), now,
+        watermark=watermark, spread=spread,
+    )
     with session_conf(spark, _state_conf(state_partitions)):
         return append_stream(
             rows, layout.path("silver"), layout.checkpoint("silver"), trigger, layout.fmt
@@ -72,8 +75,10 @@ def run_layers(spark, messages, layout, now=None, watermark=None, state_partitio
     trigger = "available_now"
     run_stream(start_bronze(messages, layout, trigger, now))
     run_stream(start_silver(
-        spark, layout, trigger, now, watermark, state_partitions, **options
+        spark, layout, trigger, now, watermark, state_partitions=state_partitions, **options
+    ))
+    run_stream(start_gold(
+        spark, layout, trigger, now, state_partitions=state_partitions, **options
     ))
-    run_stream(start_gold(spark, layout, trigger, now, state_partitions, **options))
     return read_gold(spark, layout)
 

@@ -2,7 +2,7 @@
 
 from functools import partial
 
-from wavelode.sources.files import child_names, path_exists
+from wavelode.sources.files import child_names, path_exists, remove_path
 
 DEFAULT_TRIGGER = "10 seconds"
 
@@ -25,21 +25,40 @@ def append_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet",
     return _with_trigger(writer, trigger).start(path)
 
 
-def _write_snapshot(path, batch, batch_id):
+KEPT_SNAPSHOTS = 10
+
+
+def _snapshots(spark, path):
+    """Batch numbers of the snapshots under a folder, newest first."""
+    return sorted(
+        (
+            int(name.removeprefix("snapshot="))
+            for name in child_names(spark, path) if name.startswith("snapshot=")
+        ),
+        reverse=True,
+    )
+
+
+def _write_snapshot(path, keep, batch, batch_id):
     batch.write.mode("overwrite").parquet(f"{path}/snapshot={batch_id}")
+    spark = batch.sparkSession
+    for old in _snapshots(spark, path)[keep:]:
+        remove_path(spark, f"{path}/snapshot={old}")
 
 
-def snapshot_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet"):
+def snapshot_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet",
+                    keep=KEPT_SNAPSHOTS):
     """Replace an aggregate table on every trigger.
 
     Plain files cannot be replaced under a reader, so each trigger writes a new
-    snapshot folder named by its batch; a repeated batch rewrites its own.
+    snapshot folder named by its batch, and a repeated batch rewrites its own.
+    The ``keep`` newest stay for readers that are still at work.
     """
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if fmt == "delta":
         return _with_trigger(writer.format(fmt), trigger).start(path)
     return _with_trigger(
-        writer.foreachBatch(partial(_write_snapshot, path)), trigger
+        writer.foreachBatch(partial(_write_snapshot, path, keep)), trigger
     ).start()
 
 
@@ -47,12 +66,7 @@ def read_snapshot(spark, path, fmt="parquet"):
     """The newest complete snapshot."""
     if fmt == "delta":
         return spark.read.format(fmt).load(path)
-    batches = sorted(
-        (int(name.split("=", 1)[1]) for name in child_names(spark, path)
-         if name.startswith("snapshot=")),
-        reverse=True,
-    )
-    for batch in batches:
+    for batch in _snapshots(spark, path):
         if path_exists(spark, f"{path}/snapshot={batch}/_SUCCESS"):
             return spark.read.parquet(f"{path}/snapshot={batch}")
     raise FileNotFoundError(f"no complete snapshot under {path}")

@@ -1,0 +1,158 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import VALID, event, messages
+from wavelode.functions.casts import (
+    event_timestamp, flag_int, lenient_bool, lenient_double, lenient_int,
+)
+from wavelode.operators.columns import existing, parse_events, stamp, with_event_timestamp
+from wavelode.schemas import EVENT_SCHEMA, TRACK_COLUMNS
+from wavelode.sources.events import events_to_json, to_events
+from wavelode.sources.files import (
+    first_existing, name_and_value_columns, read_result_csv, read_tracks_csv,
+)
+
+
+def convert(spark, function, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v STRING").repartition(1)
+    found = {r["v"]: r["x"] for r in rows.select("v", function("v").alias("x")).collect()}
+    return [found[v] for v in values]
+
+
+def test_lenient_double(spark):
+    values = ["1.5", "-2", " 3 ", ".5", "5.", "1e3", "", "abc", "1.5d", "2f", None, "-inf"]
+    expected = [1.5, -2.0, 3.0, 0.5, 5.0, 1000.0, None, None, None, None, None, -math.inf]
+    assert convert(spark, lenient_double, values) == expected
+    assert math.isnan(convert(spark, lenient_double, ["nan"])[0])
+
+
+def test_lenient_int_truncates(spark):
+    values = ["12.9", "-12.9", "12.0", "7", "nan", "1e20", "x", "", None]
+    assert convert(spark, lenient_int, values) == [12, -12, 12, 7, None, None, None, None, None]
+
+
+def test_lenient_bool(spark):
+    values = ["True", "TRUE", "true", "false", "yes", "1", "", None]
+    assert convert(spark, lenient_bool, values) == [True] * 3 + [False] * 5
+
+
+def test_flag_int(spark):
+    rows = spark.createDataFrame([(True,), (False,), (None,)], "b BOOLEAN")
+    found = {r["b"]: r["f"] for r in rows.select("b", flag_int("b").alias("f")).collect()}
+    assert found == {True: 1, False: 0, None: 0}
+
+
+def test_event_time(spark):
+    values = ["2024-03-01T10:20:30.123456+00:00", "2024-03-01T12:20:30+02:00", "garbage", None]
+    micros = convert(spark, lambda c: F.unix_micros(event_timestamp(c)), values)
+    assert micros == [1709288430123456, 1709288430000000, None, None]
+
+
+def test_parse_keeps_bad_messages(spark):
+    bad = ["not json", "", "null", "[1]"]
+    rows = parse_events(messages(spark, [event(), *bad])).orderBy("offset").collect()
+    assert rows[0]["track_id"] == "t1" and rows[0]["explicit"] is True
+    for row, text in zip(rows[1:], bad):
+        assert row["raw_json"] == text
+        assert all(row[f.name] is None for f in EVENT_SCHEMA)
+
+
+def test_one_bad_field_is_null(spark):
+    values = [event(popularity="x"), event(popularity=5.0), event(popularity=9999999999)]
+    rows = parse_events(messages(spark, values)).collect()
+    assert [r["popularity"] for r in rows] == [None] * 3
+    assert all(r["track_id"] == "t1" and r["tempo"] == 100.0 for r in rows)
+
+
+def test_bare_nan_is_nan(spark):
+    text = event().replace('"tempo": 100.0', '"tempo": NaN')
+    assert math.isnan(parse_events(messages(spark, [text])).first()["tempo"])
+
+
+def test_event_round_trip(spark):
+    fields = {k: VALID[k] for k in TRACK_COLUMNS}
+    schema = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA if f.name in fields
+    )
+    rows = [
+        tuple(fields.values()),
+        tuple({**fields, "track_id": "t2", "tempo": math.nan, "track_genre": None}.values()),
+    ]
+    events = to_events(spark.createDataFrame(rows, schema))
+    assert events.columns == EVENT_SCHEMA.names
+    text = [r["value"] for r in events_to_json(events).collect()]
+    assert all('"track_genre":' in t for t in text)
+    parsed = parse_events(messages(spark, text)).orderBy("track_id").collect()
+    assert {k: parsed[0][k] for k in fields} == fields
+    assert math.isnan(parsed[1]["tempo"]) and parsed[1]["track_genre"] is None
+    users = [int(r["user_id"].removeprefix("user_")) for r in parsed]
+    assert all(1 <= u <= 5000 for u in users)
+    assert all(r["event_time"].endswith("+00:00") for r in parsed)
+
+
+def test_envelope_does_not_depend_on_partitions(spark):
+    tracks = spark.range(1000).select(
+        *[
+            (F.concat(F.lit("t"), "id") if f.name == "track_id" else F.lit(None))
+            .cast(f.dataType).alias(f.name)
+            for f in EVENT_SCHEMA if f.name in TRACK_COLUMNS
+        ]
+    )
+    one = to_events(tracks.repartition(1), now="x").select("track_id", "user_id")
+    many = to_events(tracks.repartition(13), now="x").select("track_id", "user_id")
+    assert one.exceptAll(many).isEmpty()
+
+
+def test_tracks_csv(spark, tmp_path):
+    (tmp_path / "tracks.csv").write_text(
+        "track_id,artists,track_name,popularity,explicit,tempo\n"
+        't1,"a;b","say ""hi"", now",12.9,True,99.5\n'
+        "t2,,x,,,\n"
+        "t3,c,y,bad,no,1.5d\n"
+    )
+    rows = read_tracks_csv(spark, str(tmp_path / "tracks.csv")).orderBy("track_id").collect()
+    assert rows[0].asDict().keys() == set(TRACK_COLUMNS)
+    picked = [
+        (r["artists"], r["track_name"], r["popularity"], r["explicit"], r["tempo"])
+        for r in rows
+    ]
+    assert picked == [
+        ("a;b", 'say "hi", now', 12, True, 99.5),
+        ("", "x", None, False, None),
+        ("c", "y", None, False, None),
+    ]
+    assert rows[0]["album_name"] is None and rows[0]["energy"] is None
+
+
+def test_tracks_csv_with_line_breaks(spark, tmp_path):
+    (tmp_path / "tracks.csv").write_text('track_id,track_name\nt1,"two\nlines"\n')
+    row = read_tracks_csv(spark, str(tmp_path / "tracks.csv"), multi_line=True).first()
+    assert row["track_name"] == "two\nlines"
+
+
+def test_result_csv_names(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("Model,RMSE\nx,1.5\n")
+    result = read_result_csv(spark, str(tmp_path / "r.csv"))
+    assert result.columns == ["model", "rmse"]
+    assert name_and_value_columns(result, "model", "r2") == ("model", "rmse")
+    assert name_and_value_columns(result, "name", "rmse") == ("model", "rmse")
+
+
+def test_first_existing(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    found = first_existing(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert found.endswith("/b")
+    with pytest.raises(FileNotFoundError):
+        first_existing(spark, [str(tmp_path / "a")])
+
+
+def test_columns_helpers(spark):
+    df = spark.createDataFrame([("2024-01-01 01:00:00", "zzz")], "event_time STRING, a STRING")
+    assert existing(df, ["b", "a"]) == ["a"]
+    assert with_event_timestamp(df).count() == 1
+    assert with_event_timestamp(df, candidates=["a"]).count() == 0
+    with pytest.raises(ValueError):
+        with_event_timestamp(df, candidates=["b"])
+    assert stamp(df, "t").first()["t"] is not None

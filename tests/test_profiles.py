@@ -158,7 +158,7 @@ def test_distinct_and_schema(spark):
     approx = {r["column"]: r["distinct_values"] for r in distinct_counts(rows, ["s"], True).collect()}
     assert approx == {"s": 2}
     assert [tuple(r) for r in schema_profile(rows).collect()] == [
-        (0, "s", "string"), (1, "n", "int"),
+        (0, "s", "string", 3), (1, "n", "int", 3),
     ]
 
 

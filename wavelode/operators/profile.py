@@ -115,11 +115,15 @@ def null_profile(df, columns=None, digits=2):
 
 
 def schema_profile(df):
-    """Position, name and type of every column."""
-    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(
-        rows, "position INT, column STRING, type STRING"
-    )
+    """Position, name and type of every column, with the number of rows."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"), F.lit(name).alias("column"),
+            F.lit(kind).alias("type"), F.count("*").alias("rows"),
+        )
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return _long(df, rows)
 
 
 def mean_and_median(df, columns):

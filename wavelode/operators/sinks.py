@@ -1,5 +1,9 @@
 """Batch writes."""
 
+from pyspark.sql import functions as F
+
+from wavelode.sources.events import event_json
+
 
 def overwrite(df, path, fmt="parquet", partition_by=()):
     df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
@@ -11,3 +15,24 @@ def write_result_csv(df, path):
     Only the finished rows move to one task; the work above stays spread out.
     """
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def publish(events, fmt, path=None, servers=None, topic=None):
+    """Send events to a topic, or append them as message files.
+
+    Files carry the four columns that a message stream reads; offsets are
+    unique within a write and partitions are those of the table.
+    """
+    value = event_json(*events.columns)
+    if fmt == "kafka":
+        (
+            events.select(value.alias("value")).write.format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+        )
+        return
+    events.select(
+        value.cast("binary").alias("value"),
+        F.current_timestamp().alias("timestamp"),
+        F.spark_partition_id().alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+    ).write.format(fmt).mode("append").save(path)

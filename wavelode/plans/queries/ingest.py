@@ -160,11 +160,11 @@ def result_csv(spark, folder):
 
 @query(
     "first_existing_table",
-    "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
 )
 def first_existing_table(spark, folder):
     found = first_existing(
-        spark, [f"{folder}/no_such_table.parquet", f"{folder}/nation.parquet"]
+        spark, [f"{folder}/no_such_table.parquet", f"{folder}/supplier.parquet"]
     )
     return table(spark, found)
 

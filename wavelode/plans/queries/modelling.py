@@ -2,9 +2,7 @@
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from wavelode.operators import features as feat
@@ -15,17 +13,26 @@ from wavelode.operators.evaluation import (
 )
 from wavelode.plans.queries.registry import load, query
 from wavelode.plans.queries.profiles import histogram_sql
-from wavelode.plans.queries.testbed import FEATURES_CTE, line_silver
+from wavelode.plans.queries.testbed import FEATURES_CTE, line_silver, stored
 from wavelode.plans.training import (
     TOP_FEATURES, save_training, split_tracks, train_models, training_runs,
 )
-from wavelode.schemas import FEATURE_COLUMNS, LABEL
+from wavelode.schemas import DERIVED_FEATURES, FEATURE_COLUMNS, LABEL
 from wavelode.session import work_dir
 
 # Fewer trees than the defaults: these queries run often, on whole tables.
 _QUICK = {"trees": 20, "rounds": 10}
 
 
+def _silver(spark, folder):
+    """The Silver columns that features come from, as a table."""
+    columns = [
+        "track_id", "event_time", "artists", "track_name", "track_genre", LABEL,
+        *[c for c in FEATURE_COLUMNS if c not in DERIVED_FEATURES],
+    ]
+    return stored(line_silver(spark, folder).select(*columns), "silver")
+
+
 @query(
     "text_features",
     f"""WITH {FEATURES_CTE} SELECT track_id, event_time, artist_count,
@@ -74,7 +81,7 @@ def label_index(spark, folder):
     ) + " FROM features",
 )
 def feature_vectors(spark, folder):
-    table = feat.feature_table(line_silver(spark, folder))
+    table = feat.feature_table(_silver(spark, folder))
     names = feat.feature_names(table)
     slots = table.select("track_id", "popularity", vector_to_array("features").alias("v"))
     return slots.select(
@@ -156,37 +163,68 @@ def residual_histogram(spark, folder):
 
 def _price_points(spark, folder):
     lines = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
-    return VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
+    return VectorAssembler(inputCols=["l_extendedprice"], outputCol="features").transform(lines)
 
 
-@query(
-    "linreg_fit",
-    """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
-      round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""",
-)
-def linreg_fit(spark, folder):
-    estimator = LinearRegression(labelCol="l_extendedprice", maxIter=100, regParam=0.0)
-    model = models.fit_all(_price_points(spark, folder), {"lr": estimator})["lr"]
+def _fitted_line(spark, folder, name):
+    """Slope and intercept of one linear model with its usual settings."""
+    estimator = models.regressors("l_quantity")[name]
+    model = models.fit_all(_price_points(spark, folder), {name: estimator})[name]
     return spark.createDataFrame(
-        [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4))],
-        "slope DOUBLE, intercept DOUBLE",
+        [(round(float(model.coefficients[0]) * 1e6, 4), round(float(model.intercept), 4))],
+        "slope_millionths DOUBLE, intercept DOUBLE",
     )
 
 
-@query(
-    "glr_fit",
-    """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
-      round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""",
-)
+# With one standardised feature, a penalty p divides the plain slope by
+# 1 + p / deviation of the label; the line still passes through the means.
+_RIDGE = """
+WITH s AS (SELECT regr_slope(l_quantity, l_extendedprice)
+    / (1 + 0.1::DOUBLE / stddev_pop(l_quantity)) AS slope,
+  avg(l_quantity) AS y, avg(l_extendedprice) AS x FROM lineitem)
+SELECT round(slope * 1e6::DOUBLE, 4) AS slope_millionths, round(y - slope * x, 4) AS intercept
+FROM s
+"""
+
+
+@query("linreg_fit", _RIDGE)
+def linreg_fit(spark, folder):
+    return _fitted_line(spark, folder, "Linear_Regression")
+
+
+@query("glr_fit", _RIDGE)
 def glr_fit(spark, folder):
-    estimator = GeneralizedLinearRegression(
-        family="gaussian", link="identity", labelCol="l_extendedprice", regParam=0.0
-    )
-    model = models.fit_all(_price_points(spark, folder), {"glr": estimator})["glr"]
-    return spark.createDataFrame(
-        [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4))],
-        "slope DOUBLE, intercept DOUBLE",
+    return _fitted_line(spark, folder, "Generalized_Linear_Regression")
+
+
+_LINEAR = ["Linear_Regression", "Generalized_Linear_Regression"]
+_LINEAR_SQL = """
+WITH t AS (SELECT l_quantity AS q, l_extendedprice AS p,
+    CAST('0x' || substr(md5('42:' || CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80
+      AS in_train FROM lineitem),
+s AS (SELECT regr_slope(q, p) / (1 + 0.1::DOUBLE / stddev_pop(q)) AS slope,
+    avg(q) AS y, avg(p) AS x FROM t WHERE in_train),
+e AS (SELECT q, q - (y + slope * (p - x)) AS r FROM t, s WHERE NOT in_train)
+SELECT unnest(['Linear_Regression', 'Generalized_Linear_Regression']) AS "Model",
+  round(sqrt(avg(r * r)), 4) AS rmse, round(avg(abs(r)), 4) AS mae,
+  round(1 - sum(r * r) / (var_pop(q) * count(*)), 4) AS r2,
+  round(avg(abs(r)), 4) AS residual_abs_mean
+FROM e
+"""
+
+
+@query("linear_comparison", _LINEAR_SQL)
+def linear_comparison(spark, folder):
+    """Split, fit, score and compare, with models that have a closed form."""
+    lines = load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_quantity", "l_extendedprice"
     )
+    train, test = models.hash_split(lines, "l_orderkey", method="md5")
+    every = models.regressors("l_quantity")
+    return train_models(
+        train, test, "l_quantity", ["l_extendedprice"], nominal=None,
+        estimators={name: every[name] for name in _LINEAR},
+    ).comparison()
 
 
 def _flag_points(spark, folder):
@@ -232,7 +270,7 @@ def gbt_one_round(spark, folder):
 
 def _prepared(spark, folder, name):
     """One model fitted on the training side of all tracks; its test predictions."""
-    train, test = split_tracks(line_silver(spark, folder))
+    train, test = split_tracks(_silver(spark, folder))
     preparation = feat.fit_features(train)
     vectors = preparation.transform(train)
     estimator = models.regressors(LABEL, models.tree_bins(vectors), **_QUICK)[name]
@@ -275,21 +313,19 @@ def score_sample(spark, folder):
 
 @query("model_comparison")
 def model_comparison(spark, folder):
-    train, test = split_tracks(line_silver(spark, folder))
+    train, test = split_tracks(_silver(spark, folder))
     return train_models(train, test, **_QUICK).comparison()
 
 
 def _linear_only(train, test):
-    estimators = {
-        name: e for name, e in models.regressors().items() if name.endswith("Linear_Regression")
-    }
-    return train_models(train, test, estimators=estimators)
+    every = models.regressors()
+    return train_models(train, test, estimators={name: every[name] for name in _LINEAR})
 
 
 @query("runs_log")
 def runs_log(spark, folder):
     path = work_dir(spark, "training")
-    train, test = split_tracks(line_silver(spark, folder))
+    train, test = split_tracks(_silver(spark, folder))
     trained = _linear_only(train, test)
     save_training(spark, trained, path, "tracks", f"{folder}/lineitem.parquet")
     logged = runs.read_runs(spark, f"{path}/runs")
@@ -298,6 +334,6 @@ def runs_log(spark, folder):
 
 @query("run_rows")
 def run_rows(spark, folder):
-    train, test = split_tracks(line_silver(spark, folder))
+    train, test = split_tracks(_silver(spark, folder))
     logged, _ = training_runs(spark, _linear_only(train, test), "tracks")
     return logged[-1].select("run_name", "kind", "key", "value")

@@ -4,6 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from wavelode.operators.aggregates import top_k
 from wavelode.operators.correlation import corr_matrix, corr_with
 from wavelode.operators.distribution import box_stats, exact_quantiles, histogram
 from wavelode.operators.profile import (
@@ -13,7 +14,7 @@ from wavelode.operators.profile import (
 from wavelode.operators.sampling import sample_n
 from wavelode.plans.queries.registry import load, query
 from wavelode.plans.queries.testbed import (
-    LINE_TRACKS, SILVER_CTE, line_silver, line_tracks,
+    LINE_TRACKS, SILVER_CTE, line_silver, line_tracks, stored,
 )
 from wavelode.plans.report import scatter
 from wavelode.schemas import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS
@@ -138,9 +139,10 @@ def track_nulls(spark, folder):
 
 @query(
     "schema_profile",
-    """SELECT * FROM (VALUES (CAST(0 AS INT), 'event_id', 'bigint'),
-      (1, 'ts', 'timestamp_ntz'), (2, 'user_id', 'bigint'), (3, 'event_type', 'string'),
-      (4, 'value', 'double'), (5, 'props', 'string')) t(position, "column", type)""",
+    """SELECT t.*, (SELECT count(*) FROM events) AS rows FROM (VALUES
+      (CAST(0 AS INT), 'event_id', 'bigint'), (1, 'ts', 'timestamp_ntz'),
+      (2, 'user_id', 'bigint'), (3, 'event_type', 'string'), (4, 'value', 'double'),
+      (5, 'props', 'string')) t(position, "column", type)""",
 )
 def events_schema(spark, folder):
     return schema_profile(load(spark, folder, "events"))
@@ -170,7 +172,8 @@ def lineitem_correlations(spark, folder):
     ),
 )
 def track_correlations(spark, folder):
-    return _rounded(corr_matrix(line_silver(spark, folder), NUMERIC_COLUMNS), ["r"], 6)
+    rows = stored(line_silver(spark, folder).select(*NUMERIC_COLUMNS), "measures")
+    return _rounded(corr_matrix(rows, NUMERIC_COLUMNS), ["r"], 6)
 
 
 @query(
@@ -181,8 +184,8 @@ def track_correlations(spark, folder):
     ),
 )
 def target_correlations(spark, folder):
-    rows = corr_with(line_silver(spark, folder), "popularity", NUMERIC_COLUMNS)
-    return _rounded(rows, ["r"], 6)
+    rows = stored(line_silver(spark, folder).select(*NUMERIC_COLUMNS), "measures")
+    return _rounded(corr_with(rows, "popularity", NUMERIC_COLUMNS), ["r"], 6)
 
 
 def histogram_sql(column, bins, source, name=None):
@@ -271,14 +274,18 @@ def exact_sample(spark, folder):
     )
 
 
-@query("scatter_tracks")
+@query(
+    "scatter_tracks",
+    f"""WITH {SILVER_CTE} SELECT energy, danceability, popularity FROM silver
+    ORDER BY CAST('0x' || substr(md5('42:' || track_id || ':' || event_time), 1, 8) AS BIGINT),
+      track_id, event_time LIMIT 5000""",
+)
 def scatter_tracks(spark, folder):
-    return scatter(
-        line_silver(spark, folder), ["energy", "danceability", "popularity"],
-        ["track_id", "event_time"],
-    )
+    keys, points = ["track_id", "event_time"], ["energy", "danceability", "popularity"]
+    rows = stored(line_silver(spark, folder).select(*keys, *points), "points")
+    return scatter(rows, points, keys, method="md5")
 
 
-@query("preview", "SELECT * FROM nation ORDER BY n_nationkey LIMIT 5")
+@query("preview", "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 5")
 def preview(spark, folder):
-    return load(spark, folder, "nation").orderBy("n_nationkey").limit(5)
+    return top_k(load(spark, folder, "customer"), [F.desc("c_acctbal"), "c_custkey"], 5)

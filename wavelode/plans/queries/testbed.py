@@ -3,10 +3,13 @@
 from pyspark.sql import functions as F
 
 from wavelode.operators.columns import stamp
+from wavelode.operators.sinks import overwrite
 from wavelode.plans.layers import silver
 from wavelode.plans.queries.registry import load
 from wavelode.schemas import EVENT_SCHEMA
+from wavelode.session import work_dir
 from wavelode.sources.events import event_json
+from wavelode.sources.files import table
 
 _FIELDS = [f.name for f in EVENT_SCHEMA]
 
@@ -168,6 +171,13 @@ def line_silver(spark, folder):
     )
 
 
+def stored(df, label):
+    """Write a table that several passes read, so it is computed once."""
+    path = work_dir(df.sparkSession, label)
+    overwrite(df, path)
+    return table(df.sparkSession, path)
+
+
 def as_messages(tracks, sent):
     """Track events in wire form with the lineage a message source gives."""
     return tracks.select(

@@ -17,10 +17,10 @@ from wavelode.schemas import CATEGORICAL_COLUMNS, LABEL, NUMERIC_COLUMNS, TIMEST
 SCATTER_ROWS = 5000
 
 
-def scatter(df, columns, keys, n=SCATTER_ROWS):
+def scatter(df, columns, keys, n=SCATTER_ROWS, **options):
     """Sampled points without missing values, keys left out."""
     rows = drop_missing(df, [*dict.fromkeys([*keys, *columns])])
-    return sample_n(rows, keys, n).select(*columns)
+    return sample_n(rows, keys, n, **options).select(*columns)
 
 
 def report(silver, keys=("track_id", "event_time"), label=LABEL):

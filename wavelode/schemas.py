@@ -61,3 +61,7 @@ FEATURE_COLUMNS = [
     "explicit_int", "track_genre_index", "artist_count", "is_short_track",
     "energy_dance_interaction", "mood_index", "is_feat",
 ]
+DERIVED_FEATURES = [
+    "track_genre_index", "artist_count", "is_short_track",
+    "energy_dance_interaction", "mood_index", "is_feat",
+]

@@ -39,8 +39,9 @@ def test_layers(spark, lake):
 def test_report_features_and_training(spark, lake):
     main(["report", "--root", f"{lake}/lake", "--out", f"{lake}/report"], spark)
     assert table(spark, f"{lake}/report/genres").count() == 6
-    main(["features", "--root", f"{lake}/lake"], spark)
-    assert "features" in table(spark, f"{lake}/lake/features").columns
+    main(["features", "--root", f"{lake}/lake", "--latest"], spark)
+    features = table(spark, f"{lake}/lake/features")
+    assert "features" in features.columns and features.count() == 400
     main(["train", "--root", f"{lake}/lake", "--out", f"{lake}/out", "--trees", "3",
           "--rounds", "3"], spark)
     assert read_runs(spark, f"{lake}/out/runs").count() > 0

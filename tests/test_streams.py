@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import event, messages
-from wavelode.plans.layers import bronze, gold, silver
+from wavelode.operators.aggregates import daily_counts
+from wavelode.plans.layers import bronze, gold, silver, timed
 from wavelode.sources.events import event_stream
 from wavelode.sources.files import child_names, table, table_stream
 from wavelode.streaming.jobs import (
@@ -160,6 +161,14 @@ def test_kafka_needs_its_connector(spark):
         event_stream(spark, "kafka", servers="localhost:9092", topic="tracks")
 
 
+def test_daily_counts_of_a_stream(spark, tmp_path, source):
+    rows = timed(bronze(event_stream(spark, "parquet", source, maxFilesPerTrigger=1)))
+    out = str(tmp_path / "daily")
+    run_stream(snapshot_stream(daily_counts(rows), out, str(tmp_path / "cp"), "available_now"))
+    batch = daily_counts(timed(bronze(table(spark, source))))
+    assert read_snapshot(spark, out).collect() == batch.collect()
+
+
 def test_gold_state_partitions(spark, tmp_path, source):
     layout = Layout(str(tmp_path / "layers"))
     run_stream(start_bronze(event_stream(spark, "parquet", source), layout, "available_now"))

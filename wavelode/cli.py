@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from wavelode.operators.features import feature_table, track_features  # noqa: E402
 from wavelode.operators.models import hash_split  # noqa: E402
+from wavelode.operators.quality import latest_per_key  # noqa: E402
 from wavelode.operators.sinks import overwrite, publish  # noqa: E402
 from wavelode.plans.report import report  # noqa: E402
 from wavelode.plans.training import save_training, train_models  # noqa: E402
@@ -76,7 +77,10 @@ def run_all_layers(spark, args):
 
 
 def _silver(spark, args):
-    return table(spark, args.layout.path("silver"), args.format)
+    rows = table(spark, args.layout.path("silver"), args.format)
+    if args.latest:
+        return latest_per_key(rows, ["track_id"], ["event_timestamp"])
+    return rows
 
 
 def run_report(spark, args):
@@ -121,6 +125,9 @@ def parse(argv):
     parser.add_argument("--seconds", type=int, default=0, help="0 runs until stopped")
     parser.add_argument("--watermark", help="how late copies may come, e.g. '1 day'")
     parser.add_argument("--state-partitions", type=int)
+    parser.add_argument(
+        "--latest", action="store_true", help="use only the newest event of each track"
+    )
     parser.add_argument("--out", default="out")
     parser.add_argument("--experiment", default="tracks")
     parser.add_argument("--trees", type=int, default=100)

@@ -35,6 +35,10 @@ def _messages(spark, folder):
     return as_messages(event_tracks(twice.drop("copy_no")), "sent")
 
 
+def _state_partitions(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def _layout(spark):
     return Layout(work_dir(spark, "layers"))
 
@@ -63,7 +67,9 @@ _STREAM_SILVER = f"""SELECT track_id, event_time, track_genre, popularity, tempo
 def stream_silver(spark, folder):
     layout = _layout(spark)
     run_stream(start_bronze(_messages(spark, folder), layout, _NOW))
-    run_stream(start_silver(spark, layout, _NOW))
+    run_stream(start_silver(
+        spark, layout, _NOW, state_partitions=_state_partitions(spark)
+    ))
     return table(spark, layout.path("silver")).select(*_SILVER_FIELDS)
 
 
@@ -72,14 +78,18 @@ def stream_silver_watermark(spark, folder):
     layout = _layout(spark)
     run_stream(start_bronze(_messages(spark, folder), layout, _NOW))
     run_stream(start_silver(
-        spark, layout, _NOW, watermark=("event_timestamp", "30 days")
+        spark, layout, _NOW, watermark=("event_timestamp", "30 days"),
+        state_partitions=_state_partitions(spark),
     ))
     return table(spark, layout.path("silver")).select(*_SILVER_FIELDS)
 
 
 @query("stream_gold", _GOLD)
 def stream_gold(spark, folder):
-    rows = run_layers(spark, _messages(spark, folder), _layout(spark))
+    rows = run_layers(
+        spark, _messages(spark, folder), _layout(spark),
+        state_partitions=_state_partitions(spark),
+    )
     return rows.drop("gold_ingestion_time")
 
 
@@ -93,7 +103,10 @@ def stream_resume(spark, folder):
     """A second run from the same checkpoints must add nothing."""
     layout = _layout(spark)
     for _ in range(2):
-        run_layers(spark, _messages(spark, folder), layout)
+        run_layers(
+            spark, _messages(spark, folder), layout,
+            state_partitions=_state_partitions(spark),
+        )
     layers = {
         "bronze": table(spark, layout.path("bronze")),
         "silver": table(spark, layout.path("silver")),

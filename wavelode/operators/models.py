@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wavelode.functions.hashing import hash_bucket
 from wavelode.operators.features import max_categories
 from wavelode.schemas import LABEL
+from wavelode.session import ensure_checkpoint_dir
 
 
 def hash_split(df, key="track_id", train_pct=80, seed=42, method="xxhash64"):
@@ -73,10 +74,19 @@ def training_view(vectors, estimators):
     return vectors.select(*sorted(used))
 
 
+def fit_each(train, estimators):
+    """Fit every estimator on a table that is already kept.
+
+    Boosting grows its lineage with every round and cuts it at checkpoints.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    return {name: estimator.fit(train) for name, estimator in estimators.items()}
+
+
 def fit_all(vectors, estimators):
     """Fit each estimator on the same table, computed once."""
     with kept(training_view(vectors, estimators)) as train:
-        return {name: estimator.fit(train) for name, estimator in estimators.items()}
+        return fit_each(train, estimators)
 
 
 def score(model, df):

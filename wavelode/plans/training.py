@@ -56,7 +56,7 @@ def train_models(train, test, label=LABEL, columns=FEATURE_COLUMNS,
         estimators = models.regressors(label, models.tree_bins(vectors), **settings)
     with models.kept(models.training_view(vectors, estimators)) as table:
         train_size = table.count()
-        fitted = {name: e.fit(table) for name, e in estimators.items()}
+        fitted = models.fit_each(table, estimators)
     predictions = models.score_all(fitted, preparation.transform(test))
     metrics = regression_metrics(
         predictions, {n: models.prediction_column(n) for n in fitted}, label

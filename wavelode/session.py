@@ -65,3 +65,10 @@ def work_dir(spark, label):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark):
+    """Let iterative fits cut their lineage; a folder already set is kept."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_dir(spark, "lineage"))

@@ -15,6 +15,7 @@ from wavelode.operators.evaluation import (
 )
 from wavelode.plans.training import save_training, split_tracks, train_models, training_runs
 from wavelode.schemas import FEATURE_COLUMNS
+from wavelode.sources.files import path_exists
 
 
 def track_data(n=1500, genres=40, seed=3):
@@ -218,6 +219,16 @@ def test_saved_training(spark, trained, tracks, tmp_path):
     kinds = logged.filter("kind = 'model' AND key = 'model_class'").collect()
     assert len(kinds) == 5
 
+    predictions = spark.read.parquet(f"{path}/predictions")
+    assert predictions.count() == trained.sizes[1] and len(predictions.columns) == 7
+    spread = spark.read.parquet(f"{path}/residual_histograms").groupBy("model").agg(
+        F.count("*").alias("bins"), F.sum("count").alias("n")
+    )
+    assert {(r["bins"], r["n"]) for r in spread.collect()} == {(40, trained.sizes[1])}
+    assert spark.read.parquet(f"{path}/prediction_sample").count() == trained.sizes[1]
+    places = [r["value"] for r in logged.filter("kind = 'artifact'").collect()]
+    assert len(places) == 14 and all(path_exists(spark, p) for p in places)
+
     written = spark.read.option("header", True).csv(f"{path}/regression_results")
     assert written.columns[0] == "Model" and written.count() == 5
     importance = spark.read.option("header", True).csv(

@@ -112,6 +112,13 @@ def test_correlation_in_several_passes(table, frame, monkeypatch):
         assert math.isclose(row["r"], expected, abs_tol=1e-12)
 
 
+def test_correlation_without_values(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a DOUBLE, b DOUBLE")
+    found = {(r["column_a"], r["column_b"]): r["r"] for r in corr_matrix(rows, ["a", "b"]).collect()}
+    assert found == {("a", "a"): None, ("a", "b"): None, ("b", "a"): None, ("b", "b"): 1.0}
+    assert corr_matrix(rows.limit(0), ["b"]).first()["r"] is None
+
+
 def test_correlation_with_large_offset(spark):
     rng = np.random.default_rng(1)
     data = pd.DataFrame({"a": 1e9 + rng.normal(size=500), "b": rng.normal(size=500)})

@@ -98,7 +98,8 @@ def run_train(spark, args):
     train, test = hash_split(track_features(_silver(spark, args)), "track_id")
     trained = train_models(train, test, trees=args.trees, rounds=args.rounds)
     best = save_training(
-        spark, trained, args.out, args.experiment, args.layout.path("silver")
+        spark, trained, args.out, args.experiment, args.layout.path("silver"),
+        keys=["track_id", "event_time"],
     )
     trained.comparison().show(truncate=False)
     print("best model:", best)

@@ -327,7 +327,10 @@ def runs_log(spark, folder):
     path = work_dir(spark, "training")
     train, test = split_tracks(_silver(spark, folder))
     trained = _linear_only(train, test)
-    save_training(spark, trained, path, "tracks", f"{folder}/lineitem.parquet")
+    save_training(
+        spark, trained, path, "tracks", f"{folder}/lineitem.parquet",
+        keys=["track_id", "event_time"],
+    )
     logged = runs.read_runs(spark, f"{path}/runs")
     return logged.select("experiment", "run_name", "kind", "key", "value")
 

@@ -56,8 +56,9 @@ def compare_models(metrics, digits=4):
     ).orderBy("rmse", "Model")
 
 
-def actual_vs_predicted(predictions, key, n=5000, label=LABEL, prediction="prediction"):
+def actual_vs_predicted(predictions, key, n=5000, label=LABEL, prediction="prediction",
+                        **options):
     """A fixed-size sample of label and prediction pairs."""
     keys = [key] if isinstance(key, str) else list(key)
     wanted = predictions.select(*dict.fromkeys([*keys, label, prediction]))
-    return sample_n(wanted, keys, n)
+    return sample_n(wanted, keys, n, **options)

@@ -11,7 +11,7 @@ from wavelode.operators.distribution import histogram
 from wavelode.operators.evaluation import (
     actual_vs_predicted, compare_models, regression_metrics, residual_stats, residuals,
 )
-from wavelode.plans.queries.registry import load, query
+from wavelode.plans.queries.registry import file_or_folder, load, query
 from wavelode.plans.queries.profiles import histogram_sql
 from wavelode.plans.queries.testbed import FEATURES_CTE, line_silver, stored
 from wavelode.plans.training import (
@@ -19,6 +19,8 @@ from wavelode.plans.training import (
 )
 from wavelode.schemas import DERIVED_FEATURES, FEATURE_COLUMNS, LABEL
 from wavelode.session import work_dir
+from wavelode.sources.files import table, table_stream
+from wavelode.streaming.sinks import append_stream, run_stream
 
 # Fewer trees than the defaults: these queries run often, on whole tables.
 _QUICK = {"trees": 20, "rounds": 10}
@@ -213,9 +215,8 @@ FROM e
 """
 
 
-@query("linear_comparison", _LINEAR_SQL)
-def linear_comparison(spark, folder):
-    """Split, fit, score and compare, with models that have a closed form."""
+def _linear(spark, folder):
+    """Split, fit and score, with models that have a closed form."""
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice"
     )
@@ -224,7 +225,25 @@ def linear_comparison(spark, folder):
     return train_models(
         train, test, "l_quantity", ["l_extendedprice"], nominal=None,
         estimators={name: every[name] for name in _LINEAR},
-    ).comparison()
+    )
+
+
+@query("linear_comparison", _LINEAR_SQL)
+def linear_comparison(spark, folder):
+    return _linear(spark, folder).comparison()
+
+
+@query(
+    "summary_run",
+    f"""SELECT 'Model_Comparison_Summary' AS run_name, "Model" || '_' || measure AS key, value
+    FROM (UNPIVOT (SELECT "Model", rmse, mae, r2 FROM ({_LINEAR_SQL}))
+      ON rmse, mae, r2 INTO NAME measure VALUE value)""",
+)
+def summary_run(spark, folder):
+    logged, _ = training_runs(spark, _linear(spark, folder), "lines", label="l_quantity")
+    return logged[-1].filter("kind = 'metric'").select(
+        "run_name", "key", F.round(F.col("value").cast("double"), 4).alias("value")
+    )
 
 
 def _flag_points(spark, folder):
@@ -305,10 +324,59 @@ def coefficient_sizes(spark, folder):
     return models.importances(spark, model, names)
 
 
-@query("score_sample")
+_SCORED = """
+WITH s AS (SELECT regr_slope(l_quantity, l_extendedprice)
+    / (1 + 0.1::DOUBLE / stddev_pop(l_quantity)) AS slope,
+  avg(l_quantity) AS y, avg(l_extendedprice) AS x FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+  round(y + slope * (l_extendedprice - x), 4) AS prediction FROM lineitem, s
+"""
+_LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def _scorer(spark, folder):
+    """Preparation and a linear model as one fitted pipeline."""
+    lines = load(spark, folder, "lineitem")
+    name = "Linear_Regression"
+    trained = train_models(
+        lines, lines, "l_quantity", ["l_extendedprice"], nominal=None,
+        estimators={name: models.regressors("l_quantity")[name]},
+    )
+    return trained.scorer(name)
+
+
+def _scored(scorer, lines):
+    return models.score(scorer, lines).select(
+        *_LINE_KEY, "l_quantity", F.round("prediction", 4).alias("prediction")
+    )
+
+
+@query("score_batch", _SCORED)
+def score_batch(spark, folder):
+    return _scored(_scorer(spark, folder), load(spark, folder, "lineitem"))
+
+
+@query("score_stream", _SCORED)
+def score_stream(spark, folder):
+    schema = load(spark, folder, "lineitem").schema
+    stream = table_stream(spark, file_or_folder(folder, "lineitem"), schema)
+    target = work_dir(spark, "scored")
+    run_stream(append_stream(
+        _scored(_scorer(spark, folder), stream), target, f"{target}-checkpoint",
+        "available_now",
+    ))
+    return table(spark, target)
+
+
+@query(
+    "score_sample",
+    f"""SELECT * FROM ({_SCORED}) ORDER BY CAST('0x' || substr(md5('42:' || CAST(l_orderkey AS VARCHAR)
+      || ':' || CAST(l_linenumber AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR)), 1, 8) AS BIGINT),
+      l_orderkey, l_linenumber, l_partkey LIMIT 5000""",
+)
 def score_sample(spark, folder):
-    _, _, predictions = _prepared(spark, folder, "Linear_Regression")
-    return actual_vs_predicted(predictions, ["track_id", "event_time"])
+    scored = _scored(_scorer(spark, folder), load(spark, folder, "lineitem"))
+    return actual_vs_predicted(scored, _LINE_KEY, label="l_quantity", method="md5")
 
 
 @query("model_comparison")
@@ -333,10 +401,3 @@ def runs_log(spark, folder):
     )
     logged = runs.read_runs(spark, f"{path}/runs")
     return logged.select("experiment", "run_name", "kind", "key", "value")
-
-
-@query("run_rows")
-def run_rows(spark, folder):
-    train, test = split_tracks(_silver(spark, folder))
-    logged, _ = training_runs(spark, _linear_only(train, test), "tracks")
-    return logged[-1].select("run_name", "kind", "key", "value")

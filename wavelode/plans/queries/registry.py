@@ -18,3 +18,8 @@ def query(name, sql=None):
 
 def load(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def file_or_folder(folder, name):
+    """A table's path for a stream: as a pattern it may be a file or a folder."""
+    return f"{folder}/{{{name}.parquet}}"

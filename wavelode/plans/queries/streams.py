@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wavelode.operators.sinks import overwrite
 from wavelode.plans.layers import bronze
-from wavelode.plans.queries.registry import load, query
+from wavelode.plans.queries.registry import file_or_folder, load, query
 from wavelode.plans.queries.testbed import (
     EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks,
 )
@@ -28,9 +28,8 @@ FROM {_VALID} GROUP BY ALL
 
 
 def _messages(spark, folder):
-    # As a pattern the name may stand for one file or for a folder of files.
-    path = f"{folder}/{{events.parquet}}"
-    events = table_stream(spark, path, load(spark, folder, "events").schema)
+    schema = load(spark, folder, "events").schema
+    events = table_stream(spark, file_or_folder(folder, "events"), schema)
     twice = events.withColumn("copy_no", F.explode(F.array(F.lit(1), F.lit(2))))
     return as_messages(event_tracks(twice.drop("copy_no")), "sent")
 

@@ -23,8 +23,11 @@ def scatter(df, columns, keys, n=SCATTER_ROWS, **options):
     return sample_n(rows, keys, n, **options).select(*columns)
 
 
-def report(silver, keys=("track_id", "event_time"), label=LABEL):
-    """{section: DataFrame}; a section whose columns are absent is left out."""
+def report(silver, keys=("track_id", "event_time"), label=LABEL, approx_distinct=False):
+    """{section: DataFrame}; a section whose columns are absent is left out.
+
+    Quantiles, bin ranges and correlations are computed while it is built.
+    """
     keys = list(keys)
     numeric = existing(silver, NUMERIC_COLUMNS)
     names = existing(silver, [*CATEGORICAL_COLUMNS, "user_id", "track_id"])
@@ -34,7 +37,7 @@ def report(silver, keys=("track_id", "event_time"), label=LABEL):
         "describe": profile.describe_numeric(silver, numeric),
         "shape": profile.shape_stats(silver, numeric),
         "medians": profile.medians(silver, numeric),
-        "distinct": profile.distinct_counts(silver, names),
+        "distinct": profile.distinct_counts(silver, names, approx_distinct),
         "missing": profile.null_profile(silver),
         "histograms": histogram(silver, numeric, 50),
         "correlations": corr_matrix(silver, numeric),

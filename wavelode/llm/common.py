@@ -26,3 +26,22 @@ def stored(frame, label):
 def plain_text(column="text"):
     """A null text counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def pieces(batches, text=1, chars=2_000_000):
+    """Cut Arrow batches so that a piece holds about `chars` bytes of text or one row.
+
+    Bounds what a Python worker holds at once, however long the texts are.
+    """
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = pc.cumulative_sum(
+            pc.fill_null(pc.binary_length(batch.column(text)), 0).cast("int64")
+        ).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < batch.num_rows:
+            done = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(ends.searchsorted(done + chars, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -1,7 +1,14 @@
 """The registered query of each operator, with its SQL where SQL can express it."""
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from wavelode.llm.bpe import encode
 from wavelode.llm.common import documents
 from wavelode.llm.exact_dedup import exact_duplicates
+from wavelode.llm.fingerprints import compare_with_next
+from wavelode.llm.langid import predict_languages
+from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
 from wavelode.llm.sharding import SHARDS, SLOTS, place
 
 QUERIES = {}
@@ -18,6 +25,82 @@ def query(name, sql=None):
     return register
 
 
+@query("op3_mixing", f"""
+    WITH sizes AS (
+        SELECT doc_id, source, coalesce('s' || source, 'n') AS key, md5(coalesce(text, '')) AS content,
+               len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+        FROM documents
+    ),
+    placed AS (
+        SELECT *,
+               ('0x' || substr(md5(concat_ws('|', '{SEED}', coalesce(doc_id::VARCHAR, ''), content)),
+                               1, 15))::BIGINT
+                   % greatest(1, ceil(sqrt((SELECT count(*) FROM sizes))))::BIGINT AS block,
+               ('0x' || substr(md5(concat_ws('|', '{SEED + 1}', coalesce(doc_id::VARCHAR, ''),
+                                             content)), 1, 15))::BIGINT AS turn
+        FROM sizes
+    ),
+    sources AS (
+        SELECT key, source, sum(size)::BIGINT AS source_size,
+               (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+        FROM sizes GROUP BY key, source
+    ),
+    levels AS (
+        SELECT *, source_size * {MOST_PASSES} AS bound,
+               source_size * {MOST_PASSES} / weight AS ratio,
+               (sum(source_size) OVER ()
+                - coalesce(sum(source_size * {MOST_PASSES}) OVER (
+                      ORDER BY source_size * {MOST_PASSES} / weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+               / (sum(weight) OVER (
+                      ORDER BY source_size * {MOST_PASSES} / weight, source NULLS LAST
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM sources
+    ),
+    targets AS (
+        SELECT *, coalesce(least(bound, weight * (
+                   SELECT arg_min(level, ratio) FROM levels WHERE ratio > level)), bound)::DOUBLE
+               AS target
+        FROM levels
+    ),
+    blocks AS (
+        SELECT key, block, sum(size)::BIGINT AS words, pass
+        FROM placed, range({MOST_PASSES}) p(pass) GROUP BY key, block, pass
+    ),
+    passes AS (
+        SELECT b.key, b.block, b.pass,
+               least(words, round(target)::BIGINT - pass * source_size
+                     - (sum(words) OVER (
+                           PARTITION BY b.key, b.pass
+                           ORDER BY ('0x' || substr(md5(concat_ws('|', '{SEED + 2}', b.key,
+                                     b.block::VARCHAR, b.pass::VARCHAR)), 1, 15))::BIGINT, b.block)
+                        - words)) AS most
+        FROM blocks b JOIN targets USING (key)
+        WHERE words > 0
+    ),
+    cut AS (
+        SELECT *, sum(size) OVER (PARTITION BY key, block ORDER BY turn, doc_id, content) - size
+                  AS before
+        FROM placed
+    )
+    SELECT c.doc_id, any_value(c.size) AS size, any_value(t.source_size) AS source_size,
+           any_value(t.target) AS target,
+           coalesce(sum(greatest(0, least(c.size, p.most - c.before)))
+                    FILTER (p.most IS NOT NULL), 0)::BIGINT AS taken
+    FROM cut c JOIN targets t USING (key)
+    LEFT JOIN passes p ON p.key = c.key AND p.block = c.block AND p.most > 0
+    GROUP BY c.doc_id, c.content
+""")
+def op3_mixing(spark, folder):
+    mix = mix_sources(documents(spark, folder))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_language_id")
+def op4_language_id(spark, folder):
+    return predict_languages(documents(spark, folder))
+
+
 @query("op6_exact_dedup", """
     SELECT doc_id,
            max(doc_id) OVER same AS keep_id,
@@ -32,6 +115,29 @@ def op6_exact_dedup(spark, folder):
     return exact_duplicates(documents(spark, folder), digest_all=True)
 
 
+@query("op7_fingerprints")
+def op7_fingerprints(spark, folder):
+    return compare_with_next(documents(spark, folder)).drop("positions")
+
+
+def token_digests(encoded):
+    """Numbers of tokens and SHA-256 of ids and decoded text."""
+    return encoded.select(
+        "doc_id", (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def word_vocabulary():
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_bpe")
+def op9_bpe(spark, folder):
+    return token_digests(encode(documents(spark, folder), word_vocabulary(), decoded=True))
+
+
 @query("op10_sharding", f"""
     WITH RECURSIVE
     shards AS (

@@ -90,12 +90,15 @@ def exact_duplicates(docs, id_col="doc_id", text_col="text", prefix_chars=PREFIX
     )
 
     rest = hashed.where("_open")
-    groups = rest.groupBy("_hash").agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.max(F.struct("_id", "_tag")).alias("_keep"),
+    groups = stored(
+        rest.groupBy("_hash").agg(
+            F.count(F.lit(1)).alias("group_size"),
+            F.max(F.struct("_id", "_tag")).alias("_keep"),
+        ),
+        "text-groups",
     )
-    # Row by row against its group: no window, so a huge group is never in one task;
-    # the adaptive skew join splits the rows of a hot hash.
+    # Row by row against its group: no window, so a huge group is never in one task.
+    # Both sides are scans, which lets the adaptive join split the rows of a hot hash.
     found = rest.join(groups, "_hash").select(
         "_id", F.col("_keep._id").alias("keep_id"), "group_size",
         (F.col("_tag") == F.col("_keep._tag")).alias("kept"), "_hash",

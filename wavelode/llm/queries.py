@@ -10,6 +10,7 @@ from wavelode.llm.fingerprints import compare_with_next
 from wavelode.llm.langid import predict_languages
 from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
 from wavelode.llm.sharding import SHARDS, SLOTS, place
+from wavelode.llm.simhash import near_duplicates
 
 QUERIES = {}
 SQL = {}
@@ -120,6 +121,11 @@ def op7_fingerprints(spark, folder):
     return compare_with_next(documents(spark, folder)).drop("positions")
 
 
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark, folder):
+    return near_duplicates(documents(spark, folder))
+
+
 def token_digests(encoded):
     """Numbers of tokens and SHA-256 of ids and decoded text."""
     return encoded.select(

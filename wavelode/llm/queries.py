@@ -8,6 +8,7 @@ from wavelode.llm.common import documents
 from wavelode.llm.exact_dedup import exact_duplicates
 from wavelode.llm.fingerprints import compare_with_next
 from wavelode.llm.langid import predict_languages
+from wavelode.llm.lines import dedup_lines
 from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
 from wavelode.llm.sharding import SHARDS, SLOTS, place
 from wavelode.llm.simhash import near_duplicates
@@ -102,6 +103,18 @@ def op4_language_id(spark, folder):
     return predict_languages(documents(spark, folder))
 
 
+@query("op5_line_dedup")
+def op5_line_dedup(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text", F.size(
+        F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"))
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines",
+        F.expr("aggregate(removed, 0L, (a, s) -> a + s.end - s.start + 1)").alias("n_removed"),
+        F.array_join(F.expr("transform(removed, s -> s.start || '-' || s.end)"), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 @query("op6_exact_dedup", """
     SELECT doc_id,
            max(doc_id) OVER same AS keep_id,

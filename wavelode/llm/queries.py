@@ -12,6 +12,7 @@ from wavelode.llm.lines import dedup_lines
 from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
 from wavelode.llm.sharding import SHARDS, SLOTS, place
 from wavelode.llm.simhash import near_duplicates
+from wavelode.llm.toxicity import score_toxicity
 
 QUERIES = {}
 SQL = {}
@@ -27,6 +28,12 @@ def query(name, sql=None):
     return register
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return score_toxicity(documents(spark, folder), labels)
+
+
 @query("op3_mixing", f"""
     WITH sizes AS (
         SELECT doc_id, source, coalesce('s' || source, 'n') AS key, md5(coalesce(text, '')) AS content,

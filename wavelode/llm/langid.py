@@ -211,42 +211,55 @@ def classify(texts, model):
     ]
 
 
-def identify_languages(docs, sample, id_col="doc_id", text_col="text"):
-    """`id_col`, lang_pred and score for every row, from a labelled sample.
+def identify_languages(docs, sample, text_col="text", columns=("doc_id",)):
+    """The given columns of every row with lang_pred and score, from a labelled sample.
 
     lang_pred is `und`, with score 0, if the text is null or has no letter, or if the
     sample is empty; equal measures go to the first language by name. Score is 1 for a
-    clear winner and 1 / n if n languages fit alike. Ids may be null or repeat; only
-    the two named columns are read; whole texts count.
+    clear winner and 1 / n if n languages fit alike. Whole texts count. Values of the
+    columns may be null or repeat; a column already called lang_pred or score is replaced.
     """
-    model = learn(sample)
+    columns = [c for c in columns if c not in ("lang_pred", "score")]
+    inner = [f"c{n}" for n in range(len(columns))]
+    rows = docs.select(*[F.col(c).alias(i) for c, i in zip(columns, inner)],
+                       plain_text(text_col).alias("text"))
     schema = T.StructType([
-        docs.schema[id_col], T.StructField("lang_pred", T.StringType()),
+        *[rows.schema[i] for i in inner], T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(learn(sample))
 
     def run(batches):
         import pyarrow as pa
 
-        for piece in pieces(batches):
-            texts = piece.column(1).to_pylist()
+        for piece in pieces(batches, text=len(inner)):
+            texts = piece.column(len(inner)).to_pylist()
             if shared.value is None:
                 found = [(UNKNOWN, 0.0)] * len(texts)
             else:
                 found = classify(texts, shared.value)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array([f[0] for f in found], pa.string()),
+                [*piece.columns[:-1], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=schema.names)
 
-    return docs.select(id_col, plain_text(text_col).alias("_text")).mapInArrow(run, schema)
+    found = rows.mapInArrow(run, schema)
+    return found.select(*[F.col(i).alias(c) for c, i in zip(columns, inner)], "lang_pred", "score")
 
 
 def predict_languages(docs, id_col="doc_id", text_col="text", lang_col="lang"):
-    """Learn from the rows that are not held out and identify every row's language.
+    """Learn from the rows that are not held out and identify every row's language:
+    `id_col`, held_out, lang_pred and score."""
+    sample = labelled_sample(docs, id_col, text_col, lang_col)
+    found = identify_languages(docs, sample, text_col, [id_col])
+    return found.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+
 
-    Adds held_out to the columns of `identify_languages`.
+def keep_identified(docs, id_col="doc_id", text_col="text", lang_col="lang"):
+    """The rows whose language could be told, with all their columns as they are.
+
+    Rejected are only rows marked `und`: null texts and texts without a letter.
     """
     sample = labelled_sample(docs, id_col, text_col, lang_col)
-    found = identify_languages(docs, sample, id_col, text_col)
-    return found.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    found = identify_languages(named, sample, "text", ["row"])
+    return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")

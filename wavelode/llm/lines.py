@@ -137,17 +137,17 @@ def repeated_spans(rows, min_words=MIN_WORDS):
     return later.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS):
+def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, removed="removed"):
     """All columns of the rows, the text without the runs of lines that occur earlier,
-    and `removed`, an array of (start, end) line numbers from 0 (a column already called
-    removed is replaced).
+    and column `removed`, an array of (start, end) line numbers from 0 (a column that
+    already has this name is replaced).
 
     Documents come in the order of their ids, null ids first and equal ids by a hash of
     their text; rows that repeat both id and text count as one document and keep the same
     lines. A null text stays null. Texts of fewer words than `min_words` are never
     changed. Other columns pass through, whatever their names.
     """
-    names = [c for c in docs.columns if c != "removed"]
+    names = [c for c in docs.columns if c != removed]
     inner = [f"c{n}" for n in range(len(names))]
     text_at = names.index(text_col)
     number = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
@@ -182,9 +182,10 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS):
                 columns[text_at] = pa.array(
                     [without_lines(t, s) if s else t for t, s in zip(texts, spans)],
                     target.field(text_at).type)
-            removed = [[{"start": a, "end": b} for a, b in found] for found in spans]
+            gone = [[{"start": a, "end": b} for a, b in found] for found in spans]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(removed, target.field(len(names)).type)], schema=target)
+                [*columns, pa.array(gone, target.field(len(names)).type)], schema=target)
 
     found = rows.mapInArrow(rewrite, schema)
-    return found.select(*[F.col(i).alias(c) for c, i in zip(names, inner)], "removed")
+    return found.select(*[F.col(i).alias(c) for c, i in zip(names, inner)],
+                        F.col("removed").alias(removed))

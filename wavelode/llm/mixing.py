@@ -270,3 +270,18 @@ def first_words(text, words):
     """The text up to the end of its first so many words."""
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     return F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
+
+
+def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source",
+                    shards=SHARDS, seed=SEED):
+    """The documents of the mix with all their columns: a row for each time a document is
+    taken, the text cut after the words that are taken. Shards come as drawn, each in its
+    own order; rows without words are not taken."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
+                       F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    mix = mix_sources(rows, "id", "text", "source", shards, seed, carry=["row"])
+    taken = mix.select("row", "size", F.explode("draws").alias("draw"))
+    text = F.col("row")[text_col]
+    cut = F.when(F.col("draw.words") < F.col("size"), first_words(text, F.col("draw.words")))
+    return taken.select(
+        F.col("row").withField(text_col, F.coalesce(cut, text)).alias("row")).select("row.*")

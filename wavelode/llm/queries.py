@@ -1,6 +1,5 @@
 """The registered query of each operator, with its SQL where SQL can express it."""
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from wavelode.llm.bpe import encode
@@ -10,6 +9,7 @@ from wavelode.llm.fingerprints import compare_with_next
 from wavelode.llm.langid import predict_languages
 from wavelode.llm.lines import dedup_lines
 from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
+from wavelode.llm.secret_scan import KINDS, scan_secrets
 from wavelode.llm.sharding import SHARDS, SLOTS, place
 from wavelode.llm.simhash import near_duplicates
 from wavelode.llm.toxicity import score_toxicity
@@ -34,6 +34,21 @@ def op1_toxicity(spark, folder):
     return score_toxicity(documents(spark, folder), labels)
 
 
+@query("op2_secret_scan")
+def op2_secret_scan(spark, folder):
+    def joined(spans):
+        return F.array_join(
+            F.expr(f"transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end))"), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return scan_secrets(documents(spark, folder)).select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+    )
+
+
 @query("op3_mixing", f"""
     WITH sizes AS (
         SELECT doc_id, source, coalesce('s' || source, 'n') AS key, md5(coalesce(text, '')) AS content,
@@ -156,6 +171,8 @@ def token_digests(encoded):
 
 
 def word_vocabulary():
+    import public_tokenizers
+
     return public_tokenizers.path("word_bpe_49k.json")
 
 

@@ -261,3 +261,23 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, dis
     return rows.join(by_print, "print").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, distance=DISTANCE):
+    """One row of each group of linked rows, with all its columns: the one with the
+    smallest id (null first), then the smallest hash of its text. Rows that repeat both
+    stay once."""
+    key = F.struct(F.col(id_col).alias("id"), F.md5(plain_text(text_col)).alias("hash"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"),
+                       plain_text(text_col).alias("text"))
+    found = near_duplicates(rows, "key", "text", shingle, distance)
+    stay = stored(
+        found.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct(),
+        "stay",
+    )
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("hash") == F.col("stay_hash"))
+    stay = stay.select(F.col("key.id").alias("stay_id"), F.col("key.hash").alias("stay_hash"))
+    rows = rows.select("row", "key.id", "key.hash")
+    # Each (id, hash) has few rows: those that repeat the whole id and text.
+    kept = rows.join(stay, same, "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row"))
+    return kept.select("row.*")

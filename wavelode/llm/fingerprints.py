@@ -10,14 +10,13 @@ from two of n, so k is a power of two; window minima are made by doubling as wel
 """
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
-from pyspark import TaskContext
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import pieces, plain_text, stored
+from wavelode.llm.common import pieces, plain_text
 
 GRAM = 16
 WINDOW = 64
@@ -177,26 +176,45 @@ _COMPARED = [
 ]
 
 
-def _compare(texts, following, gram, window, chained):
-    """Columns of _COMPARED. chained: following is texts from the second on, and one."""
-    edited = [edited_text(t, f) for t, f in zip(texts, following)]
-    own = winnow_many(texts, gram, window)
+def _compare(texts, pairs, gram, window):
+    """Columns of _COMPARED for pairs (number of a text, number of the next one)."""
+    prints = winnow_many(texts, gram, window)
+    sets = [set(h.tolist()) for h, _ in prints]
+    edited = [edited_text(texts[a], texts[b]) for a, b in pairs]
     changed = winnow_many(edited, gram, window)
-    sets = [set(h.tolist()) for h, _ in own]
-    if chained:
-        next_sets = sets[1:] + [set(h.tolist()) for h, _ in winnow_many(following[-1:], gram, window)]
-    else:
-        next_sets = [set(h.tolist()) for h, _ in winnow_many(following, gram, window)]
     return [
-        [len(t) for t in texts],
+        [len(texts[a]) for a, _ in pairs],
         [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited],
-        [hash_text(h) for h, _ in own], [hash_text(h) for h, _ in changed],
-        [likeness(s, set(h.tolist())) for s, (h, _) in zip(sets, changed)],
-        [likeness(s, n) for s, n in zip(sets, next_sets)],
-        [p for _, p in own],
+        [hash_text(prints[a][0]) for a, _ in pairs], [hash_text(h) for h, _ in changed],
+        [likeness(sets[a], set(h.tolist())) for (a, _), (h, _) in zip(pairs, changed)],
+        [likeness(sets[a], sets[b]) for a, b in pairs],
+        [prints[a][1] for a, _ in pairs],
     ]
 
 
+def _sort_key(number, order):
+    return number is not None, 0 if number is None else number, order
+
+
+def range_starts(rows, id_col):
+    """First (id, hash) of each of several ranges with about as many rows, in order: at
+    most spark.sql.shuffle.partitions of them. Only ids and hashes are sorted here."""
+    order = [F.col(id_col).asc_nulls_first(), F.col("_order")]
+
+    def firsts(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                break
+        for _ in batches:  # read to the end
+            pass
+
+    keys = rows.select(id_col, "_order")
+    found = keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        firsts, keys.schema)
+    return sorted({_sort_key(*row) for row in found.collect()})
+
+
 def compare_with_next(docs, id_col="doc_id", text_col="text", gram=GRAM, window=WINDOW):
     """Fingerprint each text and its edited text, and compare both and the next text.
 
@@ -206,68 +224,52 @@ def compare_with_next(docs, id_col="doc_id", text_col="text", gram=GRAM, window=
     count as empty; rows may repeat; an only document is its own next one; an empty
     table gives no rows. Other columns are not read.
 
-    One sort by ranges of (id, hash) brings neighbours together, so that an id that
-    very many rows share is spread too. A task knows the successors of all its rows but
-    the last; it writes its first and last texts, and these few are joined afterwards.
+    Neighbours meet in ranges of (id, hash), so that an id that very many rows share is
+    spread too. The first document of a range also goes to the end of the range before,
+    and that of the first range to the end of the last.
     """
-    kept = docs.schema[id_col]
-    fields = [kept, *_COMPARED]
-    wide = T.StructType([
-        *fields, T.StructField("_part", T.IntegerType()), T.StructField("_kind", T.StringType()),
-        T.StructField("_text", T.StringType()),
-    ])
+    schema = T.StructType([docs.schema[id_col], *_COMPARED])
+    rows = docs.select(id_col, plain_text(text_col).alias("_text")).withColumn(
+        "_order", F.xxhash64("_text"))
+    starts = range_starts(rows, id_col)
+    if not starts:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    @F.arrow_udf("array<struct<part: int, extra: boolean>>")
+    def places(ids, orders):
+        import pyarrow as pa
 
-    def batch_of(ids, columns, extra, schema):
+        out = []
+        for key in map(_sort_key, ids.to_pylist(), orders.to_pylist()):
+            part = max(0, bisect_right(starts, key) - 1)
+            out.append([{"part": part, "extra": False}])
+            if starts[part] == key:
+                out[-1].append({"part": (part - 1) % len(starts), "extra": True})
+        return pa.array(out, pa.list_(pa.struct([("part", pa.int32()), ("extra", pa.bool_())])))
+
+    placed = rows.withColumn("_places", places(id_col, "_order")).select(
+        id_col, "_text", "_order", F.explode("_places").alias("_place")
+    ).select(F.col("_place.part").alias("_part"), F.col("_place.extra").alias("_extra"), id_col,
+             "_order", "_text")
+    ordered = placed.repartitionById(len(starts), "_part").sortWithinPartitions(
+        "_part", "_extra", F.col(id_col).asc_nulls_first(), "_order", "_text")
+
+    def neighbours(batches):
         import pyarrow as pa
 
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(schema)
-        arrays = [pa.array(c, f.type) for c, f in zip([ids, *columns, *extra], target)]
-        return pa.RecordBatch.from_arrays(arrays, schema=target)
-
-    def neighbours(batches):
-        part = TaskContext.get().partitionId()
-        nothing = [[None]] * len(_COMPARED)
-        last = None
-        for piece in pieces(batches):
-            ids, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
-            if last is None:
-                yield batch_of(ids[:1], nothing, [[part], ["head"], texts[:1]], wide)
-            else:
-                ids, texts = [last[0], *ids], [last[1], *texts]
-            last = ids[-1], texts[-1]
-            if len(ids) > 1:
-                columns = _compare(texts[:-1], texts[1:], gram, window, chained=True)
-                count = len(ids) - 1
-                extra = [[part] * count, ["row"] * count, [None] * count]
-                yield batch_of(ids[:-1], columns, extra, wide)
-        if last is not None:
-            yield batch_of([last[0]], nothing, [[part], ["tail"], [last[1]]], wide)
-
-    def ends(batches):
-        for piece in pieces(batches):
-            columns = _compare(piece.column(1).to_pylist(), piece.column(2).to_pylist(),
-                               gram, window, chained=False)
-            yield batch_of(piece.column(0).to_pylist(), columns, [], T.StructType(fields))
+        last = ([], [], [], [])
+        for piece in pieces(batches, text=4):
+            parts, extras, ids, texts = (
+                [*carried, *piece.column(n).to_pylist()]
+                for carried, n in zip(last, (0, 1, 2, 4)))
+            pairs = [(n, n + 1) for n in range(len(ids) - 1)
+                     if not extras[n] and parts[n] == parts[n + 1]]
+            columns = [[ids[n] for n, _ in pairs], *_compare(texts, pairs, gram, window)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+            last = parts[-1:], extras[-1:], ids[-1:], texts[-1:]
 
-    rows = docs.select(id_col, plain_text(text_col).alias("_text"))
-    order = [F.col(id_col).asc_nulls_first(), F.col("_order")]
-    ordered = rows.withColumn("_order", F.xxhash64("_text")).repartitionByRange(*order)
-    ordered = ordered.sortWithinPartitions(*order).select(id_col, "_text")
-    found = stored(ordered.mapInArrow(neighbours, wide), "neighbours")
-
-    # One row per task from here on.
-    heads = found.where("_kind = 'head'").select("_part", F.col("_text").alias("_next"))
-    by_part = Window.orderBy("_part")
-    whole = Window.partitionBy()
-    after = heads.select("_part", F.coalesce(
-        F.lead("_part").over(by_part), F.min("_part").over(whole)).alias("_after"))
-    tails = found.where("_kind = 'tail'").select(id_col, "_text", "_part")
-    pairs = (
-        tails.join(after, "_part")
-        .join(heads.withColumnRenamed("_part", "_after"), "_after")
-        .select(id_col, "_text", "_next")
-    )
-    done = found.where("_kind = 'row'").select(*[f.name for f in fields])
-    return done.unionByName(pairs.mapInArrow(ends, T.StructType(fields)))
+    return ordered.mapInArrow(neighbours, schema)

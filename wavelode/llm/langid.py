@@ -19,6 +19,8 @@ from wavelode.llm.common import pieces, plain_text
 # Bound of the labelled sample: so many texts a language, so many characters of each.
 SAMPLE_TEXTS = 100
 SAMPLE_CHARS = 160
+# Parts in which a language's texts are ranked before they meet.
+RANK_PARTS = 32
 # Letters with a symbol of their own; further letters share one.
 LETTERS = 48
 # Symbols of a segment; longer texts are parsed in several.
@@ -46,9 +48,12 @@ def labelled_sample(docs, id_col="doc_id", text_col="text", lang_col="lang",
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    ranked = rows.select("lang", "hash").distinct().withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
-    chosen = ranked.where(F.col("rank") <= texts).select("lang", "hash").cache()
+    # First within RANK_PARTS parts of a language, then among the few rows that are left.
+    chosen = rows.select("lang", "hash", F.pmod("hash", F.lit(RANK_PARTS)).alias("part")).distinct()
+    for keys in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= texts).drop("rank")
+    chosen = chosen.select("lang", "hash").cache()
     try:
         # At most `texts` rows a language.
         found = rows.join(F.broadcast(chosen), ["lang", "hash"])

@@ -50,7 +50,7 @@ def words(rng, least, most, letters="abcdefghijklmnop"):
 def near_copies(seed=3):
     """Documents with exact copies, small edits and unrelated texts."""
     rng = random.Random(seed)
-    rows, number = [], 0
+    rows, number = [], 100
     for group in range(25):
         base = words(rng, 150, 400).split()
         for copy in range(rng.choice([1, 1, 2, 4, 9])):

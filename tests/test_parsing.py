@@ -1,3 +1,4 @@
+import gzip
 import math
 
 import pytest
@@ -126,6 +127,24 @@ def test_tracks_csv(spark, tmp_path):
     assert rows[0]["album_name"] is None and rows[0]["energy"] is None
 
 
+def test_csv_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("track_id,popularity,tempo\nt1,20,99.5\n")
+    (folder / "b.csv").write_text("track_id,tempo,popularity\nt2,98.5,30\nt3,1,\n")
+    (folder / "c.csv").write_text('"track_id",other\nt4,x\n')
+    (folder / "d.csv").write_text("")
+    with gzip.open(folder / "e.csv.gz", "wt") as file:
+        file.write("tempo,track_id\n7.5,t5\n")
+    rows = read_tracks_csv(spark, str(folder)).orderBy("track_id").collect()
+    assert [(r["track_id"], r["popularity"], r["tempo"]) for r in rows] == [
+        ("t1", 20, 99.5), ("t2", 30, 98.5), ("t3", None, 1.0), ("t4", None, None),
+        ("t5", None, 7.5)]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.csv").write_text("")
+    assert read_tracks_csv(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_tracks_csv_with_line_breaks(spark, tmp_path):
     (tmp_path / "tracks.csv").write_text('track_id,track_name\nt1,"two\nlines"\n')
     row = read_tracks_csv(spark, str(tmp_path / "tracks.csv"), multi_line=True).first()

@@ -12,7 +12,9 @@ from wavelode.sources.files import child_names, table, table_stream
 from wavelode.streaming.jobs import (
     Layout, read_gold, run_layers, start_bronze, start_gold, start_silver,
 )
-from wavelode.streaming.sinks import append_stream, read_snapshot, run_stream, snapshot_stream
+from wavelode.streaming.sinks import (
+    _write_snapshot, append_stream, read_snapshot, run_stream, snapshot_stream,
+)
 
 STAMPS = ["ingestion_time", "silver_ingestion_time", "gold_ingestion_time", "event_timestamp"]
 
@@ -112,17 +114,51 @@ def test_snapshots_are_replaced_and_pruned(spark, tmp_path):
     stream = table_stream(spark, source, "id BIGINT, k BIGINT", maxFilesPerTrigger=1)
     counts = stream.groupBy("k").count()
     run_stream(snapshot_stream(counts, path, str(tmp_path / "cp"), "available_now", keep=2))
-    assert sorted(c for c in child_names(spark, path)) == ["snapshot=2", "snapshot=3"]
+    assert sorted(c for c in child_names(spark, path)) == ["snapshot=1-2", "snapshot=1-3"]
     assert sorted(map(tuple, read_snapshot(spark, path).collect())) == [(0, 20), (1, 20)]
     with pytest.raises(Exception):
         read_snapshot(spark, str(tmp_path / "nothing"))
 
 
+def test_new_checkpoint_goes_on_after_the_old_one(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def add(rows):
+        spark.range(rows).selectExpr("id", "id % 2 AS k").coalesce(1).write.mode(
+            "append").parquet(source)
+
+    def run(checkpoint, keep=None):
+        stream = table_stream(spark, source, "id BIGINT, k BIGINT", maxFilesPerTrigger=1)
+        run_stream(snapshot_stream(
+            stream.groupBy("k").count(), path, str(tmp_path / checkpoint), "available_now",
+            keep=keep))
+
+    for _ in range(3):
+        add(10)
+    run("first")
+    older = read_snapshot(spark, path)
+    add(20)
+    run("second")
+    assert sorted(map(tuple, read_snapshot(spark, path).collect())) == [(0, 25), (1, 25)]
+    assert older.count() == 2  # a reader of the older snapshot is not disturbed
+    assert (tmp_path / "second" / "generation").read_text() == "2"
+    # A repeated batch rewrites its own snapshot, and pruning never takes the newest.
+    before = sorted(child_names(spark, path))
+    _write_snapshot(path, 2, 1, older, 3)
+    assert before[-1] == "snapshot=2-3" and child_names(spark, path) == ["snapshot=2-3"]
+    add(1)
+    run("second", keep=1)
+    assert child_names(spark, path) == ["snapshot=2-4"]
+
+
 def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     path = tmp_path / "out"
     spark.range(3).write.parquet(str(path / "snapshot=4"))
     (path / "snapshot=5").mkdir()
     assert read_snapshot(spark, str(path)).count() == 3
+    spark.range(5).write.parquet(str(path / "snapshot=1-0"))
+    (path / "snapshot=1-1").mkdir()
+    assert read_snapshot(spark, str(path)).count() == 5
 
 
 def test_bounded_run_stops(spark, tmp_path, source):

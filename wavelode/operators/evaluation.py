@@ -12,13 +12,14 @@ def regression_metrics(predictions, columns, label=LABEL):
     rows = []
     for name, column in columns.items():
         error = y - F.col(column)
+        known = F.when(error.isNotNull(), y)  # all measures over the same rows
         rows.append(F.struct(
             F.lit(name).alias("model"),
             F.count(error).alias("rows"),
             F.sqrt(F.avg(error * error)).alias("rmse"),
             F.avg(F.abs(error)).alias("mae"),
             (
-                1 - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(y))
+                1 - F.try_divide(F.sum(error * error), F.var_pop(known) * F.count(known))
             ).alias("r2"),
             F.coalesce(F.avg(error), F.lit(0.0)).alias("residual_mean"),
             F.coalesce(F.stddev_samp(error), F.lit(0.0)).alias("residual_std"),

@@ -1,9 +1,11 @@
 """Model inputs from valid track events."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from wavelode.operators.labels import fit_label_index
+
 from wavelode.schemas import FEATURE_COLUMNS, LABEL
 
 # The featured-artist pattern and the short-track limit.
@@ -38,31 +40,6 @@ def track_features(df):
     })
 
 
-def label_counts(df, column):
-    """Labels, most frequent first and ties alphabetical: the index order."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), F.asc(column))
-    )
-
-
-def fit_label_index(df, column, output=None, max_labels=10_000):
-    """Index labels by frequency; null and unseen labels share one extra index.
-
-    The labels become part of the model, so their number is checked before
-    they reach the driver.
-    """
-    labels = [row[column] for row in label_counts(df, column).take(max_labels + 1)]
-    if len(labels) > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} labels")
-    return StringIndexerModel.from_labels(
-        labels, inputCol=column, outputCol=output or f"{column}_index",
-        handleInvalid="keep",
-    )
-
-
 def assembler(columns=FEATURE_COLUMNS, output="features"):
     """Columns to one vector; rows with a null or NaN among them are left out."""
     return VectorAssembler(

@@ -17,11 +17,16 @@ from wavelode.schemas import LABEL
 from wavelode.session import ensure_checkpoint_dir
 
 
-def hash_split(df, key="track_id", train_pct=80, seed=42, method="xxhash64"):
-    """Train and test sides by key: all rows of a key land on one side."""
+def in_train(key="track_id", train_pct=80, seed=42, method="xxhash64"):
+    """Is a row on the training side? All rows of a key are on one side."""
     keys = [key] if isinstance(key, str) else list(key)
-    bucket = hash_bucket(keys, 100, seed, method)
-    return df.filter(bucket < train_pct), df.filter(bucket >= train_pct)
+    return hash_bucket(keys, 100, seed, method) < train_pct
+
+
+def hash_split(df, key="track_id", train_pct=80, seed=42, method="xxhash64"):
+    """Train and test sides by key."""
+    side = in_train(key, train_pct, seed, method)
+    return df.filter(side), df.filter(~side)
 
 
 def random_split(df, train_pct=80, seed=42):
@@ -105,19 +110,26 @@ def score_all(models, df):
     return df
 
 
-def importances(spark, model, names, top=None):
-    """Tree importances, or sizes of coefficients: (feature, importance, method)."""
-    if hasattr(model, "featureImportances"):
-        values, method = model.featureImportances, "tree_feature_importance"
-    elif hasattr(model, "coefficients"):
-        values, method = model.coefficients, "abs_coefficients"
-    else:
-        return None
-    values = [abs(float(v)) for v in values.toArray()]
-    if len(names) != len(values):
-        names = [f"feature_{i}" for i in range(len(values))]
-    rows = spark.createDataFrame(
-        list(zip(names, values)), "feature STRING, importance DOUBLE"
-    ).withColumn("method", F.lit(method))
-    rows = rows.orderBy(F.desc("importance"), "feature")
-    return rows if top is None else rows.limit(top)
+# Linear models weigh features by coefficients, all others by what their splits gain.
+LINEAR_MODELS = ("Linear_Regression", "Generalized_Linear_Regression")
+# What the weights of either kind are called.
+COEFFICIENT_METHOD = "abs_coefficients"
+SPLIT_METHOD = "tree_feature_importance"
+
+
+def importances(spark, name, model, slots, top=None):
+    """Weights of a fitted model's features: (feature, importance, method), largest first.
+
+    ``name`` is a key of ``regressors`` and tells what kind of weights the model has;
+    ``slots`` are the names of the vector slots.
+    """
+    linear = name in LINEAR_MODELS
+    vector = model.coefficients if linear else model.featureImportances
+    method = COEFFICIENT_METHOD if linear else SPLIT_METHOD
+    weights = spark.createDataFrame(
+        [(slot, float(weight), method) for slot, weight in zip(slots, vector.toArray(), strict=True)],
+        "feature STRING, importance DOUBLE, method STRING",
+    )
+    ranked = weights.withColumn("importance", F.abs("importance")).orderBy(
+        F.desc("importance"), "feature")
+    return ranked.limit(top) if top else ranked

@@ -2,14 +2,15 @@
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wavelode.operators import features as feat
 from wavelode.operators import models, runs
 from wavelode.operators.distribution import histogram
 from wavelode.operators.evaluation import (
-    actual_vs_predicted, compare_models, regression_metrics, residual_stats, residuals,
+    actual_vs_predicted, regression_metrics, residual_stats, residuals,
 )
 from wavelode.plans.queries.registry import file_or_folder, load, query
 from wavelode.plans.queries.profiles import histogram_sql
@@ -22,9 +23,6 @@ from wavelode.session import work_dir
 from wavelode.sources.files import table, table_stream
 from wavelode.streaming.sinks import append_stream, run_stream
 
-# Fewer trees than the defaults: these queries run often, on whole tables.
-_QUICK = {"trees": 20, "rounds": 10}
-
 
 def _silver(spark, folder):
     """The Silver columns that features come from, as a table."""
@@ -100,11 +98,8 @@ def feature_vectors(spark, folder):
 )
 def hash_split_counts(spark, folder):
     events = load(spark, folder, "events").select("user_id")
-    train, test = models.hash_split(events, "user_id", method="md5")
-    both = train.withColumn("side", F.lit("train")).unionByName(
-        test.withColumn("side", F.lit("test"))
-    )
-    return both.groupBy("side").agg(
+    side = F.when(models.in_train("user_id", method="md5"), "train").otherwise("test")
+    return events.withColumn("side", side).groupBy("side").agg(
         F.count("*").alias("n"), F.count_distinct("user_id").alias("users")
     )
 
@@ -270,7 +265,7 @@ def _flag_predictions(spark, folder, estimator):
     )
 
 
-# On one 0/1 feature a regression tree, boosted once or not, is the group mean.
+# On one 0/1 feature a regression tree is the group mean.
 @query("tree_fit", _FLAG_MEANS)
 def tree_fit(spark, folder):
     return _flag_predictions(
@@ -279,49 +274,104 @@ def tree_fit(spark, folder):
     )
 
 
-@query("gbt_one_round", _FLAG_MEANS)
-def gbt_one_round(spark, folder):
-    return _flag_predictions(
-        spark, folder,
-        GBTRegressor(labelCol="l_extendedprice", maxDepth=6, maxIter=1, stepSize=0.1, seed=42),
+# A label that follows from the features, so that a fit must do better than the mean.
+_SIGNAL = "20 + 40 * energy + 15 * explicit_int + 10 * CAST(tempo > 120 AS INT)"
+_SIGNAL_SPLIT = f"""{FEATURES_CTE},
+sides AS (SELECT track_id, event_time,
+    CAST('0x' || substr(md5('42:' || track_id), 1, 8) AS BIGINT) % 100 < 80 AS in_train
+  FROM features),
+sizes AS (SELECT count(*) FILTER (in_train) AS train_rows,
+    count(*) FILTER (NOT in_train) AS test_rows FROM sides)"""
+
+_TRAININGS = {}
+
+
+def _training(spark, folder):
+    """All five models at their full settings over all tracks; one training serves every
+    query of a session that reads it."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _TRAININGS:
+        silver = _silver(spark, folder).withColumn(
+            "signal", F.expr(_SIGNAL).cast("double"))
+        train, test = split_tracks(silver, method="md5")
+        _TRAININGS[key] = train_models(train, test, "signal")
+    return _TRAININGS[key]
+
+
+def _fit_facts(spark, folder, name):
+    """Facts about a fit that hold for whatever trees were found."""
+    trained = _training(spark, folder)
+    model = trained.fitted[name]
+    scores = trained.metrics.filter(F.col("model") == name)
+    spread = trained.predictions.agg(F.stddev_pop("signal")).first()[0]
+    return scores.select(
+        "model", F.col("rows").alias("test_rows"),
+        F.lit(model.getNumTrees).cast("int").alias("trees"),
+        F.lit(round(float(sum(model.featureImportances.toArray())), 6)).alias("importance_sum"),
+        (F.col("rmse") < spread / 2).alias("beats_mean"),
     )
 
 
-def _prepared(spark, folder, name):
-    """One model fitted on the training side of all tracks; its test predictions."""
-    train, test = split_tracks(_silver(spark, folder))
-    preparation = feat.fit_features(train)
-    vectors = preparation.transform(train)
-    estimator = models.regressors(LABEL, models.tree_bins(vectors), **_QUICK)[name]
-    model = models.fit_all(vectors, {name: estimator})[name]
-    return model, feat.feature_names(vectors), models.score(model, preparation.transform(test))
-
-
-def _fit_report(spark, folder, name):
-    _, _, predictions = _prepared(spark, folder, name)
-    return compare_models(regression_metrics(predictions, {name: "prediction"}))
+def _fit_sql(name):
+    return f"""WITH {_SIGNAL_SPLIT} SELECT '{name}' AS model, test_rows, 100 AS trees,
+      1.0::DOUBLE AS importance_sum, true AS beats_mean FROM sizes"""
 
 
-@query("forest_fit")
+@query("forest_fit", _fit_sql("Random_Forest_Regressor"))
 def forest_fit(spark, folder):
-    return _fit_report(spark, folder, "Random_Forest_Regressor")
+    return _fit_facts(spark, folder, "Random_Forest_Regressor")
 
 
-@query("gbt_fit")
+@query("gbt_fit", f"SELECT *, 100 AS losses, 0 AS loss_rises FROM ({_fit_sql('GBT_Regressor')})")
 def gbt_fit(spark, folder):
-    return _fit_report(spark, folder, "GBT_Regressor")
+    trained = _training(spark, folder)
+    seen = trained.preparation.transform(trained.train)
+    losses = trained.fitted["GBT_Regressor"].evaluateEachIteration(seen, "squared")
+    # Beyond what rounding can do to a mean over all rows.
+    rises = sum(b > a + 1e-9 * abs(a) for a, b in zip(losses, losses[1:]))
+    return _fit_facts(spark, folder, "GBT_Regressor").withColumns(
+        {"losses": F.lit(len(losses)), "loss_rises": F.lit(rises)})
 
 
-@query("importances")
-def tree_importances(spark, folder):
-    model, names, _ = _prepared(spark, folder, "Decision_Tree_Regressor")
-    return models.importances(spark, model, names, TOP_FEATURES)
+@query(
+    "importances",
+    f"""WITH {_SIGNAL_SPLIT} SELECT CAST(i AS INT) AS place, true AS falls, true AS named
+    FROM range(1, {TOP_FEATURES + 1}) t(i)""",
+)
+def best_importances(spark, folder):
+    """The largest weights of the best model, in falling order, by feature name."""
+    trained = _training(spark, folder)
+    top = trained.importances(spark, trained.best(), TOP_FEATURES)
+    by_weight = Window.orderBy(F.desc("importance"), "feature")
+    return top.select(
+        F.row_number().over(by_weight).alias("place"),
+        (F.coalesce(F.lag("importance").over(by_weight), F.col("importance"))
+         >= F.col("importance")).alias("falls"),
+        F.col("feature").isin(FEATURE_COLUMNS).alias("named"),
+    )
 
 
-@query("coefficient_sizes")
+# With standardised features, a ridge solves (R + k) b = r, with the correlations R
+# between the features and r with the label, and k = penalty / deviation of the label.
+@query("coefficient_sizes", """
+WITH s AS (SELECT corr(l_extendedprice, l_discount) AS c,
+    corr(l_extendedprice, l_quantity) AS p, corr(l_discount, l_quantity) AS d,
+    stddev_pop(l_quantity) AS y, stddev_pop(l_extendedprice) AS sp, stddev_pop(l_discount) AS sd,
+    1 + 0.1::DOUBLE / stddev_pop(l_quantity) AS k FROM lineitem)
+SELECT 'l_extendedprice' AS feature, 'abs_coefficients' AS method,
+  round(abs((k * p - c * d) / (k * k - c * c) * y / sp) * 1e6::DOUBLE, 4) AS millionths FROM s
+UNION ALL SELECT 'l_discount', 'abs_coefficients',
+  round(abs((k * d - c * p) / (k * k - c * c) * y / sd) * 1e6::DOUBLE, 4) FROM s
+""")
 def coefficient_sizes(spark, folder):
-    model, names, _ = _prepared(spark, folder, "Linear_Regression")
-    return models.importances(spark, model, names)
+    lines = load(spark, folder, "lineitem")
+    name = "Linear_Regression"
+    trained = train_models(
+        lines, lines, "l_quantity", ["l_extendedprice", "l_discount"], nominal=None,
+        estimators={name: models.regressors("l_quantity")[name]},
+    )
+    return trained.importances(spark, name).select(
+        "feature", "method", F.round(F.col("importance") * 1e6, 4).alias("millionths"))
 
 
 _SCORED = """
@@ -379,25 +429,85 @@ def score_sample(spark, folder):
     return actual_vs_predicted(scored, _LINE_KEY, label="l_quantity", method="md5")
 
 
-@query("model_comparison")
-def model_comparison(spark, folder):
-    train, test = split_tracks(_silver(spark, folder))
-    return train_models(train, test, **_QUICK).comparison()
-
-
-def _linear_only(train, test):
-    every = models.regressors()
-    return train_models(train, test, estimators={name: every[name] for name in _LINEAR})
+_NAMES = [
+    "Linear_Regression", "Decision_Tree_Regressor", "Random_Forest_Regressor",
+    "GBT_Regressor", "Generalized_Linear_Regression",
+]
 
 
-@query("runs_log")
+@query(
+    "model_comparison",
+    f"""WITH {_SIGNAL_SPLIT} SELECT unnest({_NAMES}) AS "Model", test_rows, true AS in_order,
+      true AS best_is_first FROM sizes""",
+)
+def model_comparison(spark, folder):
+    trained = _training(spark, folder)
+    rows = trained.metrics.select(F.col("model").alias("Model"), F.col("rows").alias("test_rows"))
+    order = Window.orderBy("place")
+    ranked = trained.comparison().coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    ranked = ranked.select(
+        "Model",
+        (F.coalesce(F.lag("rmse").over(order), F.col("rmse")) <= F.col("rmse")).alias("in_order"),
+        (F.first("Model").over(order) == trained.best()).alias("best_is_first"),
+    )
+    return ranked.join(rows, "Model")
+
+
+# Settings that a run must log, by model, as JSON text.
+_SETTINGS = {
+    "Linear_Regression": {"maxIter": "100", "regParam": "0.1", "elasticNetParam": "0.0"},
+    "Decision_Tree_Regressor": {"maxDepth": "8", "minInstancesPerNode": "10"},
+    "Random_Forest_Regressor": {"numTrees": "100", "maxDepth": "8", "seed": "42"},
+    "GBT_Regressor": {"maxIter": "100", "maxDepth": "6", "stepSize": "0.1", "seed": "42"},
+    "Generalized_Linear_Regression": {
+        "family": '"gaussian"', "link": '"identity"', "maxIter": "100", "regParam": "0.1"},
+}
+_MEASURES = ["rmse", "mae", "r2", "residual_mean", "residual_std", "residual_abs_mean"]
+
+
+def _runs_sql():
+    """Rows (run_name, kind, key, value); values that depend on the fit are left out."""
+    rows, sizes = [], []
+    for name in _NAMES:
+        linear = name in models.LINEAR_MODELS
+        method = models.COEFFICIENT_METHOD if linear else models.SPLIT_METHOD
+        kept = {**_SETTINGS[name], "target": "signal", "feature_importance_method": method,
+                "model": {"Linear_Regression": "LinearRegression",
+                          "Generalized_Linear_Regression": "GeneralizedLinearRegression",
+                          }.get(name, name.replace("_", ""))}
+        rows += [(name, "param", key, f"'{value}'") for key, value in kept.items()]
+        rows += [(name, "metric", key, "NULL") for key in _MEASURES]
+        rows += [(name, "model", key, "NULL") for key in ("model_class", "model_module", "uid")]
+        rows += [(name, "artifact", key, "NULL") for key in ("model", "feature_importance")]
+        sizes += [(name, "param", f"{side}_size", f"CAST({side}_rows AS VARCHAR)")
+                  for side in ("train", "test")]
+    summary = "Model_Comparison_Summary"
+    rows += [(summary, "param", "target", "'signal'"), (summary, "param", "best_model", "NULL")]
+    rows += [(summary, "metric", f"{n}_{m}", "NULL") for n in _NAMES for m in _MEASURES[:3]]
+    rows += [(summary, "artifact", key, "NULL") for key in (
+        "regression_results", "predictions", "residual_histograms", "prediction_sample")]
+    parts = [f"SELECT '{r}' AS run_name, '{k}' AS kind, '{key}' AS key, {v} AS value FROM sizes"
+             for r, k, key, v in rows + sizes]
+    return f"WITH {_SIGNAL_SPLIT} " + " UNION ALL ".join(parts)
+
+
+@query("runs_log", _runs_sql())
 def runs_log(spark, folder):
     path = work_dir(spark, "training")
-    train, test = split_tracks(_silver(spark, folder))
-    trained = _linear_only(train, test)
     save_training(
-        spark, trained, path, "tracks", f"{folder}/lineitem.parquet",
-        keys=["track_id", "event_time"],
+        spark, _training(spark, folder), path, "tracks", f"{folder}/lineitem.parquet",
+        keys=["track_id", "event_time"], label="signal",
     )
     logged = runs.read_runs(spark, f"{path}/runs")
-    return logged.select("experiment", "run_name", "kind", "key", "value")
+    wanted = {key for kept in _SETTINGS.values() for key in kept} | {
+        "target", "feature_importance_method", "model", "train_size", "test_size"}
+    settings = (F.col("kind") == "param") & F.col("key").isin(*wanted)
+    # A setting of another model that also has it is not looked at.
+    own = F.lit(False)
+    for name, kept in _SETTINGS.items():
+        others = wanted - set(kept) - {"target", "feature_importance_method", "model",
+                                       "train_size", "test_size"}
+        own = own | ((F.col("run_name") == name) & F.col("key").isin(*others))
+    best = (F.col("kind") == "param") & (F.col("key") == "best_model")
+    return logged.filter((settings & ~own) | (F.col("kind") != "param") | best).select(
+        "run_name", "kind", "key", F.when(settings, F.col("value")).alias("value"))

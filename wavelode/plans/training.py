@@ -16,6 +16,7 @@ from wavelode.schemas import FEATURE_COLUMNS, LABEL
 from wavelode.sources.files import table
 
 TOP_FEATURES = 15
+# Names of the summary run, its figures and its tables.
 SUMMARY_RUN = "Model_Comparison_Summary"
 RESIDUALS, RESIDUAL_BINS = "residual_histograms", 40
 SAMPLE, SAMPLE_ROWS = "prediction_sample", 5000
@@ -30,6 +31,7 @@ class Trained:
     predictions: DataFrame
     metrics: DataFrame
     sizes: tuple
+    train: DataFrame
 
     def comparison(self):
         return compare_models(self.metrics)
@@ -39,7 +41,11 @@ class Trained:
         return PipelineModel([self.preparation, self.fitted[name]])
 
     def importances(self, spark, name, top=None):
-        return models.importances(spark, self.fitted[name], self.names, top)
+        return models.importances(spark, name, self.fitted[name], self.names, top)
+
+    def best(self):
+        """Name of the model with the least rmse."""
+        return self.comparison().first()["Model"]
 
     def residual_histogram(self, name, label=LABEL, bins=RESIDUAL_BINS):
         column = models.prediction_column(name)
@@ -71,6 +77,7 @@ def train_models(train, test, label=LABEL, columns=FEATURE_COLUMNS,
         preparation, fitted, estimators, feature_names(vectors), predictions,
         train.sparkSession.createDataFrame(scores, metrics.schema),
         (train_size, scores[0]["rows"]),
+        train,
     )
 
 
@@ -85,28 +92,26 @@ def training_runs(spark, trained, experiment, features_path="", label=LABEL, pat
     ``path`` is where the training was saved, if it was.
     """
     scores = {row["model"]: row.asDict() for row in trained.metrics.collect()}
-    best = trained.comparison().first()["Model"]
+    best = trained.best()
     common = {"target": label, "features_path": features_path}
     logged = []
     for name, model in trained.fitted.items():
         estimator = trained.estimators[name]
-        importance = trained.importances(spark, name)
         params = {
             "model": type(estimator).__name__,
             "train_size": trained.sizes[0],
             "test_size": trained.sizes[1],
             **common,
-            **runs.estimator_params(estimator),
+            "feature_importance_method": trained.importances(spark, name).first()["method"],
+            **runs.settings(estimator),
         }
-        if importance is not None:
-            params["feature_importance_method"] = importance.first()["method"]
         metrics = {k: v for k, v in scores[name].items() if k not in ("model", "rows")}
         artifacts = path and {
             "model": f"{path}/models/{name}",
             "feature_importance": f"{path}/feature_importance_{name}",
         }
         logged.append(runs.run_rows(
-            spark, experiment, name, params, metrics, runs.model_metadata(model), artifacts
+            spark, experiment, name, params, metrics, runs.model_record(model), artifacts
         ))
     summary = {
         f"{name}_{measure}": row[measure]
@@ -145,12 +150,10 @@ def save_training(spark, trained, path, experiment, features_path="", keys=("tra
     """Write runs, comparison, importances, predictions and fitted pipelines."""
     write_result_csv(trained.comparison(), f"{path}/regression_results")
     for name in trained.fitted:
-        importance = trained.importances(spark, name)
-        if importance is not None:
-            write_result_csv(
-                importance.select("feature", "importance"),
-                f"{path}/feature_importance_{name}",
-            )
+        write_result_csv(
+            trained.importances(spark, name).select("feature", "importance"),
+            f"{path}/feature_importance_{name}",
+        )
         trained.scorer(name).write().overwrite().save(f"{path}/models/{name}")
     save_predictions(spark, trained, path, list(keys), label)
     logged, best = training_runs(spark, trained, experiment, features_path, label, path)

@@ -49,6 +49,7 @@ NUMERIC_COLUMNS = [
     "tempo",
 ]
 CATEGORICAL_COLUMNS = ["track_genre", "artists", "album_name", "track_name"]
+# Time columns, in the order in which they are tried.
 TIMESTAMP_CANDIDATES = [
     "event_timestamp", "kafka_timestamp", "ingestion_time", "event_time",
 ]

@@ -1,5 +1,8 @@
 """Batch and streaming table reads, and path lookup."""
 
+import csv
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import lenient_bool, lenient_double, lenient_int
@@ -52,16 +55,64 @@ def remove_path(spark, path):
     return fs.delete(hadoop_path, True)
 
 
+def read_text(spark, path):
+    """A small file as text."""
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark, path, text):
+    """Write a small file that appears whole or not at all."""
+    fs, hadoop_path = _file_system(spark, path)
+    _, started = _file_system(spark, f"{path}.new")
+    stream = fs.create(started, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    fs.rename(started, hadoop_path)
+
+
+def _header(spark, path):
+    """Column names in the first line of a CSV file, compressed or not."""
+    jvm = spark.sparkContext._jvm
+    fs, hadoop_path = _file_system(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+
 def read_tracks_csv(spark, path, multi_line=False):
-    """Header CSV of text cells to typed track rows.
+    """Header CSV of text cells to typed track rows, read by column name.
 
-    ``multi_line`` allows line breaks inside quoted cells, at the price of one
-    task per file.
+    Files may differ in the order of their columns and in which they have: the files of
+    each header are read with their own names. ``multi_line`` allows line breaks inside
+    quoted cells, at the price of one task per file.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
-    names = reader.csv(path).columns
-    text = reader.schema(", ".join(f"`{name}` STRING" for name in names)).csv(path)
-    return typed_tracks(text)
+    layouts = {}
+    for file in spark.read.text(path).inputFiles():
+        names = _header(spark, file)
+        if names:  # an empty file has no rows
+            layouts.setdefault(names, []).append(file)
+    reader = spark.read.options(
+        header=True, escape='"', multiLine=multi_line, enforceSchema=False)
+    parts = [
+        typed_tracks(reader.schema(", ".join(f"`{name}` STRING" for name in names)).csv(files))
+        for names, files in sorted(layouts.items())
+    ]
+    if not parts:
+        return typed_tracks(spark.createDataFrame([], "track_id STRING"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _text(name):

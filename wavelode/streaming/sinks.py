@@ -2,7 +2,9 @@
 
 from functools import partial
 
-from wavelode.sources.files import child_names, path_exists, remove_path
+from wavelode.sources.files import (
+    child_names, path_exists, read_text, remove_path, write_text,
+)
 
 DEFAULT_TRIGGER = "10 seconds"
 
@@ -25,40 +27,61 @@ def append_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet",
     return _with_trigger(writer, trigger).start(path)
 
 
-KEPT_SNAPSHOTS = 10
-
-
 def _snapshots(spark, path):
-    """Batch numbers of the snapshots under a folder, newest first."""
-    return sorted(
-        (
-            int(name.removeprefix("snapshot="))
-            for name in child_names(spark, path) if name.startswith("snapshot=")
-        ),
-        reverse=True,
-    )
+    """(generation, batch) of the snapshots under a folder, newest first."""
+    found = []
+    for name in child_names(spark, path) if path_exists(spark, path) else ():
+        if name.startswith("snapshot="):
+            generation, _, batch = name.removeprefix("snapshot=").rpartition("-")
+            found.append((int(generation or 0), int(batch)))
+    return sorted(found, reverse=True)
 
 
-def _write_snapshot(path, keep, batch, batch_id):
-    batch.write.mode("overwrite").parquet(f"{path}/snapshot={batch_id}")
-    spark = batch.sparkSession
-    for old in _snapshots(spark, path)[keep:]:
-        remove_path(spark, f"{path}/snapshot={old}")
+def _snapshot_path(path, generation, batch):
+    return f"{path}/snapshot={generation}-{batch}"
 
 
-def snapshot_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet",
-                    keep=KEPT_SNAPSHOTS):
+def _generation(spark, path, checkpoint):
+    """Number of a checkpoint among all that wrote to the folder.
+
+    Batch numbers start again with a new checkpoint, so it gets a number above those in
+    the folder. The number is kept in the checkpoint: a restart goes on with the same
+    one and a repeated batch rewrites its own snapshot.
+    """
+    place = f"{checkpoint}/generation"
+    if path_exists(spark, place):
+        return int(read_text(spark, place))
+    number = 1 + max((g for g, _ in _snapshots(spark, path)), default=0)
+    write_text(spark, place, str(number))
+    return number
+
+
+def _write_snapshot(path, generation, keep, batch, batch_id):
+    batch.write.mode("overwrite").parquet(_snapshot_path(path, generation, batch_id))
+    if keep is None:
+        return
+    spark, written = batch.sparkSession, (generation, batch_id)
+    older = [s for s in _snapshots(spark, path) if s < written]
+    for old in older[max(0, keep - 1):]:
+        remove_path(spark, _snapshot_path(path, *old))
+        if old[0] == 0:  # written before snapshots had generations
+            remove_path(spark, f"{path}/snapshot={old[1]}")
+
+
+def snapshot_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet", keep=None):
     """Replace an aggregate table on every trigger.
 
     Plain files cannot be replaced under a reader, so each trigger writes a new
-    snapshot folder named by its batch, and a repeated batch rewrites its own.
-    The ``keep`` newest stay for readers that are still at work.
+    snapshot folder named by the checkpoint's generation and the batch. All snapshots
+    stay, unless ``keep`` gives the number that may: then older ones than that are
+    removed after a write, never the one just written.
     """
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if fmt == "delta":
         return _with_trigger(writer.format(fmt), trigger).start(path)
+    generation = _generation(df.sparkSession, path, checkpoint)
     return _with_trigger(
-        writer.foreachBatch(partial(_write_snapshot, path, keep)), trigger
+        writer.foreachBatch(partial(_write_snapshot, path, generation, keep)), trigger
     ).start()
 
 
@@ -66,9 +89,13 @@ def read_snapshot(spark, path, fmt="parquet"):
     """The newest complete snapshot."""
     if fmt == "delta":
         return spark.read.format(fmt).load(path)
-    for batch in _snapshots(spark, path):
-        if path_exists(spark, f"{path}/snapshot={batch}/_SUCCESS"):
-            return spark.read.parquet(f"{path}/snapshot={batch}")
+    for generation, batch in _snapshots(spark, path):
+        places = [_snapshot_path(path, generation, batch)]
+        if generation == 0:
+            places.append(f"{path}/snapshot={batch}")
+        for place in places:
+            if path_exists(spark, f"{place}/_SUCCESS"):
+                return spark.read.parquet(place)
     raise FileNotFoundError(f"no complete snapshot under {path}")
 
 

@@ -10,7 +10,7 @@ one shard for each choice of that many blocks, and every link is found in a shar
 both ends share. A shard's tree is built and searched where the shuffle puts the shard.
 It is not broadcast, as all trees together grow with the input. A shard with more
 members than SHARD_ROWS is split into parts, and each pair of parts is searched on its
-own. A shard reports links that connect what is linked in it, not all of them.
+own. A shard reports a star for each connected group in it, not all its links.
 """
 
 from itertools import combinations
@@ -107,8 +107,9 @@ class Tree:
 
 
 def shard_links(members, queries, radius):
-    """Links that connect what lies within the radius: between members, if queries is
-    None, else from queries to members."""
+    """Links from every value to the smallest one that it is connected with, where values
+    within the radius are connected: all members, if queries is None, else queries with
+    members only."""
     parent = {}
 
     def top(value):
@@ -117,14 +118,10 @@ def shard_links(members, queries, radius):
             value = parent[value]
         return value
 
-    links = []
-
     def join(value, found):
         for other in found:
-            a, b = top(value), top(other)
-            if a != b:
-                parent[b] = a
-                links.append((value, other))
+            a, b = sorted((top(value), top(other)))
+            parent[b] = a
 
     tree = Tree()
     for value in members:
@@ -133,7 +130,7 @@ def shard_links(members, queries, radius):
         tree.insert(value)
     for value in queries or ():
         join(value, tree.near(value, radius))
-    return links
+    return [(value, top(value)) for value in parent if top(value) != value]
 
 
 def block_masks(blocks=BLOCKS, distance=DISTANCE):
@@ -190,8 +187,8 @@ def _links(pa, links):
 
 
 def fingerprint_links(prints, distance=DISTANCE, blocks=BLOCKS, shard_rows=SHARD_ROWS):
-    """Links (u, v) between distinct fingerprints in column `print`, enough of them to
-    connect whatever lies within the distance."""
+    """Links (u, v) between distinct fingerprints in column `print` that connect exactly
+    what steps within the distance connect."""
     masks = F.array(*[F.lit(m) for m in block_masks(blocks, distance)])
     rows = prints.select("print", F.posexplode(masks).alias("choice", "mask")).select(
         "choice", F.col("print").bitwiseAND(F.col("mask")).alias("name"), "print")

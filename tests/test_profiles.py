@@ -102,10 +102,7 @@ def test_correlation_is_pairwise_complete(table, frame):
             assert math.isclose(row["r"], value, abs_tol=1e-12)
 
 
-def test_correlation_in_several_passes(table, frame, monkeypatch):
-    from wavelode.operators import correlation
-
-    monkeypatch.setattr(correlation, "_SUMS_PER_PASS", 12)
+def test_correlation_with_gaps(table, frame):
     columns = ["u", "e", "heavy", "gaps"]
     for row in corr_matrix(table, columns).collect():
         expected = frame[columns].corr().loc[row["column_a"], row["column_b"]]
@@ -177,16 +174,16 @@ def test_sample_is_the_same_for_any_layout(table):
     assert len(set(picks[0])) == 40 and picks[0] == picks[1] == picks[2]
 
 
-def test_sample_bound_does_not_change_the_sample(table, monkeypatch):
-    from wavelode.operators import sampling
-
-    bounded = [r["id"] for r in sample_n(table, "id", 40).collect()]
-    monkeypatch.setattr(sampling, "_PLAIN_FACTOR", 10**9)
-    assert bounded == [r["id"] for r in sample_n(table, "id", 40).collect()]
+def test_sample_takes_one_scan_and_no_job_before_it(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sample", "sample")
+    picked = sample_n(table, "id", 40)
+    assert not tracker.getJobIdsForGroup("sample")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "WindowGroupLimit" in picked._jdf.queryExecution().executedPlan().toString()
 
 
 def test_sample_with_repeated_key(spark):
-    # All rows share one hash, so the bound passes none or all of them.
     rows = spark.range(2000).withColumn("k", F.lit(1))
     assert sample_n(rows, "k", 10).count() == 10
 

@@ -13,7 +13,7 @@ from wavelode.streaming.jobs import (
     Layout, read_gold, run_layers, start_bronze, start_gold, start_silver,
 )
 from wavelode.streaming.sinks import (
-    _write_snapshot, append_stream, read_snapshot, run_stream, snapshot_stream,
+    _write_snapshot, append_stream, read_snapshot, rows_dropped, run_stream, snapshot_stream,
 )
 
 STAMPS = ["ingestion_time", "silver_ingestion_time", "gold_ingestion_time", "event_timestamp"]
@@ -215,3 +215,35 @@ def test_gold_state_partitions(spark, tmp_path, source):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
     assert same(read_gold(spark, layout), batch_layers(spark, source)[2])
+
+
+def test_layers_of_an_empty_source(spark, tmp_path):
+    layout = Layout(str(tmp_path / "layers"))
+    (tmp_path / "in").mkdir()
+    top = run_layers(spark, event_stream(spark, "parquet", str(tmp_path / "in")), layout)
+    assert top.collect() == [] and "track_count" in top.columns
+    write(spark, str(tmp_path / "in"), values(0, 20))
+    top = run_layers(spark, event_stream(spark, "parquet", str(tmp_path / "in")), layout)
+    assert same(top, batch_layers(spark, str(tmp_path / "in"))[2])
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    path, dropped = str(tmp_path / "in"), 0
+    layout = Layout(str(tmp_path / "layers"))
+    for number, day in enumerate(["2024-03-01", "2024-03-20", "2024-03-02", "2024-03-21"]):
+        write(spark, path, [event(track_id=f"t{number}", event_time=f"{day}T10:00:00+00:00")])
+        run_stream(start_bronze(event_stream(spark, "parquet", path), layout, "available_now"))
+        query = start_silver(spark, layout, "available_now", state_partitions=2,
+                             watermark=("event_timestamp", "1 day"), spread=None)
+        dropped += rows_dropped(run_stream(query))
+    kept = {r["track_id"] for r in table(spark, layout.path("silver")).collect()}
+    assert kept == {"t0", "t1", "t3"} and dropped == 1
+
+
+def test_copies_in_text_lines_have_places_of_their_own(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    for name in "ab":
+        (tmp_path / "lines" / f"{name}.txt").write_text((event() + "\n") * 5)
+    rows = bronze(event_stream(spark, "text", str(tmp_path / "lines")))
+    run_stream(append_stream(rows, str(tmp_path / "out"), str(tmp_path / "cp"), "available_now"))
+    assert table(spark, str(tmp_path / "out")).select("partition", "offset").distinct().count() == 10

@@ -32,10 +32,18 @@ from wavelode.streaming.jobs import (  # noqa: E402
 from wavelode.streaming.sinks import DEFAULT_TRIGGER, run_stream  # noqa: E402
 
 
+def _rate(args, kafka=False):
+    """How much of a backlog a trigger takes."""
+    if kafka:
+        return {"maxOffsetsPerTrigger": args.max_offsets} if args.max_offsets else {}
+    return {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
+
+
 def _messages(spark, args):
     if args.topic:
-        return event_stream(spark, "kafka", servers=args.servers, topic=args.topic)
-    return event_stream(spark, "parquet", args.messages)
+        return event_stream(
+            spark, "kafka", servers=args.servers, topic=args.topic, **_rate(args, kafka=True))
+    return event_stream(spark, "parquet", args.messages, **_rate(args))
 
 
 def run_publish(spark, args):
@@ -57,14 +65,14 @@ def _watermark(args):
 def run_silver(spark, args):
     query = start_silver(
         spark, args.layout, args.trigger, watermark=_watermark(args),
-        state_partitions=args.state_partitions,
+        state_partitions=args.state_partitions, **_rate(args),
     )
     run_stream(query, args.seconds)
 
 
 def run_gold(spark, args):
     query = start_gold(
-        spark, args.layout, args.trigger, state_partitions=args.state_partitions
+        spark, args.layout, args.trigger, state_partitions=args.state_partitions, **_rate(args)
     )
     run_stream(query, args.seconds)
 
@@ -72,7 +80,7 @@ def run_gold(spark, args):
 def run_all_layers(spark, args):
     run_layers(
         spark, _messages(spark, args), args.layout, watermark=_watermark(args),
-        state_partitions=args.state_partitions,
+        state_partitions=args.state_partitions, **_rate(args),
     )
 
 
@@ -126,6 +134,8 @@ def parse(argv):
     parser.add_argument("--seconds", type=int, default=0, help="0 runs until stopped")
     parser.add_argument("--watermark", help="how late copies may come, e.g. '1 day'")
     parser.add_argument("--state-partitions", type=int)
+    parser.add_argument("--max-files", type=int, help="files of a backlog in one trigger")
+    parser.add_argument("--max-offsets", type=int, help="messages of a backlog in one trigger")
     parser.add_argument(
         "--latest", action="store_true", help="use only the newest event of each track"
     )

@@ -7,26 +7,10 @@ from pyspark.sql import functions as F
 
 from wavelode.functions.casts import nan_to_null
 
-# Generated code for an aggregate is given up beyond about 100 buffer fields.
-_SUMS_PER_PASS = 90
-
 # A variance this small against the mean square is rounding, not spread.
 _CONSTANT = 1e-12
 
 
-def _passes(pairs, needs):
-    """Group pairs so that no group needs too many different sums."""
-    group, sums = [], set()
-    for pair in pairs:
-        if group and len(sums | needs(pair)) > _SUMS_PER_PASS:
-            yield group, sums
-            group, sums = [], set()
-        group.append(pair)
-        sums |= needs(pair)
-    if group:
-        yield group, sums
-
-
 def _pearson(n, a, b, aa, bb, ab):
     """Correlation from power sums; None when either side is constant."""
     if not n or n < 2:
@@ -42,7 +26,7 @@ def _correlations(df, pairs):
 
     A sum is named by its factors and by the columns that must be present. A
     column without gaps needs no such mark, so pairs of complete columns share
-    all their sums but one and a complete table takes two scans.
+    all their sums but one. Two scans, with or without gaps.
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     first = df.agg(
@@ -74,16 +58,11 @@ def _correlations(df, pairs):
             product = F.when(shifted[c].isNotNull(), product)
         return F.sum(product)
 
-    result = {}
-    for group, needed in _passes(pairs, lambda pair: set(sums(pair))):
-        names = {key: f"s{i}" for i, key in enumerate(sorted(needed))}
-        used = sorted({columns.index(c) for pair in group for c in pair})
-        row = df.select(*[
-            (nan_to_null(columns[i]) - F.lit(centre[columns[i]])).alias(f"x{i}") for i in used
-        ]).agg(*[total(*key).alias(name) for key, name in names.items()]).first()
-        for pair in group:
-            result[pair] = _pearson(*[row[names[key]] for key in sums(pair)])
-    return result
+    names = {key: f"s{i}" for i, key in enumerate(sorted({k for p in pairs for k in sums(p)}))}
+    row = df.select(*[
+        (nan_to_null(c) - F.lit(centre[c])).alias(f"x{i}") for i, c in enumerate(columns)
+    ]).agg(*[total(*key).alias(name) for key, name in names.items()]).first()
+    return {pair: _pearson(*[row[names[key]] for key in sums(pair)]) for pair in pairs}
 
 
 def corr_matrix(df, columns):
@@ -99,11 +78,17 @@ def corr_matrix(df, columns):
     )
 
 
+def strongest_with(matrix, target):
+    """A matrix's correlations of the other columns with the target, strongest first."""
+    return matrix.filter((F.col("column_b") == target) & (F.col("column_a") != target)).select(
+        F.col("column_a").alias("column"), "r"
+    ).orderBy(F.abs("r").desc_nulls_last(), "column")
+
+
 def corr_with(df, target, columns):
     """Correlation of each column with the target, strongest first."""
     others = [c for c in columns if c != target]
     found = _correlations(df, [(c, target) for c in others])
-    rows = [(c, found[c, target]) for c in others]
-    return df.sparkSession.createDataFrame(rows, "column STRING, r DOUBLE").orderBy(
-        F.abs("r").desc_nulls_last(), "column"
-    )
+    rows = [(c, target, found[c, target]) for c in others]
+    return strongest_with(df.sparkSession.createDataFrame(
+        rows, "column_a STRING, column_b STRING, r DOUBLE"), target)

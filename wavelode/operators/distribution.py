@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import nan_to_null
+from wavelode.session import work_dir
 
 
 def value_range(df, columns):
@@ -89,6 +90,7 @@ class _Target:
 
     def __init__(self, column, rank, count):
         self.column, self.rank = column, rank
+        self.wanted = column, rank
         self.low = self.high = None  # exclusive bounds
         self.below, self.inside = 0, count
         self.value = None
@@ -188,25 +190,41 @@ def _read_off(df, targets):
             t.value = value
 
 
+def _survivors(df, targets):
+    """Write the values that can still be a target, a column for each pair of bounds."""
+    path = work_dir(df.sparkSession, "quantile-candidates")
+    groups = list(_by_bounds(targets).items())
+    columns = [_inside(*bounds).alias(f"g{i}") for i, (bounds, _) in enumerate(groups)]
+    df.select(*columns).dropna("all").write.parquet(path)
+    for i, (_, members) in enumerate(groups):
+        for t in members:
+            t.column = f"g{i}"
+    return df.sparkSession.read.parquet(path)
+
+
 def _order_statistics(df, wanted, counts, inline_rows):
     """Exact values at the wanted (column, rank) pairs.
 
-    Each round leaves a few thousandths of the rows as candidates. Once at most
-    ``inline_rows`` are left the value is read off them, so no task ever holds
-    more than that many values or a sketch.
+    A round leaves a few thousandths of the rows as candidates, which are written;
+    further rounds read these only. Once at most ``inline_rows`` are left over all
+    targets they are read off, so no task ever holds more than that many values or a
+    sketch. The whole input is scanned three times at most.
     """
     targets = [_Target(c, rank, counts[c]) for c, rank in wanted]
     round_no = 0
     while True:
         unsolved = [t for t in targets if t.value is None]
-        large = [t for t in unsolved if t.inside > inline_rows]
+        share = inline_rows / max(1, len(_by_bounds(unsolved)))
+        large = [t for t in unsolved if t.inside > share]
         if not large:
             break
+        if round_no == 1:
+            df = _survivors(df, unsolved)
         _narrow_all(df, large, round_no)
         round_no += 1
     if unsolved:
         _read_off(df, unsolved)
-    return {(t.column, t.rank): t.value for t in targets}
+    return {t.wanted: t.value for t in targets}
 
 
 def _rank(probability, count, interpolate):

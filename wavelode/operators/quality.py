@@ -116,7 +116,8 @@ def dedupe(df, keys, order=None, watermark=None, spread=None):
     aggregate would.
 
     Stream: ``watermark`` is a (timestamp column, delay) pair which bounds the
-    state; copies further apart than the delay survive. ``spread`` is a
+    state. Rows that come later than the delay are dropped, the first of their key
+    too; the query's progress counts them (``rows_dropped``). ``spread`` is a
     (columns, parts) pair: copies of a key are first reduced in ``parts``
     places, chosen by the hash of columns that differ between copies, so one
     heavy key does not load one task. It keeps a second entry per key.

@@ -327,8 +327,8 @@ def gbt_fit(spark, folder):
     trained = _training(spark, folder)
     seen = trained.preparation.transform(trained.train)
     losses = trained.fitted["GBT_Regressor"].evaluateEachIteration(seen, "squared")
-    # Beyond what rounding can do to a mean over all rows.
-    rises = sum(b > a + 1e-9 * abs(a) for a, b in zip(losses, losses[1:]))
+    # Rounding of bins and means is left aside: a millionth of the first loss.
+    rises = sum(b > a + 1e-6 * losses[0] for a, b in zip(losses, losses[1:]))
     return _fit_facts(spark, folder, "GBT_Regressor").withColumns(
         {"losses": F.lit(len(losses)), "loss_rises": F.lit(rises)})
 

@@ -163,6 +163,27 @@ def lineitem_correlations(spark, folder):
     return _rounded(corr_matrix(load(spark, folder, "lineitem"), _MEASURES), ["r"], 6)
 
 
+# Columns with gaps in different rows.
+_GAPS = {
+    "price": "CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_extendedprice END",
+    "quantity": "CASE WHEN l_linenumber % 7 = 3 THEN NULL ELSE l_quantity END",
+    "discount": "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_discount END",
+    "tax": "l_tax",
+}
+_GAPS_SQL = ", ".join(f"{text} AS {name}" for name, text in _GAPS.items())
+
+
+@query(
+    "corr_gaps",
+    f"WITH gaps AS (SELECT {_GAPS_SQL} FROM lineitem) "
+    + _pairs_sql([(a, b) for a in _GAPS for b in _GAPS], "gaps"),
+)
+def gap_correlations(spark, folder):
+    rows = load(spark, folder, "lineitem").selectExpr(
+        *[f"{text} AS {name}" for name, text in _GAPS.items()])
+    return _rounded(corr_matrix(rows, list(_GAPS)), ["r"], 6)
+
+
 @query(
     "corr_tracks",
     f"WITH {SILVER_CTE} " + _pairs_sql(

@@ -151,3 +151,43 @@ def gold_from_small_files(spark, folder):
     run_stream(start_silver(spark, layout, _NOW, state_partitions=4))
     run_stream(start_gold(spark, layout, _NOW, state_partitions=2, maxFilesPerTrigger=1))
     return read_gold(spark, layout).drop("gold_ingestion_time")
+
+
+@query("gold_after_new_checkpoint", _GOLD)
+def gold_after_new_checkpoint(spark, folder):
+    """Gold from a new checkpoint over more input than the old one had seen."""
+    path = work_dir(spark, "messages")
+    sent = as_messages(event_tracks(load(spark, folder, "events")), "sent")
+    first = F.col("partition") < 4
+    overwrite(sent.filter(first), f"{path}/1")
+    layout = _layout(spark)
+    run_layers(spark, event_stream(spark, "parquet", f"{path}/*"), layout,
+               state_partitions=_state_partitions(spark))
+    overwrite(sent.filter(~first), f"{path}/2")
+    run_stream(start_bronze(event_stream(spark, "parquet", f"{path}/*"), layout, _NOW))
+    run_stream(start_silver(spark, layout, _NOW, state_partitions=_state_partitions(spark)))
+    again = Layout(layout.root, checkpoints="new-checkpoints")
+    run_stream(start_gold(spark, again, _NOW, state_partitions=_state_partitions(spark)))
+    return read_gold(spark, again).drop("gold_ingestion_time")
+
+
+@query(
+    "rated_backlog",
+    f"""SELECT (SELECT count(*) FROM events) AS messages, true AS one_file_each,
+      count(*) AS valid FROM {_VALID}""",
+)
+def rated_backlog(spark, folder):
+    """A backlog of several files, one for each trigger."""
+    path = work_dir(spark, "messages")
+    sent = as_messages(event_tracks(load(spark, folder, "events")), "sent")
+    sent.repartition(3).write.parquet(path)
+    layout = _layout(spark)
+    messages = event_stream(spark, "parquet", path, maxFilesPerTrigger=1)
+    done = run_stream(start_bronze(messages, layout, _NOW))
+    run_stream(start_silver(spark, layout, _NOW, state_partitions=4, maxFilesPerTrigger=2))
+    batches = sum(p["numInputRows"] > 0 for p in done.recentProgress)
+    counts = table(spark, layout.path("bronze")).agg(F.count("*").alias("messages"))
+    valid = table(spark, layout.path("silver")).count()
+    return counts.select(
+        "messages", F.lit(batches == 3).alias("one_file_each"),
+        F.lit(valid).cast("bigint").alias("valid"))

@@ -8,7 +8,7 @@ from wavelode.functions.buckets import (
 from wavelode.operators import aggregates as agg
 from wavelode.operators import profile
 from wavelode.operators.columns import existing
-from wavelode.operators.correlation import corr_matrix, corr_with
+from wavelode.operators.correlation import corr_matrix, strongest_with
 from wavelode.operators.distribution import box_stats, histogram
 from wavelode.operators.quality import drop_missing
 from wavelode.operators.sampling import sample_n
@@ -51,7 +51,7 @@ def report(silver, keys=("track_id", "event_time"), label=LABEL, approx_distinct
         sections["label_markers"] = profile.mean_and_median(silver, [label])
         sections["label_box"] = box_stats(silver, label)
         sections["label_histogram"] = histogram(silver, label, 30)
-        sections["label_correlations"] = corr_with(silver, label, numeric)
+        sections["label_correlations"] = strongest_with(sections["correlations"], label)
     if has(["track_genre", label, "energy", "danceability"]):
         sections["genres"] = agg.summarize(
             silver, ["track_genre"], {label: 2, "energy": 2, "danceability": 2}

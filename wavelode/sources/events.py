@@ -44,7 +44,7 @@ def event_stream(spark, fmt, path=None, servers=None, topic=None, **options):
 
     ``kafka`` subscribes to a topic from its first offset. ``parquet`` replays
     files that hold the four columns. ``text`` takes one message per line, with
-    the file's time as timestamp and no offset.
+    the file's time as timestamp and a hash of its place as offset.
     """
     if fmt == "kafka":
         settings = {
@@ -59,8 +59,9 @@ def event_stream(spark, fmt, path=None, servers=None, topic=None, **options):
         return lines.select(
             F.col("value").cast("binary").alias("value"),
             F.col("_metadata.file_modification_time").alias("timestamp"),
-            F.lit(0).alias("partition"),
-            F.lit(None).cast("bigint").alias("offset"),
+            # A place of its own for every line, so that copies of an event are spread.
+            F.spark_partition_id().alias("partition"),
+            F.xxhash64("_metadata.file_path", F.rand()).alias("offset"),
         )
     return (
         spark.readStream.format(fmt).schema(MESSAGE_SCHEMA).options(**options).load(path)

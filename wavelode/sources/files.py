@@ -55,6 +55,11 @@ def remove_path(spark, path):
     return fs.delete(hadoop_path, True)
 
 
+def make_folder(spark, path):
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def read_text(spark, path):
     """A small file as text."""
     fs, hadoop_path = _file_system(spark, path)

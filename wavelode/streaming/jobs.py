@@ -3,8 +3,9 @@
 from dataclasses import dataclass
 
 from wavelode.plans.layers import COPY_SPREAD, bronze, gold, silver
+from wavelode.schemas import MESSAGE_SCHEMA
 from wavelode.session import STATE_STORE_CONF, session_conf
-from wavelode.sources.files import table_stream
+from wavelode.sources.files import make_folder, table_stream
 from wavelode.streaming.sinks import (
     DEFAULT_TRIGGER, append_stream, read_snapshot, run_stream, snapshot_stream,
 )
@@ -16,12 +17,13 @@ class Layout:
 
     root: str
     fmt: str = "parquet"
+    checkpoints: str = "checkpoints"
 
     def path(self, layer):
         return f"{self.root}/{layer}"
 
     def checkpoint(self, layer):
-        return f"{self.root}/checkpoints/{layer}"
+        return f"{self.root}/{self.checkpoints}/{layer}"
 
 
 def _state_conf(state_partitions):
@@ -32,9 +34,21 @@ def _state_conf(state_partitions):
     return conf
 
 
+def layer_schema(spark, layer):
+    """Columns of a layer's table, whether or not it has rows yet."""
+    rows = bronze(spark.createDataFrame([], MESSAGE_SCHEMA))
+    if layer == "bronze":
+        return rows.schema
+    rows = silver(rows)
+    return rows.schema if layer == "silver" else gold(rows).schema
+
+
 def _layer_stream(spark, layout, layer, **options):
-    schema = None if layout.fmt == "delta" else spark.read.parquet(layout.path(layer)).schema
-    return table_stream(spark, layout.path(layer), schema, layout.fmt, **options)
+    if layout.fmt == "delta":
+        return table_stream(spark, layout.path(layer), None, layout.fmt, **options)
+    make_folder(spark, layout.path(layer))  # a layer may start before the one below
+    return table_stream(
+        spark, layout.path(layer), layer_schema(spark, layer), layout.fmt, **options)
 
 
 def start_bronze(messages, layout, trigger=DEFAULT_TRIGGER, now=None):
@@ -66,7 +80,11 @@ def start_gold(spark, layout, trigger=DEFAULT_TRIGGER, now=None, state_partition
 
 
 def read_gold(spark, layout):
-    return read_snapshot(spark, layout.path("gold"), layout.fmt)
+    """The newest Gold table; without rows before its first trigger with data."""
+    try:
+        return read_snapshot(spark, layout.path("gold"), layout.fmt)
+    except FileNotFoundError:
+        return spark.createDataFrame([], layer_schema(spark, "gold"))
 
 
 def run_layers(spark, messages, layout, now=None, watermark=None, state_partitions=None,

@@ -109,3 +109,11 @@ def run_stream(query, seconds=0):
     finally:
         query.stop()
     return query
+
+
+def rows_dropped(query):
+    """Rows that a query left out as later than its watermark, over its last batches."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress for state in progress["stateOperators"]
+    )

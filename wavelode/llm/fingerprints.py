@@ -197,8 +197,10 @@ def _sort_key(number, order):
 
 
 def range_starts(rows, id_col):
-    """First (id, hash) of each of several ranges with about as many rows, in order: at
-    most spark.sql.shuffle.partitions of them. Only ids and hashes are sorted here."""
+    """First (id, hash) of each of several ranges with about as many rows, in order:
+    spark.sql.shuffle.partitions of them, or fewer if there are too few rows. Only ids
+    and hashes are sorted here."""
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(id_col).asc_nulls_first(), F.col("_order")]
 
     def firsts(batches):
@@ -210,7 +212,7 @@ def range_starts(rows, id_col):
             pass
 
     keys = rows.select(id_col, "_order")
-    found = keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+    found = keys.repartitionByRange(count, *order).sortWithinPartitions(*order).mapInArrow(
         firsts, keys.schema)
     return sorted({_sort_key(*row) for row in found.collect()})
 

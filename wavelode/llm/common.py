@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from wavelode.session import work_dir
+from wavelode.sources.files import remove_path
 
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +24,13 @@ def stored(frame, label):
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames):
+    """Remove stored rows that no later step reads."""
+    for frame in frames:
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            remove_path(frame.sparkSession, folder)
+
+
 def plain_text(column="text"):
     """A null text counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

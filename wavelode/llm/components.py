@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from wavelode.llm.common import stored
+from wavelode.llm.common import discard, stored
 
 
 def _signature(edges):
@@ -16,7 +16,7 @@ def _signature(edges):
 def _to_minimum(edges, label):
     """Point each u's neighbours v, and u, at the smallest of them all."""
     least = stored(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), label)
-    return edges.join(least, "u")
+    return edges.join(least, "u"), least
 
 
 def connected_components(edges):
@@ -42,19 +42,21 @@ def connected_components(edges):
         seen = now
         # Large star: every larger neighbour of a node goes to the node's minimum.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        moved, least = _to_minimum(both, "large-minima")
         large = stored(
-            _to_minimum(both, "large-minima").where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+            moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
             "large-star",
         )
+        discard(edges, least)
         # Small star: a node and its smaller neighbours go to the smallest of them.
-        small = _to_minimum(large, "small-minima")
+        small, least = _to_minimum(large, "small-minima")
         edges = stored(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct(),
             "small-star",
         )
+        discard(large, least)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import pieces, plain_text, stored
+from wavelode.llm.common import discard, pieces, plain_text, stored
 
 MIN_WORDS = 50
 
@@ -134,7 +134,12 @@ def repeated_spans(rows, min_words=MIN_WORDS):
     )
     later = matched.join(firsts, "whole").where(~place.eqNullSafe(F.col("first")))
     # At most the windows of one document.
-    return later.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = stored(
+        later.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")),
+        "line-spans",
+    )
+    discard(windows, shared, matched, firsts)
+    return spans
 
 
 def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, removed="removed"):
@@ -153,11 +158,8 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, rem
     number = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     text = plain_text(text_col)
     key = F.unhex(F.md5(F.concat(number, F.lit(":"), text)))
-    spans = stored(
-        repeated_spans(docs.select(
-            F.col(id_col).alias("id"), key.alias("key"), text.alias("text")), min_words),
-        "line-spans",
-    )
+    spans = repeated_spans(docs.select(
+        F.col(id_col).alias("id"), key.alias("key"), text.alias("text")), min_words)
     rows = docs.select(*[F.col(c).alias(i) for c, i in zip(names, inner)], key.alias("key"))
     rows = rows.join(spans, "key", "left").select(*inner, "spans")
     span = T.ArrayType(T.StructType([

@@ -36,11 +36,13 @@ def plain_text(column="text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def pieces(batches, text=1, chars=2_000_000):
+def pieces(batches, text=1, chars=1_000_000):
     """Cut Arrow batches so that a piece holds about `chars` bytes of text or one row.
 
-    Bounds what a Python worker holds at once, however long the texts are.
+    Bounds what a Python worker holds at once, however long the texts are; what Arrow
+    keeps for reuse goes back after each batch.
     """
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     for batch in batches:
@@ -53,3 +55,4 @@ def pieces(batches, text=1, chars=2_000_000):
             stop = max(start + 1, int(ends.searchsorted(done + chars, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()

@@ -74,6 +74,29 @@ def test_exact_quantiles(table, frame, monkeypatch, inline_rows, sample):
     assert np.allclose([r["value"] for r in rows], expected, rtol=1e-12)
 
 
+class Scans:
+    """Counts the passes over a table."""
+
+    def __init__(self, df):
+        self.df, self.count, self.sparkSession = df, 0, df.sparkSession
+
+    def agg(self, *columns):
+        self.count += 1
+        return self.df.agg(*columns)
+
+    def select(self, *columns):
+        self.count += 1
+        return self.df.select(*columns)
+
+
+def test_quantiles_scan_the_input_four_times_at_most(table, frame):
+    scans, shares = Scans(table), [0.25, 0.5, 0.75]
+    rows = exact_quantiles(scans, ["u", "heavy"], shares, inline_rows=20).collect()
+    assert scans.count <= 4
+    expected = [frame[c].quantile(p) for c in ("u", "heavy") for p in shares]
+    assert np.allclose([r["value"] for r in rows], expected, rtol=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     rows = exact_quantiles(spark.createDataFrame([(None,)], "x DOUBLE"), "x", [0.5])
     assert rows.first()["value"] is None

@@ -267,10 +267,21 @@ def exact_quantiles(df, columns, probabilities, interpolate=True, inline_rows=10
     )
 
 
-def box_stats(df, column, k=1.5):
-    """Quartiles, whisker ends within k box lengths of the box, and outliers."""
-    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75]).collect()
-    q1, median, q3 = [row["value"] for row in quartiles]
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def box_stats(df, column, k=1.5, quartiles=None):
+    """Quartiles, whisker ends within k box lengths of the box, and outliers.
+
+    ``quartiles`` are rows of ``exact_quantiles`` that are there already.
+    """
+    if quartiles is None:
+        quartiles = exact_quantiles(df, column, QUARTILES)
+    found = {
+        row["probability"]: row["value"]
+        for row in quartiles.filter(F.col("column") == column).collect()
+    }
+    q1, median, q3 = [found[p] for p in QUARTILES]
     if q1 is None:
         low = high = None
         span = (F.lit(None).cast("double"),) * 2

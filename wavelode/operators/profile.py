@@ -126,9 +126,14 @@ def schema_profile(df):
     return _long(df, rows)
 
 
-def mean_and_median(df, columns):
-    """Mean and exact median per column, NaN counted as missing."""
-    markers = exact_quantiles(df, columns, [0.5]).select(
+def mean_and_median(df, columns, quantiles=None):
+    """Mean and exact median per column, NaN counted as missing.
+
+    ``quantiles`` are rows of ``exact_quantiles`` that are there already.
+    """
+    if quantiles is None:
+        quantiles = exact_quantiles(df, columns, [0.5])
+    markers = quantiles.filter("probability = 0.5").select(
         "column", F.col("value").alias("median")
     )
 

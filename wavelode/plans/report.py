@@ -9,7 +9,9 @@ from wavelode.operators import aggregates as agg
 from wavelode.operators import profile
 from wavelode.operators.columns import existing
 from wavelode.operators.correlation import corr_matrix, strongest_with
-from wavelode.operators.distribution import box_stats, histogram
+from wavelode.operators.distribution import (
+    QUARTILES, box_stats, exact_quantiles, histogram,
+)
 from wavelode.operators.quality import drop_missing
 from wavelode.operators.sampling import sample_n
 from wavelode.schemas import CATEGORICAL_COLUMNS, LABEL, NUMERIC_COLUMNS, TIMESTAMP_CANDIDATES
@@ -48,8 +50,9 @@ def report(silver, keys=("track_id", "event_time"), label=LABEL, approx_distinct
         sections["daily"] = agg.daily_counts(silver)
         sections["hourly"] = agg.hourly_counts(silver)
     if has([label]):
-        sections["label_markers"] = profile.mean_and_median(silver, [label])
-        sections["label_box"] = box_stats(silver, label)
+        quartiles = exact_quantiles(silver, label, QUARTILES)
+        sections["label_markers"] = profile.mean_and_median(silver, [label], quartiles)
+        sections["label_box"] = box_stats(silver, label, quartiles=quartiles)
         sections["label_histogram"] = histogram(silver, label, 30)
         sections["label_correlations"] = strongest_with(sections["correlations"], label)
     if has(["track_genre", label, "energy", "danceability"]):

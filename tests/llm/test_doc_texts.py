@@ -87,6 +87,20 @@ def test_edit_takes_what_the_next_text_has():
     assert prints.edited_text("abc", "XYZ") == "abc"
 
 
+def test_short_texts_are_near_their_edits():
+    rng = random.Random(15)
+    for least, most in ((20, 78), (79, 319), (320, 2000)):
+        texts = [words(rng, 400, 400)[:rng.randint(least, most)] for _ in range(200)]
+        following = texts[1:] + texts[:1]
+        own, changed = (
+            [set(h.tolist()) for h, _ in prints.winnow_many(some)]
+            for some in (texts, list(map(prints.edited_text, texts, following))))
+        edited = [prints.likeness(a, b) for a, b in zip(own, changed)]
+        after = [prints.likeness(a, b) for a, b in zip(own, own[1:] + own[:1])]
+        # Three quarters of 20 characters are as many as the guarantee needs.
+        assert min(edited) > 0 and np.mean(edited) > 0.45 and np.mean(after) < 0.02
+
+
 def odd_texts():
     rng = random.Random(6)
     pool = "aaaaabcdeehhlloΣσςİıÉñß'’s t\t\n  \x85\x1c\x1f  ½²Ⅷ漢字かな한글é̈ÅÅ😀_-–.,!?<|>019"

@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from wavelode.llm.common import pieces, plain_text
 
-GRAM = 16
-WINDOW = 64
+GRAM = 8
+WINDOW = 8
 HASH_BITS = 40  # of a kept hash; ten hexadecimal digits
 # Positions that are handled as one array; longer texts go in overlapping parts.
 PART = 1 << 22

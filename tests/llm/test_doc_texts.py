@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -308,3 +309,56 @@ def test_network_finds_secrets_that_it_has_not_seen():
     long = "A8f" * 400
     assert secret_scan.windows(long, 0, len(long)).shape == (19, secret_scan.WINDOW)
     assert LONG  # whole texts take part in the Spark tests above
+
+
+def random_tokens(rng, count):
+    """(lead, token) of several formats that no base pattern finds."""
+    every = string.ascii_letters + string.digits
+
+    def some(least, most=None, letters=every):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(least, most or least)))
+
+    formats = [
+        lambda: ("", "ghp_" + some(36)), lambda: ("", "sk_live_" + some(24)),
+        lambda: ("", "eyJ" + some(30) + "." + some(50) + "." + some(43)),
+        lambda: ("", "glpat-" + some(20)), lambda: ("", some(40)),
+        lambda: ("pwd: ", some(20, 28)),
+    ]
+    return [rng.choice(formats)() for _ in range(count)]
+
+
+def ordinary_run(rng):
+    return rng.choice([
+        lambda: f"mail{rng.randint(1, 999)}.example.com",
+        lambda: "-".join(words(rng, 1, 1) for _ in range(5)) + f"-{rng.randint(1, 2030)}",
+        lambda: "/".join(words(rng, 1, 1) for _ in range(5)) + f"{rng.randint(0, 9)}.txt",
+    ])()
+
+
+def test_unlabelled_tokens_are_not_learned_as_ordinary(spark):
+    rng = random.Random(16)
+    rows, secret, plain = [], {}, {}
+    for number, (lead, token) in enumerate(random_tokens(rng, 900)):
+        text = words(rng, 3, 6) + " " + lead + token + " " + words(rng, 3, 6) + " "
+        secret[number] = (len(text.partition(token)[0]), len(text.partition(token)[0]) + len(token))
+        run = ordinary_run(rng)
+        plain[number] = (len(text), len(text) + len(run))
+        rows.append(row(number, text + run + " " + words(rng, 3, 6)))
+    found = secret_scan.scan_secrets(frame(spark, rows)).collect()
+    places = {f.doc_id: {(s.start, s.end) for s in f.spans} for f in found}
+    # glpat- is no format that the network is taught.
+    for least, taught in ((0.9, True), (0.5, False)):
+        of = [n for n in secret if ("glpat-" not in rows[n][1]) == taught]
+        assert np.mean([secret[n] in places[n] for n in of]) > least
+    assert np.mean([plain[n] in places[n] for n in plain]) < 0.05
+
+
+def test_only_words_and_numbers_are_ordinary():
+    rng = random.Random(17)
+    tokens = random_tokens(rng, 2000)
+    wrong = [t for lead, t in tokens if secret_scan.ordinary(lead + t, len(lead), len(t))]
+    assert len(wrong) <= 2
+    runs = [ordinary_run(rng) for _ in range(500)] + [
+        "2024-10-12T10.30", "v1.20.3-someRelease", "www.site3.org/page/more"]
+    assert all(secret_scan.ordinary("see " + r, 4, len(r)) for r in runs)
+    assert not secret_scan.ordinary("pwd: correct-horse-battery-1", 5, 23)

@@ -362,3 +362,25 @@ def test_only_words_and_numbers_are_ordinary():
         "2024-10-12T10.30", "v1.20.3-someRelease", "www.site3.org/page/more"]
     assert all(secret_scan.ordinary("see " + r, 4, len(r)) for r in runs)
     assert not secret_scan.ordinary("pwd: correct-horse-battery-1", 5, 23)
+
+
+def test_threshold_keeps_the_recall_of_findings_beside_base():
+    """Many base findings, and others that look like what is no secret two times of three."""
+    rng = random.Random(18)
+
+    def hexadecimal():
+        return "".join(rng.choice("0123456789abcdef") for _ in range(40))
+
+    def alike(count, label):
+        runs = [words(rng, 1, 1) + "-" + words(rng, 4, 4).replace(" ", "-") + "7"
+                for _ in range(count)]
+        return [("see " + r, 4, len(r), label) for r in runs]
+
+    base = [("see " + h, 4, len(h), True) for h in (hexadecimal() for _ in range(1500))]
+    findings = base + alike(500, True) + alike(1000, False)
+    rng.shuffle(findings)
+    learned = secret_scan.learn(findings)
+    fresh = secret_scan.chances(learned, [f[:3] for f in alike(400, True)])
+    assert np.mean([c >= learned["threshold"] for c in fresh]) > 0.9
+    assert learned["recall"] >= secret_scan.RECALL
+    assert secret_scan.learn(secret_scan.generated())["recall"] >= secret_scan.RECALL

@@ -177,6 +177,23 @@ def test_phrases_equal_plain_search():
             assert count == wanted
 
 
+def test_languages_of_rarer_scripts():
+    """Two languages of one script beside larger ones of others, with many letters each."""
+    rng = random.Random(19)
+    large = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
+    rare = ["αβγδεζηθικλμ", "νξοπρστυφχψω",
+            "".join(map(chr, range(0xAC00, 0xB000))), "".join(map(chr, range(0xB000, 0xB400)))]
+    sample = {f"l{n}": [words(rng, 60, 60, letters) for _ in range(20)]
+              for n, letters in enumerate(large)}
+    sample |= {f"r{n}": [words(rng, 20, 20, letters) for _ in range(20)]
+               for n, letters in enumerate(rare)}
+    model = langid.learn(sample)
+    texts = [(f"r{n}", words(rng, 15, 15, letters)) for n, letters in enumerate(rare)
+             for _ in range(30)]
+    found = langid.classify([t for _, t in texts], model)
+    assert np.mean([lang == known for (known, _), (lang, _) in zip(texts, found)]) > 0.95
+
+
 def test_languages_of_held_out_rows(spark):
     rows = [r for r in documents_of("sf0.01")]
     docs = clashing(frame(spark, rows + [row(9999, None), row(9998, "12 34!"), row(None, "")]))

@@ -4,9 +4,13 @@ Labelled text of each language gives a suffix automaton, which knows every subst
 it. A text is parsed from left to right into longest matches with each automaton; the
 language that needs the fewest phrases, normalised to bits a symbol, wins.
 
-The automata are tables of transitions. A transition that does not exist holds where
-the next phrase begins and how many phrases have ended, so a step is one lookup, made
-for thousands of text segments and all languages at a time in numpy.
+Symbols are the UTF-8 bytes of letters in lower case, so the alphabet is the same for all
+scripts and no letter shares its symbol with another.
+
+The automata are tables of transitions, with columns for the bytes that the language has
+and one for all others. A transition that does not exist holds where the next phrase
+begins and how many phrases have ended, so a step is two lookups, made for thousands of
+text segments and all languages at a time in numpy.
 """
 
 import numpy as np
@@ -21,13 +25,12 @@ SAMPLE_TEXTS = 100
 SAMPLE_CHARS = 160
 # Parts in which a language's texts are ranked before they meet.
 RANK_PARTS = 32
-# Letters with a symbol of their own; further letters share one.
-LETTERS = 48
 # Symbols of a segment; longer texts are parsed in several.
 SEGMENT = 512
 UNKNOWN = "und"
 
-_BLANK, _OTHER, _FIRST = 0, 1, 2
+# All that is no letter; what ends a segment is no byte.
+_BLANK, _END = 32, 256
 _COUNT_SHIFT = 28
 _MASK = (1 << _COUNT_SHIFT) - 1
 
@@ -68,26 +71,14 @@ def labelled_sample(docs, id_col="doc_id", text_col="text", lang_col="lang",
     return sample
 
 
-def symbol_table(sample, letters=LETTERS):
-    """The symbol of every code point, and the number of symbols.
-
-    A blank for all that is no letter, the commonest letters in lower case, one symbol
-    for other letters.
-    """
-    counts = {}
-    for pieces_of in sample.values():
-        for piece in pieces_of:
-            for character in piece.lower():
-                if character.isalpha():
-                    counts[character] = counts.get(character, 0) + 1
-    common = sorted(counts, key=lambda c: (-counts[c], c))[:letters]
-    own = {c: _FIRST + n for n, c in enumerate(common)}
-    table = np.zeros(0x110000, np.uint8)
+def letter_table():
+    """The lower case of every code point that is a letter, a blank for all others."""
+    table = np.full(0x110000, _BLANK, np.uint32)
     for point in range(0x110000):
         character = chr(point)
         if character.isalpha():
-            table[point] = own.get(character.lower()[:1], _OTHER)
-    return table, _FIRST + len(common)
+            table[point] = ord(character.lower()[:1])
+    return table
 
 
 def symbols(text, table):
@@ -95,7 +86,9 @@ def symbols(text, table):
     found = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
     keep = found != _BLANK
     keep[1:] |= found[:-1] != _BLANK
-    return found[keep]
+    # Surrogates are no letters, so what is left is valid text.
+    letters = found[keep].astype("<u4").tobytes().decode("utf-32-le")
+    return np.frombuffer(letters.encode(), np.uint8)
 
 
 def suffix_automaton(sequence):
@@ -128,46 +121,52 @@ def suffix_automaton(sequence):
     return following
 
 
-def transition_table(following, width, offset):
-    """Flat table of (phrases ended << 28 | place of the next state).
+def transition_table(following, offset):
+    """Flat table of (phrases ended << 28 | place of the next state), and the column of
+    every byte and of the end of a segment.
 
-    `width` symbols and one more that ends a segment. Places start at `offset`.
+    The first column is for bytes that the language never has, the last for the end.
+    Places start at `offset`.
     """
-    columns = width + 1
-    root = following[0]
+    root = following[0]  # has all symbols of the language
+    known = sorted(root)
+    columns = len(known) + 2
+    column = np.zeros(_END + 1, np.int32)
+    column[known] = np.arange(1, len(known) + 1)
+    column[_END] = columns - 1
+    place = {symbol: n for n, symbol in enumerate(known, 1)}
     table = np.empty((len(following), columns), np.int64)
     start = np.empty(columns, np.int64)
-    for symbol in range(columns):
-        if symbol in root:  # a phrase begins here
-            start[symbol] = root[symbol] * columns + offset
-        else:  # a symbol the language never has is a phrase of its own
-            start[symbol] = offset | 1 << _COUNT_SHIFT
-    start[width] = offset
+    start[0] = offset | 1 << _COUNT_SHIFT  # a phrase of its own
+    for symbol, target in root.items():  # a phrase begins here
+        start[place[symbol]] = target * columns + offset
+    start[-1] = offset
     table[0] = start
     table[1:] = start + (1 << _COUNT_SHIFT)
     for state, edges in enumerate(following):
         for symbol, target in edges.items():
-            table[state, symbol] = target * columns + offset
-    return table.astype(np.int32).ravel()
+            table[state, place[symbol]] = target * columns + offset
+    if offset + table.size > _MASK:
+        raise ValueError("the sample's automata are too large; lower its bounds")
+    return table.astype(np.int32).ravel(), column
 
 
-def learn(sample, letters=LETTERS):
+def learn(sample):
     """What scoring needs, from {language: [piece]}; None without any language."""
     if not sample:
         return None
-    table, width = symbol_table(sample, letters)
-    languages, tables, starts, scales, offset = sorted(sample), [], [], [], 0
+    letters = letter_table()
+    languages, tables, columns, starts, scales, offset = sorted(sample), [], [], [], [], 0
     for language in languages:
-        sequence = symbols("\n".join(sample[language]), table)
-        flat = transition_table(suffix_automaton(sequence.tolist()), width, offset)
+        sequence = symbols("\n".join(sample[language]), letters)
+        flat, column = transition_table(suffix_automaton(sequence.tolist()), offset)
         tables.append(flat)
+        columns.append(column)
         starts.append(offset)
         scales.append(np.log2(max(2, len(sequence))))
         offset += len(flat)
-    if offset > _MASK:
-        raise ValueError("the sample's automata are too large; lower its bounds")
     return {
-        "languages": languages, "symbols": table, "end": width,
+        "languages": languages, "symbols": letters, "columns": np.stack(columns),
         "next": np.concatenate(tables), "starts": np.array(starts, np.int32),
         "scales": np.array(scales),
     }
@@ -183,15 +182,16 @@ def phrases(sequences, model, segment=SEGMENT):
     # Longest first, so that the segments still running are always the first ones.
     cuts.sort(key=lambda cut: -len(cut[1]))
     lengths = np.array([len(c) for _, c in cuts])
-    steps = np.full((int(lengths[0]) + 1, len(cuts)), model["end"], np.uint8)
+    steps = np.full((int(lengths[0]) + 1, len(cuts)), _END, np.uint16)
     for column, (_, cut) in enumerate(cuts):
         steps[:len(cut), column] = cut
     state = np.repeat(model["starts"][:, None], len(cuts), axis=1)
     ended = np.zeros(state.shape, np.int32)
-    following = model["next"]
+    following, columns = model["next"], model["columns"]
     for step in range(len(steps)):
         running = int(np.searchsorted(-lengths, -step, side="right"))
-        place = state[:, :running] + steps[step, :running]
+        place = columns.take(steps[step, :running], axis=1)
+        place += state[:, :running]
         found = following.take(place)
         ended[:, :running] += found >> _COUNT_SHIFT
         np.bitwise_and(found, _MASK, out=state[:, :running])

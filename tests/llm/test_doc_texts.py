@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import zlib
 
 import numpy as np
 import pytest
@@ -269,6 +270,16 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score_toxicity(frame(spark, []), none).collect() == []
 
 
+def test_toxicity_sample_has_one_text_of_an_id(spark):
+    known = [n for n in range(60) if zlib.crc32(str(n).encode()) % 3 != 1][:20]
+    rows = [row(n, f"text {n} {copy}") for n in known for copy in range(1 + 40 * (n == known[0]))]
+    marks = spark.createDataFrame([(n, n % 2) for n in known], "doc_id bigint, toxic int")
+    docs = clashing(frame(spark, rows))
+    found = toxicity.labelled_sample(docs, marks, "toxic")
+    assert len(found) == len(known)
+    assert sorted(found) == sorted(toxicity.labelled_sample(docs.repartition(5), marks, "toxic"))
+
+
 def test_thresholds_part_the_labels():
     cuts = toxicity.thresholds(
         np.array([0.0, 1.0, 4.0, 5.0, 10.0, 11.0, 14.0, 15.0] * 30),

@@ -76,6 +76,20 @@ def test_mixed_documents_hold_the_taken_words(spark):
     assert mix_sources(frame(spark, [row(1, None), row(2, "")])).select("taken").collect() == [(0,), (0,)]
 
 
+@pytest.mark.parametrize("shards", [3, 16])
+def test_mixed_documents_come_by_shard_in_their_order(spark, shards):
+    from pyspark.sql import functions as F
+
+    docs = frame(spark, [r for r in near_copies() if r[1]])
+    draws = mix_sources(docs, shards=shards).collect()
+    wanted = sorted((d.shard, d.place, f.doc_id) for f in draws for d in f.draws)
+    mixed = mixed_documents(docs, shards=shards).withColumn("part", F.spark_partition_id())
+    found = mixed.select("doc_id", "part").collect()
+    assert [f.doc_id for f in found] == [number for *_, number in wanted]
+    each = -(-8 // shards)  # of 8 shuffle partitions
+    assert [f.part // each for f in found] == [shard for shard, *_ in wanted]
+
+
 @pytest.mark.parametrize("shards", [1, 2, 7, 16])
 def test_quotas_split_without_loss(spark, shards):
     quotas = {1: 50, 2: 3, 3: 400, 9: 1}

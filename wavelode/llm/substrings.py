@@ -231,7 +231,8 @@ def search_shard(owned, queries, least):
 
 
 def _search(least, shard_words):
-    """Intervals of the segments of a partition, which come run by run."""
+    """Intervals of the segments of a partition, which come run by run. A run that has one
+    segment only is passed over: no other text has a window of it."""
 
     def run(batches):
         import pyarrow as pa
@@ -239,7 +240,10 @@ def _search(least, shard_words):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(_INTERVALS)
-        rows, size, last = [], 0, None
+        rows, size, last, since = [], 0, None, 0
+
+        def alone():
+            return len(rows) == since + 1
 
         def flush():
             owned = [(first, words.split()) for own, _, first, words in rows if own]
@@ -254,12 +258,17 @@ def _search(least, shard_words):
         for batch in batches:
             for run_, part, own, name, first, words in zip(
                     *(c.to_pylist() for c in batch.columns)):
-                if (run_, part) != last and size > shard_words:
-                    yield flush()
-                    rows, size = [], 0
-                last = run_, part
+                if (run_, part) != last:
+                    if alone():
+                        size -= rows.pop()[3].count(b" ") + 1
+                    if size > shard_words:
+                        yield flush()
+                        rows, size = [], 0
+                    last, since = (run_, part), len(rows)
                 rows.append((own, name, first, words))
                 size += words.count(b" ") + 1
+        if alone():
+            rows.pop()
         if rows:
             yield flush()
 

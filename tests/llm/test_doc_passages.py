@@ -12,7 +12,7 @@ from wavelode.llm.clustering import Bisectors, cluster_vectors
 from wavelode.llm.fim import digest, fill_in_middle, restore, restored, split, transform
 from wavelode.llm.fm_index import FMIndex, WaveletTree, suffix_order
 from wavelode.llm.substrings import (
-    _Hashes, dedup_passages, marked_runs, search_shard, widths, without_words,
+    Words, dedup_passages, marked_runs, search_shard, widths, without_words,
 )
 
 MARKS = [b"<P>", b"<M>", b"<S>"]
@@ -191,12 +191,27 @@ def test_every_window_holds_a_marked_run():
         gram, _ = widths(least)
         for letters in ("a", "ab", "abcdefghij"):
             text = [rng.choice(letters).encode() for _ in range(400)]
-            starts, _, _ = marked_runs([text], least, _Hashes())
+            starts, _ = marked_runs(Words([b" ".join(text)]), least)
             marked = set(starts.tolist())
             for n in range(len(text) - least + 1):
                 assert marked & set(range(n, n + least - gram + 1))
 
 
+def test_words_of_bytes_and_their_hashes():
+    texts = [b"", b" a  bc\n", "é\x85x \u2003".encode(), b"\x0b\x0c", b"y" * 300_000 + b" a",
+             b" ".join(b"w%d" % (n % 5000) for n in range(90_000))]
+    words = Words(texts)
+    tokens = [w for t in texts for w in t.split()]
+    assert words.sizes.tolist() == [len(t.split()) for t in texts]
+    spans = zip(words.starts.tolist(), words.ends.tolist())
+    assert [words.buffer[a:b] for a, b in spans] == tokens
+    by_hash = {}
+    for token, value in zip(tokens, words.hashes.tolist()):
+        assert by_hash.setdefault(value, token) == token
+    assert len(by_hash) == len(set(tokens))
+    assert words.joined(0, 2) == b"a bc" and len(Words([]).hashes) == 0
+
+
 def test_wavelet_tree_counts_symbols():
     import numpy as np
 

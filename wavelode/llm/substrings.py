@@ -36,10 +36,10 @@ LEAST = 50
 SHARD_WORDS = 1 << 18  # of an index, but for the last run that is added
 KEY_SEGMENTS = 2048  # different segments of one run in an index
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LONGEST = 32  # bytes of a word; longer ones stand as their hash
-_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def widths(least):
@@ -49,21 +49,79 @@ def widths(least):
     return gram, max(1, gram // 5)
 
 
-class _Hashes(dict):
-    """Hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word):
-        if len(self) >= 1 << 18:
-            self.clear()
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
+def _byte_tables():
+    numbers = np.arange(1, 257, dtype=np.uint64) * _MIX
+    numbers ^= numbers >> np.uint64(31)
+    space = np.zeros(256, bool)
+    space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+    return space, numbers * np.uint64(_BASE)
+
+
+_SPACE, _BYTES = _byte_tables()
+_BLOCK = 1 << 18  # bytes whose hashes are worked out at once
+
+
+def _word_hashes(points, starts, ends):
+    """64-bit hashes of the words of a byte array, out of one running sum over its bytes."""
+    base = np.uint64(_BASE)
+    powers = np.cumprod(np.full(_BLOCK, base))
+    inverses = np.cumprod(np.full(_BLOCK, np.uint64(pow(_BASE, -1, 1 << 64))))
+    found, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        first = int(starts[at])
+        stop = int(np.searchsorted(ends, first + _BLOCK, side="right"))
+        if stop == at:  # longer than a block
+            word = points[first:int(ends[at])].tobytes()
+            digest = hashlib.blake2b(word, digest_size=8).digest()
+            found[at] = int.from_bytes(digest, "little")
+            at += 1
+            continue
+        part = points[first:int(ends[stop - 1])]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTES[part] * powers[:len(part)], out=total[1:])
+        a, b = starts[at:stop] - first, ends[at:stop] - first
+        found[at:stop] = (total[b] - total[a]) * inverses[a]
+        at = stop
+    found ^= found >> np.uint64(32)
+    found *= _MIX
+    return found ^ (found >> np.uint64(29))
+
+
+class Words:
+    """The words of some texts in bytes: where they start and end in the texts put one
+    after another, their hashes, and how many each text has."""
+
+    def __init__(self, texts):
+        self.buffer = b"\n".join(texts)
+        points = np.frombuffer(self.buffer, np.uint8)
+        space = np.ones(len(points) + 2, bool)
+        space[1:-1] = _SPACE[points]
+        self.starts = np.flatnonzero(space[:-2] & ~space[1:-1])
+        self.ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
+        self.hashes = _word_hashes(points, self.starts, self.ends)
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+        self.sizes = np.diff(np.searchsorted(self.starts, offsets))
+
+    def joined(self, first, stop):
+        """Words [first, stop) with one space between; long ones stand as their hash."""
+        text = self.buffer[self.starts[first]:self.ends[stop - 1]]
+        return b" ".join(map(_token, text.split()))
+
+
+def _polynomials(values, width, base):
+    """Sums over all runs of `width` values, made from those of half as many."""
+    if width == 1:
+        return values
+    half = _polynomials(values, width // 2, base)
+    reach = width // 2
+    total = half[:-reach] * np.uint64(pow(base, reach, 1 << 64)) + half[reach:]
+    if width % 2:
+        total = total[:-1] * np.uint64(base) + values[width - 1:]
+    return total
 
 
 def _rolling(values, width):
-    total = values[:len(values) - width + 1].copy()
-    for n in range(1, width):
-        total = total * _BASE + values[n:len(values) - width + 1 + n]
+    total = _polynomials(values, width, _BASE).copy()
     total ^= total >> np.uint64(29)
     total *= _MIX
     return total ^ (total >> np.uint64(32))
@@ -80,21 +138,16 @@ def _sliding_min(values, width):
     return least
 
 
-def marked_runs(documents, least, cache):
-    """(starts, hashes, end): marked runs of documents, given as lists of words, put one
-    after another, and where the document of each run ends."""
+def marked_runs(words, least):
+    """(starts, hashes) of the marked runs, by their first words."""
     gram, part = widths(least)
-    sizes = np.array([len(d) for d in documents], np.int64)
-    total = int(sizes.sum())
+    total = len(words.hashes)
     if total < gram:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    values = np.fromiter(
-        (cache[w] for d in documents for w in d), np.uint64, total)
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    runs = _rolling(values, gram)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    ends = np.repeat(np.cumsum(words.sizes), words.sizes)
+    runs = _rolling(words.hashes, gram)
     reach = gram - part
-    inner = _rolling(values, part)
+    inner = _rolling(words.hashes, part)
     if reach:
         lowest = _sliding_min(inner, reach)[:len(runs)]
         first, last = inner[:len(runs)], inner[reach:reach + len(runs)]
@@ -103,16 +156,13 @@ def marked_runs(documents, least, cache):
         chosen = np.ones(len(runs), bool)
     starts = np.flatnonzero(chosen)
     starts = starts[starts + gram <= ends[starts]]
-    return starts, runs[starts].view(np.int64), ends[starts]
-
-
-def _words(text):
-    return text.split()  # of bytes: at the six white-space characters of ASCII
+    return starts, runs[starts].view(np.int64)
 
 
-def _groups(batches, text, chars=1_000_000):
+def _scanned(batches, text, chars=1_000_000):
+    """Bounded pieces of Arrow batches with the words of their texts."""
     for piece in pieces(batches, text=text, chars=chars):
-        yield piece, [_words(t or b"") for t in piece.column(text).to_pylist()]
+        yield piece, Words([t or b"" for t in piece.column(text).to_pylist()])
 
 
 def _marks(rows, least):
@@ -124,12 +174,10 @@ def _marks(rows, least):
     def run(batches):
         import pyarrow as pa
 
-        cache = _Hashes()
-        for piece, documents in _groups(batches, 2):
-            starts, runs, _ = marked_runs(documents, least, cache)
-            sizes = np.array([len(d) for d in documents], np.int64)
-            base = np.cumsum(sizes) - sizes
-            cuts = np.searchsorted(starts, [*base, sizes.sum()])
+        for piece, words in _scanned(batches, 2):
+            starts, runs = marked_runs(words, least)
+            base = np.cumsum(words.sizes) - words.sizes
+            cuts = np.searchsorted(starts, [*base, len(words.hashes)])
             inside = starts - np.repeat(base, np.diff(cuts))
             offsets = pa.array(cuts, pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -141,13 +189,12 @@ def _marks(rows, least):
     return rows.select("key", "id", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
-def segments(documents, shared, least, cache):
-    """(document, start, end, run) of the segments of some documents; `shared` gives for
-    each document how many places have the marked run that starts at a word of it."""
+def segments(words, shared, least):
+    """(document, first word, end, run) of the segments of some documents; `shared` gives
+    for each document how many places have the marked run that starts at a word of it."""
     gram, _ = widths(least)
-    starts, runs, _ = marked_runs(documents, least, cache)
-    sizes = np.array([len(d) for d in documents], np.int64)
-    total = int(sizes.sum())
+    starts, runs = marked_runs(words, least)
+    sizes, total = words.sizes, len(words.hashes)
     if total < least or not len(starts):
         return []
     base = np.cumsum(sizes) - sizes
@@ -178,7 +225,7 @@ def segments(documents, shared, least, cache):
     run_at = dict(zip(starts.tolist(), runs.tolist()))
     owner = np.searchsorted(np.cumsum(sizes), window[first], side="right")
     return [
-        (d, s - int(base[d]), e - int(base[d]), run_at[c]) for d, s, e, c in zip(
+        (d, s, e, run_at[c]) for d, s, e, c in zip(
             owner.tolist(), window[first].tolist(), (window[last] + least).tolist(),
             chosen[first].tolist())]
 
@@ -200,20 +247,20 @@ def _segments(rows, least):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(schema)
-        cache = _Hashes()
-        for piece, documents in _groups(batches, 2):
+        for piece, words in _scanned(batches, 2):
             shared = [[(p["start"], p["n"]) for p in found]
                       for found in piece.column(3).to_pylist()]
-            found = segments(documents, shared, least, cache)
+            found = segments(words, shared, least)
+            base = (np.cumsum(words.sizes) - words.sizes).tolist()
             take = pa.array([d for d, *_ in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0).take(take).cast(target.field(0).type),
                  piece.column(1).take(take).cast(target.field(1).type),
-                 pa.array([s for _, s, _, _ in found], pa.int32()),
+                 pa.array([s - base[d] for d, s, _, _ in found], pa.int32()),
                  pa.array([e - s for _, s, e, _ in found], pa.int32()),
                  pa.array([r for *_, r in found], pa.int64()),
-                 pa.array([b" ".join(map(_token, documents[d][s:e])) for d, s, e, _ in found],
-                          pa.binary())], schema=target)
+                 pa.array([words.joined(s, e) for _, s, e, _ in found], pa.binary())],
+                schema=target)
 
     return rows.select("key", "id", F.col("text").cast("binary"), "shared").mapInArrow(run, schema)
 
@@ -346,7 +393,7 @@ def repeated_passages(rows, least=LEAST, shard_words=SHARD_WORDS, key_segments=K
 
 def without_words(text, spans):
     """A text in bytes without words [start, end), each cut up to the word that follows."""
-    at = [m.start() for m in _BYTES.finditer(text)]
+    at = [m.start() for m in _WORDS.finditer(text)]
     out, passed = [], 0
     for start, end in spans:
         out.append(text[passed:at[start]])

@@ -1,4 +1,4 @@
 from wavelode.plans.queries import (  # noqa: F401
-    ingest, layers, marts, modelling, outcomes, profiles, streams,
+    ingest, layers, marts, modelling, outcomes, profiles, stored, streams,
 )
 from wavelode.plans.queries.registry import QUERIES, SQL  # noqa: F401

@@ -2,11 +2,13 @@
 
 import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import lenient_bool, lenient_double, lenient_int
 from wavelode.schemas import EVENT_SCHEMA, TRACK_COLUMNS
+from wavelode.session import session_conf
 
 
 def table(spark, path, fmt="parquet"):
@@ -103,19 +105,36 @@ def write_text(spark, path, text):
     ).rename(started, hadoop_path, options)
 
 
-def _header(spark, path):
-    """Column names in the first line of a CSV file, compressed or not."""
-    jvm = spark.sparkContext._jvm
-    fs, hadoop_path = _file_system(spark, path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(hadoop_path)
-    stream = fs.open(hadoop_path)
-    try:
-        plain = stream if codec is None else codec.createInputStream(stream)
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+def _first_rows(batches):
+    """The first row of a partition; the rest of it is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+# One partition for each file, so that a task reads the first lines of one file.
+_WHOLE_FILES = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 60),
+    "spark.sql.files.openCostInBytes": str(1 << 60),
+}
+
+
+def csv_headers(spark, path):
+    """{column names: files that have them} of CSV files, compressed or not.
+
+    The first lines are read by tasks. A file without lines has no header.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    firsts = lines.mapInArrow(_first_rows, "value STRING, file STRING").groupBy("value").agg(
+        F.collect_list("file").alias("files"))
+    found = {}
+    with session_conf(spark, _WHOLE_FILES):
+        for line, files in firsts.collect():
+            names = tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+            if names:
+                found.setdefault(names, []).extend(unquote(f) for f in files)
+    return found
 
 
 def read_tracks_csv(spark, path, multi_line=False):
@@ -125,11 +144,9 @@ def read_tracks_csv(spark, path, multi_line=False):
     each header are read with their own names. ``multi_line`` allows line breaks inside
     quoted cells, at the price of one task per file.
     """
-    layouts = {}
-    for file in spark.read.text(path).inputFiles():
-        names = _header(spark, file)
-        if names:  # an empty file has no rows
-            layouts.setdefault(names, []).append(file)
+    layouts = csv_headers(spark, path)
+    if len(layouts) == 1:  # no need to name the files
+        layouts = dict.fromkeys(layouts, path)
     reader = spark.read.options(
         header=True, escape='"', multiLine=multi_line, enforceSchema=False)
     parts = [

@@ -11,6 +11,7 @@ from wavelode.streaming.batches import (
     KEPT, LATE, OUTCOMES, REJECTED, RULE_COUNTS, outcome_stream, read_batches,
 )
 from wavelode.streaming.keyed import PARTS, keyed_stream, latest_rows, read_keyed
+from wavelode.streaming.profiles import StoredProfile, profile_stream, silver_profile_columns
 from wavelode.streaming.sinks import (
     DEFAULT_TRIGGER, append_stream, read_snapshot, run_stream, snapshot_stream,
 )
@@ -172,6 +173,19 @@ def start_windows(spark, layout, name, width, delay, trigger=DEFAULT_TRIGGER, ke
         )
 
 
+def start_profile(spark, layout, trigger=DEFAULT_TRIGGER, **options):
+    """States of Silver's columns by day, from which profiles of any span are merged."""
+    rows = _layer_stream(spark, layout, "silver", **options)
+    return profile_stream(
+        rows, layout.path("profile"), layout.checkpoint("profile"),
+        *silver_profile_columns(rows), "event_timestamp", trigger,
+    )
+
+
+def read_profile(spark, layout):
+    return StoredProfile(spark, layout.path("profile"))
+
+
 def read_gold(spark, layout):
     """The newest Gold table; without rows before its first trigger with data."""
     try:

@@ -235,9 +235,10 @@ def _token(word):
 
 
 def _segments(rows, least):
-    """(key, id, start, size, run, words) of the segments of texts with `shared` places."""
+    """(key, id, starts, size, run, words) of the segments of texts with `shared` places;
+    equal segments of a text are one row."""
     schema = T.StructType([
-        rows.schema["key"], rows.schema["id"], T.StructField("start", T.IntegerType()),
+        rows.schema["key"], rows.schema["id"], T.StructField("starts", T.ArrayType(T.IntegerType())),
         T.StructField("size", T.IntegerType()), T.StructField("run", T.LongType()),
         T.StructField("words", T.BinaryType())])
 
@@ -250,16 +251,18 @@ def _segments(rows, least):
         for piece, words in _scanned(batches, 2):
             shared = [[(p["start"], p["n"]) for p in found]
                       for found in piece.column(3).to_pylist()]
-            found = segments(words, shared, least)
             base = (np.cumsum(words.sizes) - words.sizes).tolist()
+            found = {}
+            for d, s, e, run_ in segments(words, shared, least):
+                found.setdefault((d, e - s, run_, words.joined(s, e)), []).append(s - base[d])
             take = pa.array([d for d, *_ in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0).take(take).cast(target.field(0).type),
                  piece.column(1).take(take).cast(target.field(1).type),
-                 pa.array([s - base[d] for d, s, _, _ in found], pa.int32()),
-                 pa.array([e - s for _, s, e, _ in found], pa.int32()),
-                 pa.array([r for *_, r in found], pa.int64()),
-                 pa.array([words.joined(s, e) for _, s, e, _ in found], pa.binary())],
+                 pa.array(list(found.values()), pa.list_(pa.int32())),
+                 pa.array([n for _, n, _, _ in found], pa.int32()),
+                 pa.array([r for _, _, r, _ in found], pa.int64()),
+                 pa.array([w for *_, w in found], pa.binary())],
                 schema=target)
 
     return rows.select("key", "id", F.col("text").cast("binary"), "shared").mapInArrow(run, schema)
@@ -374,20 +377,21 @@ def repeated_passages(rows, least=LEAST, shard_words=SHARD_WORDS, key_segments=K
         "passage-intervals",
     )
     # A later copy of a segment goes as a whole, the first one by its intervals.
-    names = different.select("name", "first").join(new, "name", "left")
-    lost = found.select("key", "id", "start", "size", "name").join(names, "name").select(
-        "key", F.when(F.col("id") > F.col("first"), F.array(F.struct(
-            F.col("start"), (F.col("start") + F.col("size")).alias("end"))))
-        .otherwise(F.transform("spans", lambda s: F.struct(
-            (F.col("start") + s["start"]).alias("start"),
-            (F.col("start") + s["end"]).alias("end")))).alias("spans")
-    ).where("spans IS NOT NULL")
+    names = stored(
+        different.select("name", "first").join(new, "name", "left"), "passage-names")
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end")))
+    lost = found.select("key", "id", "starts", "size", "name").join(names, "name").select(
+        "key", "starts", F.when(F.col("id") > F.col("first"), whole)
+        .otherwise(F.col("spans")).alias("spans")
+    ).where("spans IS NOT NULL").select("key", F.expr("""flatten(transform(starts, s ->
+        transform(spans, x -> named_struct('start', s + x.start, 'end', s + x.end))))"""
+    ).alias("spans"))
     spans = stored(
         lost.select("key", F.explode("spans").alias("span")).groupBy("key").agg(
             F.collect_set("span").alias("spans")),
         "passage-spans",
     )
-    discard(marks, shared, of_text, found, different, crowded, new)
+    discard(marks, shared, of_text, found, different, crowded, new, names)
     return spans
 
 

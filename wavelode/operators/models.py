@@ -1,7 +1,9 @@
 """The five regressors, their training and scoring."""
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -79,13 +81,20 @@ def training_view(vectors, estimators):
     return vectors.select(*sorted(used))
 
 
-def fit_each(train, estimators):
-    """Fit every estimator on a table that is already kept.
+def fit_each(train, estimators, at_once=4):
+    """Fit every estimator on a table that is already kept, several at once.
 
-    Boosting grows its lineage with every round and cuts it at checkpoints.
+    Boosting is a long row of small jobs, between which there is room for the others. It
+    grows its lineage with every round and cuts it at checkpoints.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    return {name: estimator.fit(train) for name, estimator in estimators.items()}
+    inherit = inheritable_thread_target(train.sparkSession)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        fits = {
+            name: pool.submit(inherit(estimator.fit), train)
+            for name, estimator in estimators.items()
+        }
+        return {name: fit.result() for name, fit in fits.items()}
 
 
 def fit_all(vectors, estimators):

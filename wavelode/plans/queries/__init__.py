@@ -1,4 +1,5 @@
 from wavelode.plans.queries import (  # noqa: F401
-    ingest, layers, marts, modelling, outcomes, profiles, stored, streams,
+    ingest, layers, marts, modelling, outcomes, profiles, proofs, stored,
+    streams,
 )
 from wavelode.plans.queries.registry import QUERIES, SQL  # noqa: F401

@@ -2,7 +2,6 @@
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -269,9 +268,7 @@ def _flag_predictions(spark, folder, estimator):
 @query("tree_fit", _FLAG_MEANS)
 def tree_fit(spark, folder):
     return _flag_predictions(
-        spark, folder,
-        DecisionTreeRegressor(labelCol="l_extendedprice", maxDepth=8, minInstancesPerNode=10),
-    )
+        spark, folder, models.regressors("l_extendedprice")["Decision_Tree_Regressor"])
 
 
 # A label that follows from the features, by products that one tree cannot follow, so
@@ -293,6 +290,8 @@ def _training(spark, folder):
     """All five models at their full settings over all tracks; one training serves every
     query of a session that reads it."""
     key = spark.sparkContext.applicationId, folder
+    for old in [k for k in _TRAININGS if k[0] != key[0]]:  # of a session that has ended
+        del _TRAININGS[old]
     if key not in _TRAININGS:
         silver = _silver(spark, folder).withColumn(
             "signal", F.expr(_SIGNAL).cast("double"))

@@ -38,7 +38,8 @@ def clashing(docs):
 
     names = ["id", "key", "size", "hash", "text_", "_text", "_id", "_hash", "removed", "score",
              "lang_pred", "component_id", "row", "draws", "spans", "slot", "shard", "c0", "print",
-             "keep_id", "kept", "block", "order", "target", "taken", "label", "fingerprint"]
+             "keep_id", "kept", "block", "order", "target", "taken", "label", "fingerprint",
+             "meta.url", "text.", "a`b"]
     return docs.select("*", *[F.lit(n).alias(n) for n in names])
 
 

@@ -42,9 +42,12 @@ def test_exact_duplicates_of_nothing(spark):
 
 def lines_without_repeats(rows, least):
     """Every run of lines is compared with all earlier ones."""
-    order = sorted({(r[0] is not None, r[0] or 0, hashlib.md5(
-        f"{'null' if r[0] is None else r[0]}:{r[1] or ''}".encode()).digest(), r[1] or "")
-        for r in rows})
+    def key(number, text):
+        name = "-:" if number is None else f"{len(str(number))}:{number}"
+        return hashlib.md5(f"{name}:{text}".encode()).digest()
+
+    order = sorted({(r[0] is not None, r[0] or 0, key(r[0], r[1] or ""), r[1] or "")
+                    for r in rows})
     seen, out = set(), {}
     for known, number, _, text in order:
         lines = [(n, s.strip()) for n, s in enumerate(text.split("\n")) if s.strip()]
@@ -81,7 +84,7 @@ def line_documents():
     return rows
 
 
-@pytest.mark.parametrize("least", [12, 25])
+@pytest.mark.parametrize("least", [1, 12, 25])
 def test_later_runs_of_lines_go(spark, least):
     rows = line_documents()
     expected = lines_without_repeats(rows, least)
@@ -102,7 +105,10 @@ def test_lines_of_odd_rows(spark):
     assert len(found) == len(rows)
     by_id = {f.doc_id: f for f in found}
     assert by_id[10].text == LONG and by_id[11].text == "" and by_id[7].text is None
-    assert by_id[5].text == "The same text in two rows."  # under 50 words
+    # The row without an id comes first.
+    assert by_id[5].text == by_id[6].text == "" and by_id[9].text == "   \n\t\n "
+    kept = {f.doc_id: f.text for f in dedup_lines(frame(spark, rows), min_words=50).collect()}
+    assert kept[5] == "The same text in two rows." and kept[11] == ""
     assert dedup_lines(frame(spark, [])).collect() == []
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -12,8 +13,10 @@ import pytest
 from samples import LONG, clashing, documents_of, frame, odd_rows, row, words
 
 from wavelode.llm import fingerprints as prints
-from wavelode.llm import langid, secret_scan, toxicity
-from wavelode.llm.bpe import decode, decode_ids, encode, merge_words, read_vocabulary
+from wavelode.llm import bpe, langid, secret_scan, toxicity
+from wavelode.llm.bpe import (
+    decode, decode_ids, encode, merge_long, merge_words, read_vocabulary,
+)
 
 tokenizers = pytest.importorskip("tokenizers")
 vocabularies = pytest.importorskip("public_tokenizers")
@@ -151,6 +154,33 @@ def test_merge_rounds_equal_one_merge_at_a_time():
     assert decode_ids(b"", model["tokens"]) == ""
 
 
+def test_long_words_equal_short_ones_and_the_library():
+    model, library = read_vocabulary(PATH), tokenizers.Tokenizer.from_file(PATH)
+    rng = random.Random(12)
+    for letters in ("ab", "a", "aeinrst", string.ascii_lowercase, "aéßж中"):
+        for _ in range(12):
+            word = "".join(rng.choice(letters) for _ in range(rng.randint(2, 900)))
+            long = merge_long(word.encode(), model).tolist()
+            assert long == merge_words([word.encode()], model)[0].tolist()
+            if letters.isascii():
+                assert long == library.encode(word, add_special_tokens=False).ids
+    word = "".join(rng.choice(string.ascii_lowercase) for _ in range(160_000))
+    start = time.perf_counter()
+    ids = merge_long(word.encode(), model).tolist()
+    assert time.perf_counter() - start < 5  # rounds over the whole word take minutes
+    assert ids == library.encode(word, add_special_tokens=False).ids
+
+
+def test_kept_chunks_are_bounded_by_bytes(monkeypatch):
+    """Text without spaces: few chunks, but large ones."""
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 100_000)
+    encoder, rng = bpe.Encoder(read_vocabulary(PATH)), random.Random(13)
+    for _ in range(60):
+        encoder.encode(["".join(rng.choice("abcdefgh") for _ in range(5000))])
+        held = sum(4 * len(c) + len(ids) + bpe.KEPT_EACH for c, ids in encoder.kept.items())
+        assert held == encoder.size <= 100_000 + 50_000
+
+
 def longest_matches(sequence, sample):
     """Phrases by plain search, within one segment."""
     count, at = 0, 0
@@ -212,6 +242,42 @@ def test_languages_of_held_out_rows(spark):
         assert f.held_out == (zlib.crc32(number.encode()) % 3 == 1)
 
 
+def test_languages_in_several_passes(spark):
+    """As many models as languages give the same as one model of all."""
+    rows = [r for r in documents_of("sf0.001")] + [row(None, None), row(7, "1 2"), row(8, "")]
+    docs = clashing(frame(spark, rows))
+    sample = langid.labelled_sample(docs)
+    assert len(sample) > 2
+    one, many = (
+        {(r.doc_id, r.text): (r.lang_pred, round(r.score, 9)) for r in langid.identify_languages(
+            docs, sample, "text", ["doc_id", "text"], most).collect()} for most in (1 << 25, 1))
+    assert one == many and one[None, None] == ("und", 0.0)
+    assert langid.better(None, None) is None
+
+
+def test_very_many_languages(spark):
+    """A column of 2,000 values: nothing is too large, and each pass holds a part of them."""
+    rows = [row(n, f"{chr(97 + n % 26) * 3} {chr(97 + n // 80)}", f"l{n}") for n in range(2000)]
+    sizes = []
+    table = langid.sampled_pieces(frame(spark, rows))
+    for model in langid.models(langid.languages_of(table), 5_000):
+        sizes.append(len(model["languages"]))
+        assert len(model["next"]) <= 5_000
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert sum(sizes) == len(learned) and len(sizes) > 3
+
+
+def test_texts_in_no_learned_language_go(spark):
+    rows = documents_of("sf0.01")
+    foreign = [
+        "Привет, как дела? Сегодня хорошая погода и мы идём гулять в парк с друзьями.",
+        "今天天气很好,我们去公园散步吧,然后一起吃晚饭,聊聊最近的工作和生活,周末再去看一场电影,好吗?",
+        "xkq zzvw qpx jjkw vvbn qqwx zxcv plkm qwrt zzxx kkjh qpow xzvb mnbq"]
+    docs = clashing(frame(spark, rows + [row(90_000 + n, t, None) for n, t in enumerate(foreign)]))
+    kept = {r.doc_id for r in langid.keep_identified(docs).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_languages_without_labels(spark):
     rows = [row(n, "some text", None) for n in range(5)]
     assert {f.lang_pred for f in langid.predict_languages(frame(spark, rows)).collect()} == {"und"}

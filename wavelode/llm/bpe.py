@@ -3,8 +3,10 @@
 The symbols of many words lie in one flat array. A round looks up every neighbouring
 pair by binary search in the sorted pair keys, finds the lowest rank of each word, and
 merges all its places at once, leftmost first where they overlap. Words without a
-known pair leave the array. Texts are cut into chunks at white space; a chunk's ids
-are kept in a bounded table, so the rounds see each new chunk of a worker once.
+known pair leave the array. A long word has rounds of its own, which look only at the
+places that hold the lowest rank and at the pairs that a merge makes, so that its time
+follows its length. Texts are cut into chunks at white space; a chunk's ids are kept in
+a table of bounded size, so the rounds see each new chunk of a worker once.
 
 The vocabulary is a file of the tokenizers library, read on the driver and broadcast;
 its size is fixed by the file. Supported is the kind described by the functions below:
@@ -13,6 +15,7 @@ printable characters, a suffix at the end of words, tokens joined by blanks when
 decoding.
 """
 
+import heapq
 import json
 import unicodedata
 
@@ -23,10 +26,13 @@ from pyspark.sql import types as T
 
 from wavelode.llm.common import pieces, plain_text
 
-# Chunks whose ids a worker keeps.
-KEPT_CHUNKS = 200_000
+# Bytes of the chunks and ids that a worker keeps, and what each adds besides.
+KEPT_BYTES = 64_000_000
+KEPT_EACH = 200
 # Symbols that go through the merge rounds together.
 ROUND_SYMBOLS = 500_000
+# Symbols from which a word has rounds of its own.
+LONG_WORD = 256
 
 # Unicode white space; Python's split() also takes the separators 1C to 1F.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -65,6 +71,7 @@ def read_vocabulary(path):
     return {
         "tokens": tokens, "size": size, "split": split,
         "keys": keys[order], "ranks": order.astype(np.int64), "made": made[order],
+        "place": np.argsort(order).astype(np.int64),
         "inner": np.array([vocabulary[characters[b]] for b in range(256)], np.int64),
         "last": np.array([vocabulary[characters[b] + suffix] for b in range(256)], np.int64),
         "special": {a["content"]: a["id"] for a in added},
@@ -109,6 +116,55 @@ def merge_words(words, model):
     return out
 
 
+def merge_long(word, model):
+    """The token ids of one word of any length, given as bytes."""
+    values = np.frombuffer(word, np.uint8)
+    symbols = model["inner"][values]
+    symbols[-1] = model["last"][values[-1]]
+    size, keys = len(symbols), model["keys"]
+    following, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+    alive = np.ones(size, bool)
+    waiting, ranks = {}, []  # places by the rank of the pair that begins there
+
+    def add(at):
+        pair = symbols[at] * model["size"] + symbols[following[at]]
+        place = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        known = keys[place] == pair
+        at, rank = at[known], model["ranks"][place[known]]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        cuts = np.flatnonzero(np.diff(rank)) + 1
+        for part, r in zip(np.split(at, cuts), rank[np.append(0, cuts)].tolist() if len(at) else ()):
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(ranks, r)
+            waiting[r].append(part)
+
+    add(np.arange(size - 1))
+    while ranks:
+        rank = heapq.heappop(ranks)
+        place = model["place"][rank]
+        at = np.unique(np.concatenate(waiting.pop(rank)))
+        at = at[alive[at] & (following[at] < size)]
+        at = at[symbols[at] * model["size"] + symbols[following[at]] == keys[place]]
+        if not len(at):
+            continue
+        # Of places in a row (a a a) every other one merges, from the left.
+        first = np.concatenate(([True], following[at[:-1]] != at[1:]))
+        run_start = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
+        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
+        gone = following[at]
+        symbols[at] = model["made"][place]
+        alive[gone] = False
+        after = following[gone]
+        following[at] = after
+        inside = after < size
+        before[after[inside]] = at[inside]
+        left = before[at]
+        add(np.unique(np.concatenate((at[inside], left[left >= 0]))))
+    return symbols[alive].astype("<u4")
+
+
 class Encoder:
     """Ids of whole texts, for one worker."""
 
@@ -117,7 +173,7 @@ class Encoder:
         self.split = regex.compile(model["split"])
         self.special = regex.compile(
             "(" + "|".join(map(regex.escape, model["special"])) + ")") if model["special"] else None
-        self.kept = {}
+        self.kept, self.size = {}, 0
 
     def words(self, chunk):
         """The words of a chunk without white space, as bytes."""
@@ -136,6 +192,10 @@ class Encoder:
         words = {c: self.words(c) for c in chunks}
         new = list(dict.fromkeys(w for ws in words.values() for w in ws))
         ids, start, symbols = {}, 0, 0
+        for word in new:
+            if len(word) >= LONG_WORD:
+                ids[word] = merge_long(word, self.model)
+        new = [w for w in new if len(w) < LONG_WORD]
         for stop, word in enumerate(new, 1):
             symbols += len(word)
             if symbols >= ROUND_SYMBOLS or stop == len(new):
@@ -143,7 +203,9 @@ class Encoder:
                 ids.update(zip(part, merge_words(part, self.model)))
                 start, symbols = stop, 0
         for chunk, ws in words.items():
-            self.kept[chunk] = b"".join(ids[w].tobytes() for w in ws)
+            found = b"".join(ids[w].tobytes() for w in ws)
+            self.kept[chunk] = found
+            self.size += KEPT_EACH + 4 * len(chunk) + len(found)
 
     def encode(self, texts):
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -157,8 +219,8 @@ class Encoder:
                 [np.array([self.model["special"][p]], "<u4").tobytes()] if n % 2 else self.chunks(p)
                 for n, p in enumerate(split)
             ])
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept.clear()
+        if self.size > KEPT_BYTES:
+            self.kept, self.size = {}, 0
         kept = self.kept
         new = {c for text in parts for part in text for c in part
                if type(c) is str and c not in kept}

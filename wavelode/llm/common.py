@@ -36,6 +36,11 @@ def named(name):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def whole_row(docs):
+    """All columns of a row as a struct, whatever their names."""
+    return F.struct(*[named(c) for c in docs.columns])
+
+
 def numbered(docs):
     """The rows with columns c0, c1, ... instead of names that an operator could use too."""
     return docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])

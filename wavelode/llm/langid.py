@@ -13,12 +13,14 @@ begins and how many phrases have ended, so a step is two lookups, made for thous
 text segments and all languages at a time in numpy.
 """
 
+from itertools import groupby
+
 import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import pieces, plain_text
+from wavelode.llm.common import discard, named, pieces, plain_text, stored, whole_row
 
 # Bound of the labelled sample: so many texts a language, so many characters of each.
 SAMPLE_TEXTS = 100
@@ -27,6 +29,8 @@ SAMPLE_CHARS = 160
 RANK_PARTS = 32
 # Symbols of a segment; longer texts are parsed in several.
 SEGMENT = 512
+# Transitions that a worker holds at once; further languages are parsed in further passes.
+MODEL_TRANSITIONS = 1 << 25
 UNKNOWN = "und"
 
 # All that is no letter; what ends a segment is no byte.
@@ -37,38 +41,49 @@ _MASK = (1 << _COUNT_SHIFT) - 1
 
 def held_out(id_col):
     """Is the row kept from learning? Null ids count as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
+    return F.crc32(F.coalesce(named(id_col).cast("string"), F.lit(""))) % 3 == 1
 
 
-def labelled_sample(docs, id_col="doc_id", text_col="text", lang_col="lang",
-                    texts=SAMPLE_TEXTS, chars=SAMPLE_CHARS):
-    """A bounded sample {language: [piece of text]} of the rows not held out.
+def sampled_pieces(docs, id_col="doc_id", text_col="text", lang_col="lang",
+                   texts=SAMPLE_TEXTS, chars=SAMPLE_CHARS, held=False):
+    """A table (lang, hash, piece) of labelled rows: not held out, or only held out ones.
 
     Of each language the distinct texts with the smallest hashes, and of each a piece
     from a place given by its hash, so copies do not crowd the sample.
     """
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"),
-                       F.col(text_col).cast("string").alias("text"))
+    side = held_out(id_col) if held else ~held_out(id_col)
+    rows = docs.where(side & named(lang_col).isNotNull() & named(text_col).isNotNull())
+    rows = rows.select(named(lang_col).cast("string").alias("lang"),
+                       named(text_col).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     # First within RANK_PARTS parts of a language, then among the few rows that are left.
     chosen = rows.select("lang", "hash", F.pmod("hash", F.lit(RANK_PARTS)).alias("part")).distinct()
     for keys in (["lang", "part"], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
         chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= texts).drop("rank")
-    chosen = chosen.select("lang", "hash").cache()
-    try:
-        # At most `texts` rows a language.
-        found = rows.join(F.broadcast(chosen), ["lang", "hash"])
-        start = F.pmod("hash", F.greatest(F.length("text") - chars + 1, F.lit(1))) + 1
-        piece = F.substring(F.col("text"), start.cast("int"), F.lit(chars))
-        found = found.groupBy("lang", "hash").agg(F.first(piece).alias("piece"))
-        sample = {}
-        for row in found.orderBy("lang", "hash").collect():
-            sample.setdefault(row["lang"], []).append(row["piece"])
-    finally:
-        chosen.unpersist()
-    return sample
+    # At most `texts` rows a language. Spark broadcasts them where they are few.
+    chosen = stored(chosen.select("lang", "hash"), "language-texts")
+    start = F.pmod("hash", F.greatest(F.length("text") - chars + 1, F.lit(1))) + 1
+    piece = F.substring(F.col("text"), start.cast("int"), F.lit(chars))
+    found = stored(
+        rows.join(chosen, ["lang", "hash"]).select("lang", "hash", piece.alias("piece"))
+        .groupBy("lang", "hash").agg(F.min("piece").alias("piece")), "language-pieces")
+    discard(chosen)
+    return found
+
+
+def labelled_sample(docs, id_col="doc_id", text_col="text", lang_col="lang",
+                    texts=SAMPLE_TEXTS, chars=SAMPLE_CHARS):
+    """{language: [piece of text]} of the sample, on the driver."""
+    table = sampled_pieces(docs, id_col, text_col, lang_col, texts, chars)
+    return dict(languages_of(table))
+
+
+def languages_of(table):
+    """(language, pieces) one after another; the driver holds a part of the table at a time."""
+    rows = table.orderBy("lang", "hash").toLocalIterator()
+    for language, found in groupby(rows, key=lambda r: r["lang"]):
+        yield language, [r["piece"] for r in found]
 
 
 def letter_table():
@@ -146,30 +161,39 @@ def transition_table(following, offset):
     for state, edges in enumerate(following):
         for symbol, target in edges.items():
             table[state, place[symbol]] = target * columns + offset
-    if offset + table.size > _MASK:
-        raise ValueError("the sample's automata are too large; lower its bounds")
     return table.astype(np.int32).ravel(), column
 
 
-def learn(sample):
-    """What scoring needs, from {language: [piece]}; None without any language."""
-    if not sample:
-        return None
-    letters = letter_table()
-    languages, tables, columns, starts, scales, offset = sorted(sample), [], [], [], [], 0
-    for language in languages:
-        sequence = symbols("\n".join(sample[language]), letters)
-        flat, column = transition_table(suffix_automaton(sequence.tolist()), offset)
-        tables.append(flat)
-        columns.append(column)
-        starts.append(offset)
-        scales.append(np.log2(max(2, len(sequence))))
+def models(languages, most=MODEL_TRANSITIONS):
+    """What scoring needs, from (language, pieces) pairs: models of several languages each,
+    of `most` transitions or one language."""
+    letters, parts, offset = letter_table(), [], 0
+
+    def packed():
+        names, tables, columns, starts, scales = zip(*parts)
+        return {
+            "languages": list(names), "symbols": letters, "columns": np.stack(columns),
+            "next": np.concatenate(tables), "starts": np.array(starts, np.int32),
+            "scales": np.array(scales),
+        }
+
+    for language, found in languages:
+        sequence = symbols("\n".join(found), letters)
+        automaton = suffix_automaton(sequence.tolist())
+        size = len(automaton) * (len(automaton[0]) + 2)
+        if parts and offset + size > most:
+            yield packed()
+            parts, offset = [], 0
+        flat, column = transition_table(automaton, offset)
+        parts.append((language, flat, column, offset, np.log2(max(2, len(sequence)))))
         offset += len(flat)
-    return {
-        "languages": languages, "symbols": letters, "columns": np.stack(columns),
-        "next": np.concatenate(tables), "starts": np.array(starts, np.int32),
-        "scales": np.array(scales),
-    }
+    if parts:
+        yield packed()
+
+
+def learn(sample):
+    """One model of all languages in {language: [piece]}; None without any language."""
+    return next(models(sorted(sample.items()), _MASK), None)
 
 
 def phrases(sequences, model, segment=SEGMENT):
@@ -201,70 +225,152 @@ def phrases(sequences, model, segment=SEGMENT):
     return out
 
 
-def classify(texts, model):
-    """(language, score) of each text."""
+def fits(texts, model):
+    """(language, bits a symbol, sum of weights, phrases a symbol, symbols) of the best
+    language of each text, None for texts without a letter. The weights are those of all
+    languages against the best one, which has weight 1."""
     sequences = [symbols(t, model["symbols"]) for t in texts]
-    has_letter = [bool((s != _BLANK).any()) for s in sequences]
     lengths = np.array([max(1, len(s)) for s in sequences])
-    bits = phrases(sequences, model) * model["scales"][:, None] / lengths
+    counts = phrases(sequences, model)
+    bits = counts * model["scales"][:, None] / lengths
     best = bits.argmin(axis=0)
     least = bits.min(axis=0)
-    scores = 1 / np.exp(-4 * (bits - least)).sum(axis=0)
+    weights = np.exp(-4 * (bits - least)).sum(axis=0)
+    rates = counts[best, np.arange(len(texts))] / lengths
     return [
-        (model["languages"][b], float(s)) if letter else (UNKNOWN, 0.0)
-        for b, s, letter in zip(best.tolist(), scores.tolist(), has_letter)
+        (model["languages"][b], *values) if bool((s != _BLANK).any()) else None
+        for s, b, *values in zip(sequences, best.tolist(), least.tolist(), weights.tolist(),
+                                 rates.tolist(), lengths.tolist())
     ]
 
 
-def identify_languages(docs, sample, text_col="text", columns=("doc_id",)):
-    """The given columns of every row with lang_pred and score, from a labelled sample.
+def better(one, other):
+    """The fit of two groups of languages, out of the fits of each; the first wins ties."""
+    if one is None or other is None:
+        return one or other
+    if other[1] < one[1]:
+        one, other = other, one
+    return (one[0], one[1], one[2] + other[2] * float(np.exp(-4 * (other[1] - one[1]))), *one[3:])
+
+
+def classify(texts, model):
+    """(language, score) of each text."""
+    return [(f[0], 1 / f[2]) if f else (UNKNOWN, 0.0) for f in fits(texts, model)]
+
+
+_FIT = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("bits", T.DoubleType()),
+    T.StructField("weights", T.DoubleType()), T.StructField("rate", T.DoubleType()),
+    T.StructField("symbols", T.LongType())])
+
+
+def _fitted(rows, model, text_at):
+    """The rows with column fit, or with what it becomes after a further model."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    before = "fit" in rows.columns
+    kept = [f for f in rows.schema if f.name != "fit"]
+    schema = T.StructType([*kept, T.StructField("fit", _FIT)])
+
+    def run(batches):
+        import pyarrow as pa
+
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(schema)
+        for piece in pieces(batches, text=text_at):
+            found = fits(piece.column(text_at).to_pylist(), shared.value)
+            if before:
+                old = [f and tuple(f.values()) for f in piece.column(len(kept)).to_pylist()]
+                found = [better(a, b) for a, b in zip(old, found)]
+            fit = [f and dict(zip(_FIT.names, f)) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [*[c.cast(f.type) for c, f in zip(piece.columns[:len(kept)], target)],
+                 pa.array(fit, target.field(len(kept)).type)], schema=target)
+
+    return rows.mapInArrow(run, schema)
+
+
+def fit_languages(rows, languages, text_at, most=MODEL_TRANSITIONS):
+    """The rows with column fit: null, or what `fits` says of the text in column number
+    `text_at` and all (language, pieces) pairs.
+
+    A pass parses by as many languages as fit `most` transitions; between passes the rows
+    are stored, so that workers hold one model at a time.
+    """
+    found, last = rows, None
+    for model in models(languages, most):
+        if last is not None:
+            found = stored(_fitted(found, last, text_at), "language-fits")
+        last = model
+    if last is None:
+        return rows.withColumn("fit", F.lit(None).cast(_FIT))
+    return _fitted(found, last, text_at)
+
+
+def identify_languages(docs, sample, text_col="text", columns=("doc_id",),
+                       most=MODEL_TRANSITIONS):
+    """The given columns of every row with lang_pred and score, from a labelled sample
+    {language: pieces} or (language, pieces) pairs in the order of the names.
 
     lang_pred is `und`, with score 0, if the text is null or has no letter, or if the
     sample is empty; equal measures go to the first language by name. Score is 1 for a
     clear winner and 1 / n if n languages fit alike. Whole texts count. Values of the
     columns may be null or repeat; a column already called lang_pred or score is replaced.
+    An empty table gives no rows. Any number of languages will do: see `fit_languages`.
     """
     columns = [c for c in columns if c not in ("lang_pred", "score")]
     inner = [f"c{n}" for n in range(len(columns))]
-    rows = docs.select(*[F.col(c).alias(i) for c, i in zip(columns, inner)],
+    rows = docs.select(*[named(c).alias(i) for c, i in zip(columns, inner)],
                        plain_text(text_col).alias("text"))
-    schema = T.StructType([
-        *[rows.schema[i] for i in inner], T.StructField("lang_pred", T.StringType()),
-        T.StructField("score", T.DoubleType()),
-    ])
-    shared = docs.sparkSession.sparkContext.broadcast(learn(sample))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for piece in pieces(batches, text=len(inner)):
-            texts = piece.column(len(inner)).to_pylist()
-            if shared.value is None:
-                found = [(UNKNOWN, 0.0)] * len(texts)
-            else:
-                found = classify(texts, shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns[:-1], pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())], names=schema.names)
-
-    found = rows.mapInArrow(run, schema)
-    return found.select(*[F.col(i).alias(c) for c, i in zip(columns, inner)], "lang_pred", "score")
+    languages = sorted(sample.items()) if isinstance(sample, dict) else sample
+    found = fit_languages(rows, languages, len(inner), most)
+    return found.select(
+        *inner, F.coalesce("fit.lang", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.coalesce(1 / F.col("fit.weights"), F.lit(0.0)).alias("score"),
+    ).toDF(*columns, "lang_pred", "score")
 
 
 def predict_languages(docs, id_col="doc_id", text_col="text", lang_col="lang"):
     """Learn from the rows that are not held out and identify every row's language:
     `id_col`, held_out, lang_pred and score."""
-    sample = labelled_sample(docs, id_col, text_col, lang_col)
-    found = identify_languages(docs, sample, text_col, [id_col])
-    return found.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+    table = sampled_pieces(docs, id_col, text_col, lang_col)
+    found = identify_languages(docs, languages_of(table), text_col, [id_col])
+    return found.select(named(id_col), held_out(id_col).alias("held_out"), "lang_pred", "score")
+
+
+# Symbols that a text needs before its phrases can say that its language is unknown, and
+# how many times more phrases than the worst labelled piece it must need.
+LEAST_SYMBOLS = 40
+MARGIN = 2.0
+
+
+def foreign_rate(pieces_held, languages, most=MODEL_TRANSITIONS):
+    """Phrases a symbol above which a text is in none of the languages: MARGIN times what
+    the worst labelled piece needs of those that were held out from learning. Null without
+    such pieces.
+
+    Text of a language splits into matches of several letters; in another language, and
+    more so in another script, they are shorter.
+    """
+    rows = pieces_held.select(plain_text("piece").alias("text"))
+    found = fit_languages(rows, languages, 0, most)
+    long = found.where(F.col("fit.symbols") >= LEAST_SYMBOLS)
+    return long.agg(F.max("fit.rate") * MARGIN).first()[0]
 
 
 def keep_identified(docs, id_col="doc_id", text_col="text", lang_col="lang"):
-    """The rows whose language could be told, with all their columns as they are.
+    """The rows whose language is among the learned ones, with all their columns.
 
-    Rejected are only rows marked `und`: null texts and texts without a letter.
+    Rejected are null texts, texts without a letter, all texts if no row has a label, and
+    texts of LEAST_SYMBOLS symbols and more that need more phrases a symbol than
+    `foreign_rate` allows.
     """
-    sample = labelled_sample(docs, id_col, text_col, lang_col)
-    named = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    found = identify_languages(named, sample, "text", ["row"])
-    return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    names = id_col, text_col, lang_col
+    table = sampled_pieces(docs, *names)
+    limit = foreign_rate(sampled_pieces(docs, *names, held=True), languages_of(table))
+    rows = docs.select(whole_row(docs).alias("row"), plain_text(text_col).alias("text"))
+    found = fit_languages(rows, languages_of(table), 1)
+    known = F.col("fit").isNotNull()
+    if limit is not None:
+        known &= (F.col("fit.rate") <= limit) | (F.col("fit.symbols") < LEAST_SYMBOLS)
+    return found.where(known).select("row.*")

@@ -1,9 +1,10 @@
 """Line dedup by winnowing over line hashes.
 
 A run of consecutive lines, of at least `min_words` words in all, that occurs earlier
-(by document id, then by place) is deleted; its first occurrence stays. Blank lines
-inside a run neither count nor differ, and lines are compared without the white space
-around them.
+(by document id, then by place) is deleted; its first occurrence stays. With one word,
+which is the default, every line that is not blank is a run: nothing is too short. Blank
+lines inside a run neither count nor differ, and lines are compared without the white
+space around them.
 
 1. A window is a shortest run of lines that reaches `min_words` words, read forwards from
    a line or backwards from one. Its fingerprint is the smallest line hash in it, the
@@ -23,9 +24,11 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import discard, pieces, plain_text, stored
+from wavelode.llm.common import (
+    discard, named, numbered, pieces, plain_text, row_key, stored,
+)
 
-MIN_WORDS = 50
+MIN_WORDS = 1
 
 
 def line_windows(text, min_words=MIN_WORDS):
@@ -149,19 +152,19 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, rem
 
     Documents come in the order of their ids, null ids first and equal ids by a hash of
     their text; rows that repeat both id and text count as one document and keep the same
-    lines. A null text stays null. Texts of fewer words than `min_words` are never
-    changed. Other columns pass through, whatever their names.
+    lines. A null text stays null. Lines that occur earlier in the same text count, too.
+    Texts of fewer words than `min_words` are never changed. Other columns pass through,
+    whatever their names, and an empty table gives no rows.
     """
     names = [c for c in docs.columns if c != removed]
     inner = [f"c{n}" for n in range(len(names))]
     text_at = names.index(text_col)
-    number = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    text = plain_text(text_col)
-    key = F.unhex(F.md5(F.concat(number, F.lit(":"), text)))
-    spans = repeated_spans(docs.select(
-        F.col(id_col).alias("id"), key.alias("key"), text.alias("text")), min_words)
-    rows = docs.select(*[F.col(c).alias(i) for c, i in zip(names, inner)], key.alias("key"))
-    rows = rows.join(spans, "key", "left").select(*inner, "spans")
+    rows = numbered(docs.select(*[named(c) for c in names]))
+    number, text = F.col(inner[names.index(id_col)]), plain_text(inner[text_at])
+    key = row_key(number, text)
+    spans = repeated_spans(rows.select(
+        number.alias("id"), key.alias("key"), text.alias("text")), min_words)
+    rows = rows.withColumn("key", key).join(spans, "key", "left").select(*inner, "spans")
     span = T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
@@ -188,6 +191,4 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, rem
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(gone, target.field(len(names)).type)], schema=target)
 
-    found = rows.mapInArrow(rewrite, schema)
-    return found.select(*[F.col(i).alias(c) for c, i in zip(names, inner)],
-                        F.col("removed").alias(removed))
+    return rows.mapInArrow(rewrite, schema).toDF(*names, removed)

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wavelode.llm.common import WORD, plain_text, stored
+from wavelode.llm.common import WORD, named, plain_text, stored, whole_row
 
 SHARDS = 16
 SEED = 20
@@ -191,14 +191,14 @@ def mix_sources(docs, id_col="doc_id", text_col="text", source_col="source",
     """
     text = plain_text(text_col)
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n"))
-    named = {f"_c{n}": F.col(c) for n, c in enumerate(carry)}
+    carried = {f"_c{n}": named(c) for n, c in enumerate(carry)}
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), key.alias("key"),
         word_count(text).alias("size"), F.md5(text).alias("content"),
-        *[c.alias(name) for name, c in named.items()],
+        *[c.alias(name) for name, c in carried.items()],
     )
     # Sizes once for all later steps; with carried columns the last step reads docs again.
-    sizes = stored(rows.drop(*named), "mix-sizes")
+    sizes = stored(rows.drop(*carried), "mix-sizes")
     blocks_each = max(1, math.ceil(math.sqrt(sizes.count())))
 
     def placed(frame):
@@ -251,7 +251,7 @@ def mix_sources(docs, id_col="doc_id", text_col="text", source_col="source",
         by_block, ["key", "block"], "left")
 
     in_block = Window.partitionBy("key", "block").orderBy("order", "id", "content", "size")
-    source_rows = placed(rows if named else sizes)
+    source_rows = placed(rows if carried else sizes)
     before = F.sum("size").over(in_block) - F.col("size")
     result = source_rows.withColumn("before", before).join(plan, ["key", "block"])
     draws = F.expr(f"""
@@ -262,7 +262,7 @@ def mix_sources(docs, id_col="doc_id", text_col="text", source_col="source",
     return result.withColumn("draws", draws).select(
         F.col("id").alias(id_col), "size", "source_size", "target",
         F.expr("aggregate(draws, 0L, (a, d) -> a + d.words)").alias("taken"), "draws",
-        *[F.col(name).alias(c) for name, c in zip(named, carry)],
+        *[F.col(name).alias(c) for name, c in zip(carried, carry)],
     )
 
 
@@ -278,8 +278,8 @@ def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source",
     taken, the text cut after the words that are taken. Shards follow one another, each in
     its own order and in as many partitions as the others; rows without words are not
     taken."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
-                       F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    rows = docs.select(whole_row(docs).alias("row"), named(id_col).alias("id"),
+                       named(text_col).alias("text"), named(source_col).alias("source"))
     mix = mix_sources(rows, "id", "text", "source", shards, seed, carry=["row"])
     taken = mix.select("row", "size", F.explode("draws").alias("draw"))
     text = F.col("row")[text_col]
@@ -291,4 +291,5 @@ def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source",
     ordered = taken.repartitionById(shards * each, part).sortWithinPartitions(
         "draw.shard", "draw.place", "draw.pass")
     return ordered.select(
-        F.col("row").withField(text_col, F.coalesce(cut, text)).alias("row")).select("row.*")
+        F.col("row").withField(f"`{text_col}`", F.coalesce(cut, text)).alias("row")
+    ).select("row.*")

@@ -129,7 +129,42 @@ def op4_language_id(spark, folder):
     return predict_languages(documents(spark, folder))
 
 
-@query("op5_line_dedup")
+# White space as Python's strip() knows it.
+_BLANK = (r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+          r"\x{202F}\x{205F}\x{3000}")
+
+
+@query("op5_line_dedup", f"""
+    WITH texts AS (
+        SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ),
+    lines AS (
+        SELECT doc_id, n AS place, regexp_replace(lines[n + 1], '^[{_BLANK}]+|[{_BLANK}]+$', '', 'g')
+                   AS line
+        FROM texts, unnest(range(len(lines))) AS u(n)
+    ),
+    later AS (
+        SELECT doc_id, place, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS island
+        FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS turn
+              FROM lines WHERE line <> '')
+        WHERE turn > 1
+    ),
+    spans AS (
+        SELECT doc_id, min(place) AS first, max(place) AS last FROM later GROUP BY doc_id, island
+    ),
+    gone AS (
+        SELECT doc_id, sum(last - first + 1)::BIGINT AS n_removed,
+               string_agg(first || '-' || last, ',' ORDER BY first) AS removed
+        FROM spans GROUP BY doc_id
+    ),
+    places AS (SELECT doc_id, list(place) AS places FROM later GROUP BY doc_id)
+    SELECT t.doc_id, len(t.lines)::BIGINT AS n_lines, coalesce(g.n_removed, 0) AS n_removed,
+           coalesce(g.removed, '') AS removed,
+           sha256(coalesce(array_to_string(CASE WHEN p.places IS NULL THEN t.lines ELSE list_filter(
+               t.lines, lambda s, i: NOT list_contains(p.places, i - 1)) END, chr(10)), ''))
+               AS text_sha256
+    FROM texts t LEFT JOIN gone g USING (doc_id) LEFT JOIN places p USING (doc_id)
+""")
 def op5_line_dedup(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text", F.size(
         F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import pieces, plain_text, stored
+from wavelode.llm.common import named, pieces, plain_text, stored, whole_row
 from wavelode.llm.components import connected_components
 
 SHINGLE = 3
@@ -264,8 +264,8 @@ def keep_one(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, distance=D
     """One row of each group of linked rows, with all its columns: the one with the
     smallest id (null first), then the smallest hash of its text. Rows that repeat both
     stay once."""
-    key = F.struct(F.col(id_col).alias("id"), F.md5(plain_text(text_col)).alias("hash"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"),
+    key = F.struct(named(id_col).alias("id"), F.md5(plain_text(text_col)).alias("hash"))
+    rows = docs.select(whole_row(docs).alias("row"), key.alias("key"),
                        plain_text(text_col).alias("text"))
     found = near_duplicates(rows, "key", "text", shingle, distance)
     stay = stored(

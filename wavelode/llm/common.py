@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from wavelode.session import work_dir
+from wavelode.session import session_conf, work_dir
 from wavelode.sources.files import remove_path
 
 # A word is a run of characters other than the six ASCII white-space characters.
@@ -13,6 +13,10 @@ def documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+# A query's shuffle files go when it ends instead of when the driver collects its garbage.
+_TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def stored(frame, label):
     """Write the rows under the shared folder and read them back.
 
@@ -20,7 +24,8 @@ def stored(frame, label):
     values that depend on the scan order (row tags) are fixed from here on.
     """
     path = work_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    with session_conf(frame.sparkSession, _TIDY):
+        frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ import random
 import re
 import string
 import time
+import uuid
 import zlib
 
 import numpy as np
@@ -400,11 +401,58 @@ def test_network_finds_secrets_that_it_has_not_seen():
     caught = np.mean([c >= bar for c, f in zip(chances, fresh) if f[3]])
     false = np.mean([c >= bar for c, f in zip(chances, fresh) if not f[3]])
     assert caught > 0.9 and false < 0.05
+    right = sum(c >= bar for c, f in zip(chances, fresh) if f[3])
+    assert right / sum(c >= bar for c in chances) > 0.95  # precision
     long = "A8f" * 400
     assert secret_scan.windows(long, 0, len(long)).shape == (19, secret_scan.WINDOW)
     assert LONG  # whole texts take part in the Spark tests above
 
 
+def test_candidates_are_all_but_words_and_numbers():
+    def found(text):
+        return [text[s:e] for s, e, _ in secret_scan.candidates(text, secret_scan.base_spans(text))]
+
+    letters = "qwkjzmxncbvlaksjdhfgqpwo"
+    assert found(f"key = {letters}") == [letters] and found(f"see {letters}") == [letters]
+    assert found("the aB3dE5gH7jK9 one") == ["aB3dE5gH7jK9"] and found("pwd: 12345678") == ["12345678"]
+    assert found("a signature: correct-horse") == ["correct-horse"]
+    for plain in ("communication", "Well-known words/paths.txt", "1234567890123456", "1999-12-31",
+                  "UPPERCASE WORDS", "short", "", "= = ======== ---------- ..........",
+                  "mail.example.com/path/to/file.html"):
+        assert found(plain) == []
+    assert found("x " + "=" * 200_000 + " y") == []  # in time that follows the length
+    assert len(found("a1B" * 100_000)) == 1
+
+
+def test_harmless_runs_are_left_alone():
+    """Formats that the network has learned, of words that it has not."""
+    learned, rng = secret_scan.learn(secret_scan.generated()), random.Random(21)
+
+    def word():
+        return "".join(rng.choice(["ba", "ne", "tor", "mi", "lu", "gan", "shi", "ver"])
+                       for _ in range(rng.randint(1, 4)))
+
+    def rate(lead, make):
+        runs = [make() for _ in range(200)]
+        scored = secret_scan.chances(learned, [
+            (lead + r + " and"[:secret_scan.AFTER], len(lead), len(r)) for r in runs])
+        return np.mean([c >= learned["threshold"] for c in scored])
+
+    harmless = [
+        lambda: str(uuid.UUID(int=rng.getrandbits(128))),
+        lambda: f"{word()}-{word()}-1.{rng.randint(0, 30)}.0-SNAPSHOT.jar",
+        lambda: f"{word()}_{word()}{rng.randint(0, 99)}.txt",
+        lambda: f"mail{rng.randint(1, 999)}.example.com",
+        lambda: f"2024-10-{rng.randint(10, 28)}T10.{rng.randint(10, 59)}.11Z",
+        lambda: word() + word().title() + word().title(),
+    ]
+    for make in harmless:
+        assert rate("see the file ", make) < 0.1
+    every = string.ascii_letters + string.digits
+    for size, lead in ((40, "see the file "), (28, "see the file "), (24, "the key = "), (14, "my pwd: ")):
+        assert rate(lead, lambda: "".join(rng.choice(every) for _ in range(size))) > 0.8
+
+
 def random_tokens(rng, count):
     """(lead, token) of several formats that no base pattern finds."""
     every = string.ascii_letters + string.digits

@@ -143,6 +143,11 @@ def test_table_is_filled_in_turns(spark, shards, slots):
     assert table == filled(shards, slots)
 
 
+def test_large_tables_are_filled(spark):
+    counts = lookup_table(spark, 128, 65537).groupBy("shard").count().collect()
+    assert len(counts) == 128 and {r["count"] for r in counts} == {512, 513}
+
+
 def test_a_new_shard_moves_few_keys(spark):
     before, after = filled(10, 1009), filled(11, 1009)
     moved = sum(before[s] != after[s] and after[s] != 10 for s in before)
@@ -164,6 +169,8 @@ def test_placing(spark, tmp_path):
     assert all(shard_of[r.doc_id] == r.shard for r in back.collect())
     with pytest.raises(ValueError):
         lookup_table(spark, 4, 100)
+    with pytest.raises(ValueError):
+        lookup_table(spark, 102, 101)
     assert slot_of is not None and SEED
 
 

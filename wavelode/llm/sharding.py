@@ -9,74 +9,52 @@ placed by one hash and one lookup in the table, which has a fixed size and is
 broadcast.
 """
 
+import hashlib
+
 from pyspark.sql import functions as F
 
+from wavelode.llm.common import named
+
 # Production parameters of the registered query.
 SHARDS = 32
 SLOTS = 4093
 
-# (offset + place * skip) % slots for the shard whose turn it is.
-_SLOT = (
-    "(s.offsets[cast(s.turn % {n} as int)]"
-    " + s.places[cast(s.turn % {n} as int)] * s.skips[cast(s.turn % {n} as int)]) % {m}"
-)
-
-
 def _is_prime(number):
     return number > 1 and all(number % d for d in range(2, int(number**0.5) + 1))
 
 
-def _digest(text):
-    return f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as bigint)"
-
+def _number(text):
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
 
-def lookup_table(spark, shards=SHARDS, slots=SLOTS):
-    """The filled table as rows (slot, shard).
 
-    The turns run in one fold over probes: a probe either claims a slot and passes
-    the turn on, or moves its shard to its next preference. No shard probes a slot
-    twice, so shards * slots probes always suffice. The table under way is a binary
-    value of two bytes per slot (FFFF is free).
-    """
+def filled_slots(shards=SHARDS, slots=SLOTS):
+    """The shard of each slot. It follows from the two numbers alone, and the turns take
+    about slots * log(slots) steps."""
     if not _is_prime(slots):
         raise ValueError(f"the number of slots must be prime: {slots}")
-    if not 0 < shards <= min(slots, 65535):
-        raise ValueError(f"from 1 to {min(slots, 65535)} shards fit {slots} slots: {shards}")
-    slot = _SLOT.format(n=shards, m=slots)
-    # transform(array(x), v -> ...)[0] names a value inside the lambda.
-    step = f"""
-        transform(array({slot}), slot -> if(
-            substring(s.filled, cast(2 * slot + 1 as int), 2) = X'FFFF',
-            named_struct(
-                'filled', overlay(s.filled placing
-                    unhex(lpad(hex(s.turn % {shards}), 4, '0'))
-                    from cast(2 * slot + 1 as int) for 2),
-                'places', transform(s.places, (p, i) -> if(i = s.turn % {shards}, p + 1, p)),
-                'turn', s.turn + 1, 'offsets', s.offsets, 'skips', s.skips),
-            named_struct(
-                'filled', s.filled,
-                'places', transform(s.places, (p, i) -> if(i = s.turn % {shards}, p + 1, p)),
-                'turn', s.turn, 'offsets', s.offsets, 'skips', s.skips)
-        ))[0]"""
-    numbers = f"sequence(0, {shards - 1})"
-    offset = f"{_digest("concat('shard-', i, ':offset')")} % {slots}"
-    skip = f"{_digest("concat('shard-', i, ':skip')")} % {slots - 1} + 1"
-    fold = f"""
-        aggregate(
-            sequence(1, {shards * slots}),
-            named_struct(
-                'filled', unhex(repeat('FFFF', {slots})),
-                'places', array_repeat(cast(0 as bigint), {shards}),
-                'turn', cast(0 as bigint),
-                'offsets', transform({numbers}, i -> {offset}),
-                'skips', transform({numbers}, i -> {skip})),
-            (s, k) -> if(s.turn >= {slots}, s, {step}),
-            s -> s.filled)"""
+    if not 0 < shards <= min(slots, 65536):
+        raise ValueError(f"from 1 to {min(slots, 65536)} shards fit {slots} slots: {shards}")
+    at = [_number(f"shard-{i}:offset") % slots for i in range(shards)]
+    skips = [_number(f"shard-{i}:skip") % (slots - 1) + 1 for i in range(shards)]
+    table = [-1] * slots
+    for turn in range(slots):
+        shard = turn % shards
+        slot, skip = at[shard], skips[shard]
+        while table[slot] >= 0:  # the skip meets every slot before it comes back
+            slot = (slot + skip) % slots
+        table[slot] = shard
+        at[shard] = (slot + skip) % slots
+    return table
+
+
+def lookup_table(spark, shards=SHARDS, slots=SLOTS):
+    """The filled table as rows (slot, shard): two bytes for each slot in the plan."""
+    filled = b"".join(shard.to_bytes(2, "big") for shard in filled_slots(shards, slots))
     read = f"""
         transform(sequence(0, {slots - 1}),
             j -> cast(conv(hex(substring(filled, 2 * j + 1, 2)), 16, 10) as int))"""
     return (
-        spark.range(1).select(F.expr(fold).alias("filled"))
+        spark.range(1).select(F.lit(bytearray(filled)).alias("filled"))
         .select(F.posexplode(F.expr(read)).alias("slot", "shard"))
     )
 
@@ -95,18 +73,19 @@ def place(frame, key, shards=SHARDS, slots=SLOTS):
     are replaced. An empty table stays empty.
     """
     table = F.broadcast(lookup_table(frame.sparkSession, shards, slots))
-    rows = frame.withColumn("slot", slot_of(F.col(key), slots)).drop("shard")
+    rows = frame.withColumn("slot", slot_of(named(key), slots)).drop("shard")
     return rows.join(table, "slot")
 
 
-def write_shards(frame, key, path, shards=SHARDS, slots=SLOTS, files_per_shard=1):
+def write_shards(frame, key, path, shards=SHARDS, slots=SLOTS, files_per_shard=16):
     """Write one folder per shard.
 
-    `files_per_shard` deals a shard's rows over that many tasks by the row's hash, so
-    that no shard has to pass through one task.
+    A shard's rows are dealt over `files_per_shard` tasks by the hash of the row, so that
+    no shard has to pass through one task; equal rows go to one file. Null keys go where
+    the empty text goes, other columns may be null, and an empty table writes no folder.
     """
     placed = place(frame, key, shards, slots)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in frame.columns]), F.lit(files_per_shard))
+    salt = F.pmod(F.xxhash64(*[named(c) for c in frame.columns]), F.lit(files_per_shard))
     placed.withColumn("_salt", salt).repartition(
         shards * files_per_shard, "shard", "_salt"
     ).drop("_salt", "slot").write.partitionBy("shard").parquet(path)

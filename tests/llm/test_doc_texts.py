@@ -368,6 +368,78 @@ def plain_spans(text):
     return sorted(found, key=lambda s: (s[1], kinds.index(s[0])))
 
 
+def toxic_network(seed=3):
+    """Random weights, some texts as word numbers, and the words' buckets."""
+    rng = random.Random(seed)
+    known = toxicity.Words()
+    documents = [known.numbers(toxicity.words_of(words(rng, 0, 12, "abcde"))) for _ in range(9)]
+    features = np.array(known.features)
+    apart = np.random.default_rng(seed).normal(0, 8, toxicity.BUCKETS)
+    model = toxicity._initial(np.random.default_rng(seed), apart)
+    for name in model:  # far from zero, so that every part matters
+        if name.startswith(("filter", "out")):
+            model[name] = model[name] + np.random.default_rng(len(name)).normal(
+                0, 0.4, model[name].shape).astype(np.float32)
+    return model, documents, features
+
+
+def plain_logits(model, documents, features):
+    out = []
+    for numbers in documents:
+        vectors = [sum(model["embedding"][b].astype(float) for b in features[n]) for n in numbers]
+        pooled = []
+        for width in toxicity.WIDTHS:
+            kernel, bias = model[f"filter{width}"].astype(float), model[f"bias{width}"]
+            best = np.full(toxicity.FILTERS, -np.inf)
+            for at in range(max(1, len(vectors))):
+                part = vectors[at:at + width]
+                part = part + [np.zeros(toxicity.DIMENSIONS)] * (width - len(part))
+                best = np.maximum(best, np.concatenate(part) @ kernel + bias)
+            pooled.append(np.maximum(best, 0))
+        out.append(np.concatenate(pooled) @ model["out"].astype(float) + float(model["offset"][0]))
+    return np.array(out)
+
+
+def test_network_forward_pass_equals_plain_loops():
+    model, documents, features = toxic_network()
+    wanted = plain_logits(model, documents, features)
+    pooled = toxicity._forward(model, documents, features)[2]
+    trained = np.maximum(pooled, 0) @ model["out"] + model["offset"]
+    scorer = toxicity.Scorer(model, None)
+    scorer.words.features = features.tolist()
+    scored, _ = scorer.score_numbers(documents)
+    assert np.allclose(trained, wanted, atol=1e-4) and np.allclose(scored, wanted, atol=1e-4)
+    assert np.ptp(wanted) > 0.5
+
+
+def test_network_slopes_equal_differences():
+    model, documents, features = toxic_network()
+    labels = np.array([1, 0, 0, 1, 0, 1, 0, 0, 1], np.float32)
+    weights = np.linspace(0.5, 2, 9).astype(np.float32)
+
+    def loss(changed):
+        logits = plain_logits(changed, documents, features)
+        each = np.logaddexp(0, logits) - labels * logits
+        out = changed["out"].astype(float)
+        return (each * weights).mean() + toxicity.PENALTY / 2 * (out * out).sum()
+
+    found = toxicity.gradients(model, documents, labels, weights, features)
+    buckets, amounts = found.pop("embedding")
+    whole = {**found, "embedding": np.zeros_like(model["embedding"])}
+    whole["embedding"][buckets] = amounts
+    rng = np.random.default_rng(5)
+    for name, slope in whole.items():
+        direction = rng.normal(0, 1, slope.shape)
+        if name == "embedding":
+            used = np.unique(features[features > 0])
+            direction[np.setdiff1d(np.arange(len(direction)), used)] = 0
+        step, ends = 1e-4, []
+        for sign in (1, -1):
+            ends.append(loss({**model, name: model[name].astype(float) + sign * step * direction}))
+        assert (ends[0] - ends[1]) / (2 * step) == pytest.approx(
+            float((slope * direction).sum()), rel=2e-2, abs=2e-4), name
+
+
 def secret_texts():
     rng = random.Random(13)
     parts = ['token = "', "API_KEY:", "apikey= '", "Passwd :", "AKIA", "ABCDEF0123456789", "deadbeef" * 4,

@@ -102,6 +102,29 @@ def test_quotas_split_without_loss(spark, shards):
     assert sums == quotas and max(loads) - min(loads) <= len(bin(shards))
 
 
+def test_sources_in_parts_are_split_without_loss(spark):
+    quotas = {n: 1 + n * 7 % 30 for n in range(1, 40)}
+    rows = spark.createDataFrame(list(quotas.items()), "place int, blocks bigint")
+    found = split_quotas(rows, 8, part_sources=8).collect()
+    sums, loads = {}, [0] * 8
+    for r in found:
+        sums[r.place] = sums.get(r.place, 0) + r.blocks
+        loads[r.shard] += r.blocks
+    assert sums == quotas and max(loads) - min(loads) <= 4
+    # A source is spread over the shards as if drawn from all at once.
+    one = sum(r.blocks for r in found if r.place > 20 and r.shard < 4)
+    assert 0.35 < one / sum(b for n, b in quotas.items() if n > 20) < 0.65
+
+
+def test_very_many_sources(spark):
+    """More sources than a row of the tree holds, one document each."""
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "'one two three' AS text", "concat('s', id) AS source")
+    mix = mix_sources(docs, shards=4)
+    total = mix.selectExpr("count(*) AS n", "max(abs(taken - target)) AS apart").first()
+    assert total.n == 3000 and total.apart <= 0.5  # whole words
+
+
 def test_hypergeometric_draws(spark):
     """Mean and variance of many draws, and the ends of the support."""
     from pyspark.sql import functions as F

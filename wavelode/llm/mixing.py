@@ -17,6 +17,7 @@ a rerun draws the same mix.
 """
 
 import math
+from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def source_targets(sizes, most=MOST_PASSES):
     and the excess is shared anew by weight, until none is above: a target is the
     lesser of that bound and weight * level, for one level common to all. Sources
     sorted by bound / weight reach their bound in that order, which gives the level
-    without iterating. There is one row per source here, as in the recipe of a mix.
+    without iterating. There is one row of numbers per source here, which one task sorts.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     everything = Window.partitionBy().rowsBetween(
@@ -133,46 +134,84 @@ def _hypergeometric(total, marked, drawn, uniform):
 
 
 def _split(seed):
-    """SQL: the blocks of each source that the left child of a node draws."""
+    """SQL: the blocks of each of a node's sources that its left child draws, `drawn` in all."""
     draw = _hypergeometric(
         "s.total", "counts[i]", "s.drawn",
-        f"shiftrightunsigned(xxhash64({seed}, first, width, i), 11) * pow(2D, -53D)",
+        f"shiftrightunsigned(xxhash64({seed}, part, first, width, i), 11) * pow(2D, -53D)",
     )
     return f"""
         aggregate(
             sequence(0, size(counts) - 1),
             named_struct(
                 'total', aggregate(counts, 0L, (a, c) -> a + c),
-                'drawn', aggregate(counts, 0L, (a, c) -> a + c) * (width div 2) div width,
-                'out', cast(array() as array<bigint>)),
+                'drawn', drawn, 'out', cast(array() as array<bigint>)),
             (s, i) -> transform(array({draw}), x -> named_struct(
                 'total', s.total - counts[i], 'drawn', s.drawn - x,
                 'out', concat(s.out, array(x))))[0],
             s -> s.out)"""
 
 
-def split_quotas(quotas, shards, seed=SEED):
-    """Rows (shard, place, blocks) from quotas (place, blocks) by the splitting tree.
+_CHILDREN = """array(
+    named_struct('first', first, 'width', width div 2, 'counts', left),
+    named_struct('first', first + width div 2, 'width', width - width div 2,
+                 'counts', zip_with(counts, left, (a, b) -> a - b)))"""
+
+
+def _descend(quotas, shards, seed, part_sources):
+    """The tree over quotas (place, blocks): its leaves (shard, place, blocks), and the draws
+    (first, width, place, left) of its inner nodes.
 
-    A node covers shards first..first + width - 1; there are log2(shards) levels.
+    A row holds a node's counts of up to `part_sources` sources. With more of them, the draws
+    of each part as a whole come from a tree over the parts' totals, and a part is drawn from
+    by what was drawn of it: that gives the same distribution as drawing from all at once.
     """
-    nodes = quotas.agg(F.sort_array(F.collect_list(F.struct("place", "blocks"))).alias("q")).select(
-        F.lit(0).alias("first"), F.lit(shards).alias("width"), F.col("q.place").alias("places"),
-        F.col("q.blocks").alias("counts"),
-    ).where("size(counts) > 0")
+    part = F.floor(F.col("place") / part_sources).cast("bigint")
+    quotas = stored(quotas, "mix-quotas")
+    parents = None
+    if quotas.select(part.alias("part")).distinct().count() > 1:
+        totals = quotas.groupBy(part.alias("place")).agg(F.sum("blocks").alias("blocks"))
+        parents = _descend(totals, shards, seed + 1, part_sources)[1].select(
+            F.col("place").alias("part"), "first", "width", F.col("left").alias("drawn"))
+    nodes = quotas.groupBy(part.alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("place", "blocks"))).alias("q")
+    ).select("part", F.lit(0).alias("first"), F.lit(shards).alias("width"),
+             F.col("q.place").alias("places"), F.col("q.blocks").alias("counts"))
+    half = F.expr("aggregate(counts, 0L, (a, c) -> a + c) * (width div 2) div width")
+    leaves, draws = [], []
     for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
-        nodes = nodes.withColumn("left", F.expr(f"if(width > 1, {_split(seed)}, counts)"))
-        nodes = nodes.select("places", F.explode(F.expr("""
-            if(width > 1, array(
-                named_struct('first', first, 'width', width div 2, 'counts', left),
-                named_struct('first', first + width div 2, 'width', width - width div 2,
-                             'counts', zip_with(counts, left, (a, b) -> a - b))),
-               array(named_struct('first', first, 'width', width, 'counts', counts)))
-        """)).alias("node")).select("places", "node.*")
-    pairs = nodes.select(F.col("first").alias("shard"), F.explode(F.arrays_zip(
-        F.col("places").alias("place"), F.col("counts").alias("blocks")
-    )).alias("pair"))
-    return pairs.select("shard", "pair.place", "pair.blocks").where("blocks > 0")
+        leaves.append(nodes.where("width = 1"))
+        inner = nodes.where("width > 1")
+        inner = inner.withColumn("drawn", half) if parents is None else inner.join(
+            parents, ["part", "first", "width"])
+        inner = inner.withColumn("left", F.expr(_split(seed)))
+        draws.append(inner.select("first", "width", F.explode(
+            F.arrays_zip("places", "left")).alias("d")).select(
+                "first", "width", F.col("d.places").alias("place"), F.col("d.left").alias("left")))
+        nodes = inner.select("part", "places", F.explode(F.expr(_CHILDREN)).alias("node")).select(
+            "part", "node.first", "node.width", "places", "node.counts")
+    leaves.append(nodes)
+
+    def together(frames):
+        return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+
+    pairs = together(leaves).select(F.col("first").alias("shard"), F.explode(
+        F.arrays_zip("places", "counts")).alias("d"))
+    found = pairs.select("shard", F.col("d.places").alias("place"), F.col("d.counts").alias("blocks"))
+    draws = together(draws)
+    return found, draws
+
+
+# Sources whose counts share a row of the tree.
+PART_SOURCES = 512
+
+
+def split_quotas(quotas, shards, seed=SEED, part_sources=PART_SOURCES):
+    """Rows (shard, place, blocks) from quotas (place, blocks) by the splitting tree.
+
+    A node covers shards first..first + width - 1; there are log2(shards) levels. Any
+    number of sources will do: no row holds more than `part_sources` of them.
+    """
+    return _descend(quotas, shards, seed, part_sources)[0].where("blocks > 0")
 
 
 def mix_sources(docs, id_col="doc_id", text_col="text", source_col="source",

@@ -15,6 +15,7 @@ from wavelode.operators.evaluation import (
 )
 from wavelode.plans.training import save_training, split_tracks, train_models, training_runs
 from wavelode.schemas import FEATURE_COLUMNS
+from wavelode.session import session_conf
 from wavelode.sources.files import path_exists
 
 
@@ -292,3 +293,15 @@ def test_runs_append(spark, tmp_path):
 def test_training_runs_name_the_best(spark, trained):
     logged, best = training_runs(spark, trained, "e")
     assert len(logged) == 6 and best in trained.fitted
+
+
+def test_held_rows_lie_in_short_parts(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(4_000_000).coalesce(1).select(
+        F.rand(1).alias("features"), F.rand(2).alias("y"), F.rand(3).alias("z"),
+    ).write.option("parquet.block.size", str(4 << 20)).parquet(path)
+    with session_conf(spark, {"spark.sql.files.minPartitionNum": "1"}):
+        with models.kept(spark.read.parquet(path)) as (held, rows):
+            assert rows == 4_000_000
+            parts = held.groupBy(F.spark_partition_id()).count()
+            assert parts.agg(F.max("count")).first()[0] < 2_000_000

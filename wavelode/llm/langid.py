@@ -339,22 +339,25 @@ def predict_languages(docs, id_col="doc_id", text_col="text", lang_col="lang"):
 
 
 # Symbols that a text needs before its phrases can say that its language is unknown, and
-# how many times more phrases than the worst labelled piece it must need.
+# how many times more phrases than the worst labelled text it must need.
 LEAST_SYMBOLS = 40
 MARGIN = 2.0
 
 
-def foreign_rate(pieces_held, languages, most=MODEL_TRANSITIONS):
+def foreign_rate(docs, languages, id_col="doc_id", text_col="text", lang_col="lang",
+                 most=MODEL_TRANSITIONS):
     """Phrases a symbol above which a text is in none of the languages: MARGIN times what
-    the worst labelled piece needs of those that were held out from learning. Null without
-    such pieces.
+    the worst of all labelled texts needs that were held out from learning and are found
+    to be in the language of their label. Null without such texts.
 
     Text of a language splits into matches of several letters; in another language, and
     more so in another script, they are shorter.
     """
-    rows = pieces_held.select(plain_text("piece").alias("text"))
-    found = fit_languages(rows, languages, 0, most)
-    long = found.where(F.col("fit.symbols") >= LEAST_SYMBOLS)
+    rows = docs.where(held_out(id_col) & named(lang_col).isNotNull()).select(
+        named(lang_col).cast("string").alias("label"), plain_text(text_col).alias("text"))
+    found = fit_languages(rows, languages, 1, most)
+    long = found.where(
+        (F.col("fit.symbols") >= LEAST_SYMBOLS) & (F.col("fit.lang") == F.col("label")))
     return long.agg(F.max("fit.rate") * MARGIN).first()[0]
 
 
@@ -367,7 +370,7 @@ def keep_identified(docs, id_col="doc_id", text_col="text", lang_col="lang"):
     """
     names = id_col, text_col, lang_col
     table = sampled_pieces(docs, *names)
-    limit = foreign_rate(sampled_pieces(docs, *names, held=True), languages_of(table))
+    limit = foreign_rate(docs, languages_of(table), *names)
     rows = docs.select(whole_row(docs).alias("row"), plain_text(text_col).alias("text"))
     found = fit_languages(rows, languages_of(table), 1)
     known = F.col("fit").isNotNull()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rows import event, messages
 from wavelode.operators.quality import latest_per_key
 from wavelode.plans.layers import bronze, silver_seen
+from wavelode.plans.queries.testbed import state_partitions
 from wavelode.sources.events import event_stream
 from wavelode.sources.files import (
     child_names, folder_bytes, remove_path, table, table_stream, write_text,
@@ -152,6 +153,19 @@ def test_generations_keep_batches_apart(spark, tmp_path):
     assert read_batches(spark, path, spark.range(1).schema).count() == 12
 
 
+def test_rows_that_only_count_are_held_without_their_columns(spark, tmp_path):
+    seen = silver_seen(bronze(messages(spark, [event(), event(track_id="t2", popularity=500)])))
+    sides = batches.with_sides(seen.limit(0).drop("failed_rules"), seen)
+    rows = batches._mark_outcomes(str(tmp_path), None, sides, 0).collect()
+    assert {(r["__outcome"], r["track_id"], r["value"] is None) for r in rows} == {
+        (None, None, True), ("rejected", "t2", False)}
+
+
+def test_state_partitions_follow_the_messages():
+    assert state_partitions(0) == state_partitions(100_000) == 4
+    assert [state_partitions(n) for n in (6_000_000, 36_000_000)] == [12, 72]
+
+
 def test_late_bound_reads_the_batch_before(spark, tmp_path):
     (tmp_path / "offsets").mkdir()
     write_text(spark, str(tmp_path / "offsets" / "0"), 'v1\n{"batchWatermarkMs":0}\n{}')

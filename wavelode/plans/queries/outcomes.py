@@ -7,7 +7,7 @@ from wavelode.operators.sinks import overwrite
 from wavelode.plans.queries.registry import load, query
 from wavelode.plans.queries.streams import _GOLD
 from wavelode.plans.queries.testbed import (
-    EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks,
+    EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks, state_partitions,
 )
 from wavelode.session import work_dir
 from wavelode.sources.events import event_stream
@@ -21,7 +21,7 @@ from wavelode.streaming.sinks import append_stream, numbered_children, run_strea
 from wavelode.streaming.windows import days_of, hours_of, windowed_summary
 
 _NOW = "available_now"
-_STATE = 4
+_STATE = 4  # for aggregates, whose state is a few groups
 
 # How the events arrive: every tenth stays behind until all others are there, the first
 # half of the others comes before the second, and the second half comes twice.
@@ -71,10 +71,12 @@ def _silver_in_arrivals(spark, folder, copies=True, after=None, repeat=True):
     """Layers that run after each arrival; Silver's last batch runs twice."""
     path, layout = work_dir(spark, "arrivals"), Layout(work_dir(spark, "layers"))
     sent = _sent(spark, folder, copies)
+    events = load(spark, folder, "events").count()
 
     def silver():
         return run_stream(start_silver_outcomes(
-            spark, layout, _NOW, watermark=("event_timestamp", "1 day"), state_partitions=_STATE))
+            spark, layout, _NOW, watermark=("event_timestamp", "1 day"),
+            state_partitions=state_partitions(events)))
 
     for number in range(len(_ARRIVALS)):
         overwrite(sent(number), f"{path}/{number}")
@@ -212,9 +214,11 @@ def silver_day_windows(spark, folder):
     """Days and genres of Silver, closed by the watermark. All of Silver comes at once, so
     none of it is late; days that end within one day of the newest event stay open."""
     path, layout = work_dir(spark, "messages"), Layout(work_dir(spark, "layers"))
-    overwrite(as_messages(event_tracks(load(spark, folder, "events")), "sent"), path)
+    events = load(spark, folder, "events")
+    overwrite(as_messages(event_tracks(events), "sent"), path)
     run_stream(start_bronze(event_stream(spark, "parquet", path), layout, _NOW))
-    run_stream(start_silver_outcomes(spark, layout, _NOW, state_partitions=_STATE))
+    run_stream(start_silver_outcomes(
+        spark, layout, _NOW, state_partitions=state_partitions(events.count())))
     run_stream(start_windows(
         spark, layout, "days", "1 day", "1 day", _NOW, keys=["track_genre"],
         means={"popularity": 2}, state_partitions=_STATE))
@@ -236,6 +240,7 @@ def stream_latest(spark, folder):
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
     path, target = work_dir(spark, "lines"), work_dir(spark, "latest")
     keys = ["l_orderkey", "l_linenumber"]
+    parts = max(8, state_partitions(lines.count()))
     for number, turn in enumerate((2, 0, 1)):
         rows = lines.where(F.pmod(F.month("l_shipdate"), F.lit(3)) == turn)
         if number == 2:  # what the first arrival had comes again
@@ -244,7 +249,7 @@ def stream_latest(spark, folder):
         newest = latest_rows(
             table_stream(spark, f"{path}/*", lines.schema), keys,
             ["l_shipdate", "l_extendedprice"])
-        run_stream(keyed_stream(newest, target, f"{target}-checkpoint", keys, _NOW, parts=8))
+        run_stream(keyed_stream(newest, target, f"{target}-checkpoint", keys, _NOW, parts))
     return read_keyed(spark, target).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
@@ -262,10 +267,11 @@ def gold_updates(spark, folder):
     last = events.agg(F.max("event_type")).first()[0]
     path, layout = work_dir(spark, "messages"), Layout(work_dir(spark, "layers"))
     behind = (F.col("event_type") == last) & (F.col("event_id") % 2 == 0)
+    state = state_partitions(events.count())
     for number, rows in enumerate((events.where(~behind), events.where(behind))):
         overwrite(as_messages(event_tracks(rows), "sent"), f"{path}/{number}")
         run_stream(start_bronze(event_stream(spark, "parquet", f"{path}/*"), layout, _NOW))
-        run_stream(start_silver_outcomes(spark, layout, _NOW, state_partitions=_STATE))
+        run_stream(start_silver_outcomes(spark, layout, _NOW, state_partitions=state))
         run_stream(start_gold_updates(spark, layout, _NOW, state_partitions=_STATE, parts=16))
     run_stream(start_gold(spark, layout, _NOW, state_partitions=_STATE))
     gold = read_gold_updates(spark, layout).drop("gold_ingestion_time")

@@ -7,7 +7,7 @@ from wavelode.operators.sinks import overwrite
 from wavelode.plans.layers import silver
 from wavelode.plans.queries.registry import load
 from wavelode.schemas import EVENT_SCHEMA
-from wavelode.session import work_dir
+from wavelode.session import SHORT_TASKS, session_conf, work_dir
 from wavelode.sources.events import event_json
 from wavelode.sources.files import table
 
@@ -174,10 +174,23 @@ def line_silver(spark, folder):
 def stored(df, label):
     """Write a table that several passes read, so it is computed once."""
     path = work_dir(df.sparkSession, label)
-    overwrite(df, path)
+    with session_conf(df.sparkSession, SHORT_TASKS):
+        overwrite(df, path)
     return table(df.sparkSession, path)
 
 
+# Messages for each state partition, and how many partitions there are at least.
+STATE_ROWS, STATE_LEAST = 500_000, 4
+
+
+def state_partitions(rows):
+    """State partitions for so many messages: what one of them reads and holds is bounded.
+
+    A query keeps the number that it started with, so it follows what it is going to see.
+    """
+    return max(STATE_LEAST, -(-rows // STATE_ROWS))
+
+
 def as_messages(tracks, sent):
     """Track events in wire form with the lineage a message source gives."""
     return tracks.select(

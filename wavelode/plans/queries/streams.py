@@ -6,7 +6,7 @@ from wavelode.operators.sinks import overwrite
 from wavelode.plans.layers import bronze
 from wavelode.plans.queries.registry import file_or_folder, load, query
 from wavelode.plans.queries.testbed import (
-    EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks,
+    EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks, state_partitions,
 )
 from wavelode.session import work_dir
 from wavelode.sources.events import event_stream
@@ -148,7 +148,8 @@ def gold_from_small_files(spark, folder):
     """Gold state carried over several micro-batches, one file each."""
     layout = _layout(spark)
     run_stream(start_bronze(_messages(spark, folder), layout, _NOW))
-    run_stream(start_silver(spark, layout, _NOW, state_partitions=4))
+    state = state_partitions(load(spark, folder, "events").count())
+    run_stream(start_silver(spark, layout, _NOW, state_partitions=state))
     run_stream(start_gold(spark, layout, _NOW, state_partitions=2, maxFilesPerTrigger=1))
     return read_gold(spark, layout).drop("gold_ingestion_time")
 
@@ -179,12 +180,16 @@ def gold_after_new_checkpoint(spark, folder):
 def rated_backlog(spark, folder):
     """A backlog of several files, one for each trigger."""
     path = work_dir(spark, "messages")
-    sent = as_messages(event_tracks(load(spark, folder, "events")), "sent")
+    events = load(spark, folder, "events")
+    sent = as_messages(event_tracks(events), "sent")
     sent.repartition(3).write.parquet(path)
     layout = _layout(spark)
     messages = event_stream(spark, "parquet", path, maxFilesPerTrigger=1)
     done = run_stream(start_bronze(messages, layout, _NOW))
-    run_stream(start_silver(spark, layout, _NOW, state_partitions=4, maxFilesPerTrigger=2))
+    # Bronze has a file for each task that wrote it; a trigger takes one for each core.
+    run_stream(start_silver(
+        spark, layout, _NOW, state_partitions=state_partitions(events.count()),
+        maxFilesPerTrigger=max(2, spark.sparkContext.defaultParallelism)))
     batches = sum(p["numInputRows"] > 0 for p in done.recentProgress)
     counts = table(spark, layout.path("bronze")).agg(F.count("*").alias("messages"))
     valid = table(spark, layout.path("silver")).count()

@@ -157,7 +157,7 @@ def test_rows_that_only_count_are_held_without_their_columns(spark, tmp_path):
     seen = silver_seen(bronze(messages(spark, [event(), event(track_id="t2", popularity=500)])))
     sides = batches.with_sides(seen.limit(0).drop("failed_rules"), seen)
     rows = batches._mark_outcomes(str(tmp_path), None, sides, 0).collect()
-    assert {(r["__outcome"], r["track_id"], r["value"] is None) for r in rows} == {
+    assert {(r["__outcome"], r["track_id"], r["track_name"] is None) for r in rows} == {
         (None, None, True), ("rejected", "t2", False)}
 
 

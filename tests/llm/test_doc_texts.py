@@ -347,6 +347,41 @@ def test_toxicity_sample_has_one_text_of_an_id(spark):
     assert sorted(found) == sorted(toxicity.labelled_sample(docs.repartition(5), marks, "toxic"))
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    rows, labels = labelled()
+    rows.append(row(10**6, LONG))
+    labels.append((10**6, 0))
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    docs, truth = frame(spark, rows), dict(labels)
+    held = {n for n in truth if zlib.crc32(str(n).encode()) % 3 == 1}
+    known = toxicity.labelled_rows(docs, marks, "toxic")
+    assert {r["_id"] for r in known.collect()} == set(truth) - held
+    for size in (10**6, 150):  # one shard, several
+        monkeypatch.setattr(toxicity, "SHARD_ROWS", size)
+        learned = toxicity.learn_all(known)
+        found = toxicity.score_documents(docs, learned).collect()
+        wrong = sum(f.predicted != truth[f.doc_id] for f in found if f.doc_id in held)
+        assert wrong <= 0.03 * len(held)
+        if size == 10**6:
+            alone = toxicity.learn(toxicity.labelled_sample(docs, marks, "toxic"))
+            for name, value in alone["model"].items():
+                assert np.allclose(value, learned["model"][name], atol=1e-5), name
+            assert np.allclose(alone["cuts"], learned["cuts"], atol=1e-3)
+
+
+def test_counts_of_all_rows_do_not_depend_on_shards(spark, monkeypatch):
+    rows, labels = labelled()
+    known = toxicity.labelled_rows(
+        frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"), "toxic")
+    found = []
+    for shards in (1, 7):
+        parts = toxicity.packed_parts(known, shards)
+        found.append(toxicity._all_counts(parts, toxicity._read(everything=True)))
+    assert (found[0][0] == found[1][0]).all() and found[0][0][:, 0].sum() == known.count()
+    assert found[0][1].keys() == found[1][1].keys() == {"x", "y"}
+    assert all((found[0][1][name] == found[1][1][name]).all() for name in found[0][1])
+
+
 def test_thresholds_part_the_labels():
     cuts = toxicity.thresholds(
         np.array([0.0, 1.0, 4.0, 5.0, 10.0, 11.0, 14.0, 15.0] * 30),

@@ -5,8 +5,12 @@ Filters of several widths run over the words of the whole text; each keeps its l
 value, and a linear layer makes a logit of these. Every language has its own threshold,
 calibrated on rows that the filters were not fitted to. The language of a text is guessed
 from its words alone, by word frequencies learned with the labels.
+
+All labelled rows are learned from: shards of rows train apart and meet in the mean after
+each epoch, and the thresholds come from counts of the logits of all calibration rows.
 """
 
+import copy
 import re
 import zlib
 
@@ -14,14 +18,16 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavelode.llm.common import pieces, plain_text
+from wavelode.llm.averaging import dealt, flat, parts, train_round
+from wavelode.llm.common import discard, pieces, plain_text, stored
 from wavelode.llm.langid import held_out
 
-# Bounds of the labelled sample: rows of each label, and characters of a text in it.
+# Bounds of a sample of labelled rows for `learn`, for each label.
 SAMPLE_POSITIVE = 1500
 SAMPLE_NEGATIVE = 3000
-SAMPLE_CHARS = 20_000
-# Every so many rows of the sample calibrate and do not train.
+# Rows that train together, about, where all labelled rows are learned from.
+SHARD_ROWS = 4500
+# Every so many labelled rows calibrate and do not train.
 CALIBRATE = 4
 
 BUCKETS = 1 << 18
@@ -39,6 +45,10 @@ CUT = 0.7
 
 KEPT_WORDS = 100_000
 CHUNK = 16_384  # words that go through the filters together
+# In training: words that go through the filters together, and words of one step.
+STRETCH, MOST_WORDS = 1 << 16, 1 << 20
+# Calibration counts logits in steps of this size.
+GRID = 2.0 ** -12
 
 _WORDS = re.compile(r"[^\W_]+")
 _PARTS = 5
@@ -68,13 +78,19 @@ class Words:
         return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
 
 
-def separation(documents, labels, features):
-    """How far the shares of documents with a bucket differ between the labels, in
-    standard errors: near zero for what is rare or common to both."""
+def bucket_counts(documents, labels, features):
+    """Documents of either label by bucket; bucket 0 counts all."""
     seen = np.zeros((2, BUCKETS))
     for numbers, label in zip(documents, labels):
         seen[int(label), np.unique(features[np.unique(numbers)])] += 1
-    rows = np.bincount(labels, minlength=2)[:, None].clip(1)
+    seen[:, 0] = np.bincount(np.asarray(labels, np.int64), minlength=2)
+    return seen
+
+
+def separation(seen):
+    """How far the shares of documents with a bucket differ between the labels, in
+    standard errors: near zero for what is rare or common to both."""
+    rows = seen[:, :1].clip(1)
     both = (seen.sum(axis=0) + 0.5) / (rows.sum() + 1)
     error = np.sqrt(both * (1 - both).clip(1e-9) * (1 / rows).sum())
     apart = (seen[1] / rows[1] - seen[0] / rows[0]) / error
@@ -106,12 +122,16 @@ def _forward(model, documents, features):
     lengths = np.array([max(1, len(d)) for d in documents])
     sizes = np.array([len(d) + gap for d in documents])
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    vectors = model["embedding"][features[numbers]].sum(axis=1)
+    vectors = np.concatenate([
+        model["embedding"][features[numbers[at:at + STRETCH]]].sum(axis=1)
+        for at in range(0, len(numbers), STRETCH)])
     pooled, places = [], []
     for width in WIDTHS:
         count = len(numbers) - width + 1
-        stacked = np.hstack([vectors[n:n + count] for n in range(width)])
-        values = stacked @ model[f"filter{width}"] + model[f"bias{width}"]
+        values = np.concatenate([
+            np.hstack([vectors[at + n:min(at + STRETCH, count) + n] for n in range(width)])
+            @ model[f"filter{width}"] + model[f"bias{width}"]
+            for at in range(0, count, STRETCH)])
         at = np.array([
             start + values[start:start + length].argmax(axis=0) for start, length in zip(starts, lengths)
         ])
@@ -156,14 +176,29 @@ def gradients(model, documents, labels, weights, features):
     return found
 
 
-def train(documents, labels, features, epochs=EPOCHS, seed=SEED):
-    """Fit to documents given as word numbers; rare labels weigh more. Adagrad."""
+def start(seen, seed=SEED):
+    """First weights, their Adagrad state and the generator that orders the rows."""
     rng = np.random.default_rng(seed)
-    model = _initial(rng, separation(documents, labels, features))
-    state = {k: np.full_like(v, 1e-2) for k, v in model.items()}
+    model = _initial(rng, separation(seen))
+    return model, {k: np.full_like(v, 1e-2) for k, v in model.items()}, rng
+
+
+def label_weights(seen):
+    """What a row of either label weighs: rare labels weigh more."""
+    share = min(max(float(seen[1, 0] / seen[:, 0].sum()), 0.02), 0.98)
+    return np.array([0.5 / (1 - share), 0.5 / share], np.float32)
+
+
+def _batches(order, sizes):
+    """Rows of one step: about BATCH, fewer where their words are very many."""
+    for chosen in np.array_split(order, max(1, len(order) // BATCH)):
+        turn = np.cumsum(sizes[chosen]) // MOST_WORDS
+        yield from np.split(chosen, np.flatnonzero(np.diff(turn)) + 1)
+
+
+def train_epoch(model, state, documents, labels, weights, features, order):
+    """One pass over documents given as word numbers, in place. Adagrad."""
     labels = np.asarray(labels, np.float32)
-    share = min(max(float(labels.mean()), 0.02), 0.98)
-    weights = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     rate = 0.03
 
     def step(name, gradient, rows=None):
@@ -174,28 +209,29 @@ def train(documents, labels, features, epochs=EPOCHS, seed=SEED):
             state[name][rows] += gradient * gradient
             model[name][rows] -= rate * gradient / np.sqrt(state[name][rows])
 
-    for _ in range(epochs):
-        order = rng.permutation(len(documents))
-        # Documents of like length together keep a batch small.
-        for chosen in np.array_split(order, max(1, len(order) // BATCH)):
-            found = gradients(model, [documents[n] for n in chosen], labels[chosen],
-                              weights[chosen], features)
-            buckets, amounts = found.pop("embedding")
-            for name, gradient in found.items():
-                step(name, gradient)
-            step("embedding", amounts, buckets)
-    return model
+    for chosen in _batches(order, np.array([len(d) for d in documents])):
+        found = gradients(model, [documents[n] for n in chosen], labels[chosen],
+                          weights[labels[chosen].astype(int)], features)
+        buckets, amounts = found.pop("embedding")
+        for name, gradient in found.items():
+            step(name, gradient)
+        step("embedding", amounts, buckets)
 
 
-def learn_languages(documents, languages, features):
-    """Log frequencies of hashed words by language; None where no language is known."""
-    known = sorted({x for x in languages if x is not None})
-    if not known:
-        return None
-    table = np.full((len(known), BUCKETS), 0.5, np.float64)
+def language_counts(documents, languages, features):
+    """Words of each known language by bucket."""
+    table = {}
     for numbers, language in zip(documents, languages):
         if language is not None:
-            np.add.at(table[known.index(language)], features[numbers, 0], 1)
+            np.add.at(table.setdefault(language, np.zeros(BUCKETS)), features[numbers, 0], 1)
+    return table
+
+
+def learn_languages(counts):
+    """Log frequencies of hashed words by language; None where no language is known."""
+    if not counts:
+        return None
+    table = np.stack([counts[language] for language in sorted(counts)]) + 0.5
     table = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
     table[:, 0] = 0  # no word
     return table.T.copy()
@@ -271,25 +307,27 @@ class Scorer:
         return logits.astype(np.float64), likely.argmax(axis=1)
 
 
-def thresholds(logits, groups, labels, count):
+def thresholds(logits, groups, labels, count, rows=None):
     """The logit that parts the labels best, for each language.
 
     Best is the largest sum of the share of labels 1 found and twice the share of labels
     0 left alone; of equal cuts the middle of the widest gap. The rows of the other
     languages count as much as PRIOR_ROWS rows, which settles languages with few labels.
-    Without labels of both kinds the cut is 0.
+    Without labels of both kinds the cut is 0. An entry stands for one row, or as many
+    as `rows` tells.
     """
     wanted = np.asarray(labels) > 0
     if wanted.all() or not wanted.any():
         return np.zeros(count)
+    rows = np.ones(len(logits)) if rows is None else np.asarray(rows, np.float64)
     order = np.argsort(logits, kind="stable")
-    values, wanted, groups = logits[order], wanted[order], groups[order]
+    values, wanted, groups, rows = logits[order], wanted[order], groups[order], rows[order]
     edges = np.concatenate(([values[0] - 1], values, [values[-1] + 1]))
     gaps = np.diff(edges)
     cuts = []
     for group in range(count):
         own = groups == group
-        weight = np.where(own, 1.0, PRIOR_ROWS / max(1, (~own).sum()))
+        weight = rows * np.where(own, 1.0, PRIOR_ROWS / max(1, rows[~own].sum()))
         ones, zeros = weight * wanted, weight * ~wanted
         # Cut before each place: labels 0 before and labels 1 from there on.
         right = (2 * np.concatenate(([0], np.cumsum(zeros))) / zeros.sum()
@@ -306,66 +344,238 @@ def calibrated(logits, cuts):
     return 1 / (1 + np.exp(-np.clip(logits - cuts + np.log(CUT / (1 - CUT)), -30, 30)))
 
 
+class Part:
+    """Labelled rows as word numbers, every fourth to calibrate."""
+
+    def __init__(self, documents, features, labels, languages, everything=False):
+        self.documents, self.features = documents, features
+        self.labels, self.languages = labels, languages
+        turn = np.arange(len(documents)) % CALIBRATE
+        self.fitted = np.flatnonzero((turn > 0) | everything)
+        self.rest = np.flatnonzero((turn == 0) | everything)
+
+    @classmethod
+    def of_texts(cls, rows, everything=False):
+        """From rows (text, label, language)."""
+        words = Words()
+        documents = [words.numbers(words_of(text)) for text, _, _ in rows]
+        return cls(documents, np.array(words.features), np.array([r[1] for r in rows], np.int64),
+                   [r[2] for r in rows], everything)
+
+    def packed(self):
+        """Columns of one row that `unpacked` reads."""
+        return [np.array([len(d) for d in self.documents], np.int32).tobytes(),
+                np.concatenate(self.documents).astype(np.int32).tobytes(),
+                self.features.astype(np.int32).tobytes(), self.labels.astype(np.int8).tobytes(),
+                self.languages]
+
+    @classmethod
+    def unpacked(cls, sizes, numbers, features, labels, languages, everything=False):
+        ends = np.cumsum(np.frombuffer(sizes, np.int32))
+        numbers = np.frombuffer(numbers, np.int32).astype(np.int64)
+        return cls(np.split(numbers, ends[:-1]),
+                   np.frombuffer(features, np.int32).reshape(-1, _PARTS).astype(np.int64),
+                   np.frombuffer(labels, np.int8).astype(np.int64), languages, everything)
+
+    def _of(self, chosen):
+        return [self.documents[n] for n in chosen], self.labels[chosen]
+
+    def counts(self):
+        """Of the fitted rows by label and bucket, and of all words by language."""
+        return (bucket_counts(*self._of(self.fitted), self.features),
+                language_counts(self.documents, self.languages, self.features))
+
+    def fit(self, model, state, weights, rng, epoch):
+        """Train in place; the buckets that the rows have, None without rows."""
+        if not len(self.fitted):
+            return None
+        documents, labels = self._of(self.fitted)
+        rng = copy.deepcopy(rng)
+        for _ in range(epoch + 1):
+            order = rng.permutation(len(documents))
+        train_epoch(model, state, documents, labels, weights, self.features, order)
+        seen = [np.unique(d) for d in documents]
+        return np.unique(self.features[np.concatenate(seen)])
+
+    def calibration(self, model, languages):
+        """Logits on the grid, guessed languages and labels of the other rows."""
+        scorer = Scorer(model, languages)
+        scorer.words.features = self.features
+        documents, labels = self._of(self.rest)
+        logits, groups = [np.zeros(0)], [np.zeros(0, np.int64)]
+        for start in range(0, len(documents), 256):
+            a, b = scorer.score_numbers(documents[start:start + 256])
+            logits.append(np.round(a / GRID) * GRID)
+            groups.append(b)
+        return np.concatenate(logits), np.concatenate(groups), labels
+
+
 def learn(rows):
-    """A model from rows (text, label, language); None without rows of both labels."""
+    """A model from rows (text, label, language) at hand; None without rows of both labels."""
     if len({label for _, label, _ in rows}) < 2:
         return None
-    words = Words()
-    documents = [words.numbers(words_of(text)) for text, _, _ in rows]
-    features = np.array(words.features)
-    labels = np.array([label for _, label, _ in rows])
-    languages = learn_languages(documents, [language for *_, language in rows], features)
-    fitted = np.arange(len(rows)) % CALIBRATE > 0
-    if len(set(labels[fitted])) < 2:
-        fitted[:] = True
-    chosen = np.flatnonzero(fitted)
-    model = train([documents[n] for n in chosen], labels[chosen], features)
-    scorer = Scorer(model, languages)
-    scorer.words = words
-    rest = np.flatnonzero(~fitted) if not fitted.all() else chosen
-    logits, groups = [], []
-    for start in range(0, len(rest), 256):
-        a, b = scorer.score_numbers([documents[n] for n in rest[start:start + 256]])
-        logits.append(a)
-        groups.append(b)
+    for everything in (False, True):
+        part = Part.of_texts(rows, everything)
+        seen, languages = part.counts()
+        if seen[:, 0].all():
+            break
+    model, state, rng = start(seen)
+    for epoch in range(EPOCHS):
+        part.fit(model, state, label_weights(seen), rng, epoch)
+    languages = learn_languages(languages)
     count = 1 if languages is None else languages.shape[1]
-    cuts = thresholds(np.concatenate(logits), np.concatenate(groups), labels[rest], count)
+    cuts = thresholds(*part.calibration(model, languages), count)
     return {"model": model, "languages": languages, "cuts": cuts}
 
 
-def labelled_sample(docs, labels, label, id_col="doc_id", text_col="text", lang_col="lang",
-                    positive=SAMPLE_POSITIVE, negative=SAMPLE_NEGATIVE, chars=SAMPLE_CHARS):
-    """Rows (text, label, language) of documents that are not held out: those with the
-    smallest hashes of each label, and of rows that share an id the one with the smallest
-    hash of its text. Longer texts than `chars` do not take part."""
-    known = labels.where(F.col(label).isNotNull()).groupBy(id_col).agg(
-        F.max(F.col(label).cast("int")).alias("label"))
-    known = known.where(~held_out(id_col) & F.col(id_col).isNotNull()).withColumn(
-        "order", F.xxhash64(F.lit(SEED), id_col))
-    ones = known.where("label > 0").orderBy("order").limit(positive)
-    zeros = known.where("label = 0").orderBy("order").limit(negative)
-    # At most positive + negative rows.
-    chosen = F.broadcast(ones.unionByName(zeros))
-    texts = docs.select(id_col, F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    found = texts.where(F.length("_text") <= chars).join(chosen, id_col)
-    # One text of each id, so that rows that share a chosen id are not all collected.
+_PACKED = "sizes binary, numbers binary, features binary, labels binary, languages array<string>"
+
+
+def packed_parts(rows, shards):
+    """`labelled_rows` by shard, one row for each part, so that words are found once."""
+    def run(batches):
+        import pyarrow as pa
+
+        for found in parts(pieces(batches, text=0), "_text"):
+            part = Part.of_texts([(r["_text"], r["label"], r["_lang"]) for r in found])
+            types = [pa.binary()] * 4 + [pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([value], kind) for value, kind in zip(part.packed(), types)],
+                names=["sizes", "numbers", "features", "labels", "languages"])
+
+    return dealt(rows, shards, ["order", "_id"]).mapInArrow(run, _PACKED)
+
+
+def _read(everything=False):
+    """Parts from Arrow batches of `packed_parts`."""
+    def read(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield Part.unpacked(*[c[row].as_py() for c in batch.columns], everything)
+    return read
+
+
+def _all_counts(rows, read):
+    """`Part.counts` of all rows, summed by Spark."""
+    schema = "label int, lang string, bucket int, n double"
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in read(batches):
+            seen, languages = part.counts()
+            found = [(label, None, seen[label]) for label in (0, 1)]
+            found += [(None, language, counts) for language, counts in languages.items()]
+            for label, language, counts in found:
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([label] * len(at), pa.int32()),
+                     pa.array([language] * len(at), pa.string()),
+                     pa.array(at, pa.int32()), pa.array(counts[at])],
+                    names=["label", "lang", "bucket", "n"])
+
+    sums = rows.mapInArrow(run, schema).groupBy("label", "lang", "bucket").agg(
+        F.sum("n").alias("n")).toArrow()
+    buckets, n = sums.column("bucket").to_numpy(), sums.column("n").to_numpy()
+    labels = sums.column("label").to_pandas().fillna(-1).to_numpy(np.int64)
+    names = np.array(sums.column("lang").to_pylist(), object)
+    seen, languages = np.zeros((2, BUCKETS)), {}
+    for label in (0, 1):
+        at = labels == label
+        seen[label, buckets[at]] = n[at]
+    for language in {x for x in names.tolist() if x is not None}:
+        at = names == language
+        languages[language] = np.zeros(BUCKETS)
+        languages[language][buckets[at]] = n[at]
+    return seen, languages
+
+
+def _all_cuts(rows, read, model, languages):
+    """Thresholds from the calibration rows of all parts, counted by logit."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, languages))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in read(batches):
+            logits, groups, labels = part.calibration(*shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(logits), pa.array(groups, pa.int32()), pa.array(labels, pa.int32())],
+                names=["logit", "group", "label"])
+
+    found = rows.mapInArrow(run, "logit double, group int, label int").groupBy(
+        "logit", "group", "label").count().toArrow()
+    columns = [found.column(c).to_numpy() for c in ("logit", "group", "label")]
+    count = 1 if languages is None else languages.shape[1]
+    return thresholds(*columns, count, found.column("count").to_numpy())
+
+
+def learn_all(rows):
+    """A model from all `labelled_rows`; None without rows of both labels. Shards of about
+    SHARD_ROWS rows train apart in each epoch; with one shard it is what `learn` finds."""
+    size = rows.count()
+    rows = stored(packed_parts(rows, max(1, -(-size // SHARD_ROWS))), "toxicity-parts")
+    for everything in (False, True):
+        read = _read(everything)
+        seen, languages = _all_counts(rows, read)
+        if seen[:, 0].all():
+            break
+    else:
+        discard(rows)
+        return None
+    languages = learn_languages(languages)
+    model, state, rng = start(seen)
+    weights = label_weights(seen)
+    small = np.arange(BUCKETS, len(flat(model)))
+    for epoch in range(EPOCHS):
+        def fit(model, state, part, epoch=epoch):
+            touched = part.fit(model, state, weights, rng, epoch)
+            return None if touched is None else np.concatenate((touched, small))
+
+        model, state = train_round(rows, model, state, fit, read)
+    cuts = _all_cuts(rows, read, model, languages)
+    discard(rows)
+    return {"model": model, "languages": languages, "cuts": cuts}
+
+
+def labelled_rows(docs, labels, label, id_col="doc_id", text_col="text", lang_col="lang"):
+    """All documents that have a label and a text and are not held out: _text, label,
+    _lang, order and _id; of rows that share an id the one with the smallest hash of its
+    text."""
+    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
+        (F.max(F.col(label).cast("int")) > 0).cast("int").alias("label"))
+    known = known.where(~held_out("_id") & F.col("_id").isNotNull())
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+                        F.col(lang_col).alias("_lang"))
+    found = texts.where(F.col("_text").isNotNull() & ~held_out("_id")).join(known, "_id")
+    # One text of each id.
     one = F.min_by(F.struct("_text", "_lang"), F.struct(
         F.xxhash64("_text"), F.col("_text"), F.col("_lang"))).alias("one")
-    found = found.groupBy(id_col).agg(
-        one, F.first("label").alias("label"), F.first("order").alias("order"))
-    rows = found.select("one.*", "label", "order", id_col).collect()
-    rows.sort(key=lambda row: (row["order"], str(row[id_col])))
-    return [(row["_text"], int(row["label"] > 0), row["_lang"]) for row in rows]
+    found = found.groupBy("_id").agg(one, F.first("label").alias("label"))
+    return found.select("one._text", "label", "one._lang",
+                        F.xxhash64(F.lit(SEED), "_id").alias("order"), "_id")
+
+
+def labelled_sample(docs, labels, label, id_col="doc_id", text_col="text", lang_col="lang",
+                    positive=SAMPLE_POSITIVE, negative=SAMPLE_NEGATIVE):
+    """Rows (text, label, language) for `learn`: of each label those `labelled_rows` with
+    the smallest hashes of their ids."""
+    rows = labelled_rows(docs, labels, label, id_col, text_col, lang_col)
+    ones = rows.where("label > 0").orderBy("order").limit(positive)
+    zeros = rows.where("label = 0").orderBy("order").limit(negative)
+    found = ones.unionByName(zeros).collect()
+    found.sort(key=lambda row: (row["order"], str(row["_id"])))
+    return [(row["_text"], row["label"], row["_lang"]) for row in found]
 
 
-def score_documents(docs, sample, id_col="doc_id", text_col="text"):
-    """`id_col`, score and predicted for every row, from a labelled sample.
+def score_documents(docs, learned, id_col="doc_id", text_col="text"):
+    """`id_col`, score and predicted for every row, by what `learn` or `learn_all` found.
 
     The whole text counts. Null and empty texts, and texts without words, score as one
     empty place. Without rows of both labels nothing can be learned: all score 0. Ids may
     be null or repeat; only the two named columns are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn(sample))
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
 
     def run(batches):
@@ -387,8 +597,8 @@ def score_documents(docs, sample, id_col="doc_id", text_col="text"):
 
 
 def score_toxicity(docs, labels, id_col="doc_id", text_col="text", label="toxic"):
-    """Learn from the labelled rows that are not held out and score every row; adds
+    """Learn from all labelled rows that are not held out and score every row; adds
     held_out to the columns of `score_documents`."""
-    sample = labelled_sample(docs, labels, label, id_col, text_col)
-    found = score_documents(docs, sample, id_col, text_col)
+    learned = learn_all(labelled_rows(docs, labels, label, id_col, text_col))
+    found = score_documents(docs, learned, id_col, text_col)
     return found.select(id_col, held_out(id_col).alias("held_out"), "score", "predicted")

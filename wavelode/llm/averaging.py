@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wavelode.llm.common import tidy
+
 COLUMNS = 8
 # A shard with more characters than these trains in several parts.
 SHARD_CHARS = 1 << 26
@@ -83,8 +85,9 @@ def train_round(rows, model, state, fit, read):
                     + [pa.array(column, pa.float32()) for column in numbers.T],
                     names=_SCHEMA.names)
 
-    means = rows.mapInArrow(run, _SCHEMA).groupBy("row").agg(
-        *[F.avg(name).alias(name) for name in _NUMBERS]).toArrow()
+    with tidy(rows.sparkSession):
+        means = rows.mapInArrow(run, _SCHEMA).groupBy("row").agg(
+            *[F.avg(name).alias(name) for name in _NUMBERS]).toArrow()
     shared.destroy()
     numbers = np.stack([means.column(name).to_numpy() for name in _NUMBERS], axis=1)
     found, at = [], means.column("row").to_numpy()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wavelode.llm.averaging import dealt, flat, parts, train_round
-from wavelode.llm.common import discard, pieces, plain_text, stored
+from wavelode.llm.common import discard, pieces, plain_text, stored, tidy
 from wavelode.llm.langid import held_out
 
 # Bounds of a sample of labelled rows for `learn`, for each label.
@@ -474,8 +474,9 @@ def _all_counts(rows, read):
                      pa.array(at, pa.int32()), pa.array(counts[at])],
                     names=["label", "lang", "bucket", "n"])
 
-    sums = rows.mapInArrow(run, schema).groupBy("label", "lang", "bucket").agg(
-        F.sum("n").alias("n")).toArrow()
+    with tidy(rows.sparkSession):
+        sums = rows.mapInArrow(run, schema).groupBy("label", "lang", "bucket").agg(
+            F.sum("n").alias("n")).toArrow()
     buckets, n = sums.column("bucket").to_numpy(), sums.column("n").to_numpy()
     labels = sums.column("label").to_pandas().fillna(-1).to_numpy(np.int64)
     names = np.array(sums.column("lang").to_pylist(), object)
@@ -513,7 +514,8 @@ def _all_cuts(rows, read, model, languages):
 def learn_all(rows):
     """A model from all `labelled_rows`; None without rows of both labels. Shards of about
     SHARD_ROWS rows train apart in each epoch; with one shard it is what `learn` finds."""
-    size = rows.count()
+    with tidy(rows.sparkSession):
+        size = rows.count()
     rows = stored(packed_parts(rows, max(1, -(-size // SHARD_ROWS))), "toxicity-parts")
     for everything in (False, True):
         read = _read(everything)

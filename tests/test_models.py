@@ -305,3 +305,40 @@ def test_held_rows_lie_in_short_parts(spark, tmp_path):
             assert rows == 4_000_000
             parts = held.groupBy(F.spark_partition_id()).count()
             assert parts.agg(F.max("count")).first()[0] < 2_000_000
+
+
+def test_forest_is_fitted_alone_over_rows_in_leaf_order(tracks, monkeypatch):
+    train = feat.fit_features(feat.track_features(tracks)).transform(feat.track_features(tracks))
+    estimators = models.regressors(max_bins=models.tree_bins(train), trees=3, rounds=2)
+    seen, trees, rows = [], [], {}
+
+    def watch(kind):
+        plain = kind.fit
+
+        def fit(self, df, params=None):
+            seen.append(kind)
+            if kind is models.RandomForestRegressor:
+                placed = trees[0].copy({trees[0].leafCol: "leaf"}).transform(df)
+                for r in placed.select("*", F.spark_partition_id().alias("part")).collect():
+                    rows.setdefault(r["part"], []).append(r)
+            model = plain(self, df, params)
+            if kind is models.DecisionTreeRegressor:
+                trees.append(model)
+            seen.append(kind)
+            return model
+
+        monkeypatch.setattr(kind, "fit", fit)
+
+    for kind in {type(e) for e in estimators.values()}:
+        watch(kind)
+    fitted = models.fit_all(train, estimators)
+    assert list(fitted) == list(estimators)
+    place = seen.index(models.RandomForestRegressor)
+    assert seen[place + 1] is models.RandomForestRegressor
+    assert all(seen[:place].count(kind) in (0, 2) for kind in seen)
+    assert len(rows) == 4
+    for part in rows.values():
+        leaves = [r["leaf"] for r in part]
+        assert leaves == sorted(leaves) and len(set(leaves)) > 1
+    found = sorted((r["popularity"], *r["features"]) for part in rows.values() for r in part)
+    assert found == sorted((r["popularity"], *r["features"]) for r in train.collect())

@@ -178,6 +178,22 @@ def test_null_profile(spark):
     assert empty == [("s", 0, 0.0), ("x", 0, 0.0)]
 
 
+def test_distinct_counts_group_by_one_value(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, 0.0, [1]), ("a", None, -0.0, [1]), (None, 2, NAN, None), ("b", 2, NAN, [None])],
+        "`s.x` STRING, n INT, x DOUBLE, l ARRAY<INT>",
+    ).withColumn("t", F.col("`s.x`"))
+    names = ["`s.x`", "n", "x", "l", "t"]
+    expected = rows.select(*[F.count_distinct(c) for c in names]).first()
+    counts = distinct_counts(rows, names)
+    assert [tuple(r) for r in counts.collect()] == list(zip(names, expected))
+    assert [tuple(r) for r in distinct_counts(rows.limit(0), names).collect()] == [
+        (c, 0) for c in names]
+    # One field for each type, not one for each column.
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "value_3" in plan and "value_4" not in plan
+
+
 def test_distinct_and_schema(spark):
     rows = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "s STRING, n INT")
     found = {r["column"]: r["distinct_values"] for r in distinct_counts(rows, ["s", "n"]).collect()}

@@ -1,5 +1,8 @@
 """Column profiles. Each operator reads the table once."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import functions as F
 
 from wavelode.functions.casts import nan_to_null
@@ -79,14 +82,37 @@ def numeric_profile(df, columns):
     )
 
 
-def distinct_counts(df, columns, approx=False):
-    """Distinct non-null values per column; ``approx`` uses a sketch."""
-    count = F.approx_count_distinct if approx else F.count_distinct
-    rows = [
-        F.struct(F.lit(c).alias("column"), count(c).alias("distinct_values"))
-        for c in columns
+def _values(df, columns):
+    """Rows (place, value) of all columns, with one value field for each type among them."""
+    types = [kind for _, kind in df.select(*columns).dtypes]
+    kinds = list(dict.fromkeys(types))
+    entries = [
+        F.struct(F.lit(i).alias("place"), *[
+            (F.col(c) if types[i] == kind else F.lit(None).cast(kind)).alias(f"value_{k}")
+            for k, kind in enumerate(kinds)
+        ])
+        for i, c in enumerate(columns)
     ]
-    return _long(df, rows)
+    fields = [F.col(f"value_{k}").isNotNull() for k in range(len(kinds))]
+    return df.select(F.inline(F.array(*entries))).filter(reduce(or_, fields))
+
+
+def distinct_counts(df, columns, approx=False):
+    """Distinct non-null values per column; ``approx`` uses a sketch.
+
+    Exact counts group by a column's place and value, so a key is as wide as one value
+    and not as all columns together.
+    """
+    if approx:
+        return _long(df, [
+            F.struct(F.lit(c).alias("column"), F.approx_count_distinct(c).alias("distinct_values"))
+            for c in columns
+        ])
+    return _long(_values(df, columns).distinct(), [
+        F.struct(F.lit(c).alias("column"),
+                 F.count_if(F.col("place") == i).alias("distinct_values"))
+        for i, c in enumerate(columns)
+    ])
 
 
 def null_profile(df, columns=None, digits=2):

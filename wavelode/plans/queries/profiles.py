@@ -18,6 +18,7 @@ from wavelode.plans.queries.testbed import (
 )
 from wavelode.plans.report import scatter
 from wavelode.schemas import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS
+from wavelode.session import SMALL_TASKS
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -119,7 +120,9 @@ _NAMES = [*CATEGORICAL_COLUMNS, "user_id", "track_id"]
     ),
 )
 def track_names(spark, folder):
-    return distinct_counts(line_tracks(load(spark, folder, "lineitem")), _NAMES)
+    # Stored, as the size of tasks is set while it runs.
+    counts = distinct_counts(line_tracks(load(spark, folder, "lineitem")), _NAMES)
+    return stored(counts, "distinct", SMALL_TASKS)
 
 
 _NULLABLE = ["artists", "track_genre", "explicit", "energy", "track_id"]

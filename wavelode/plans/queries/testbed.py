@@ -171,10 +171,10 @@ def line_silver(spark, folder):
     )
 
 
-def stored(df, label):
+def stored(df, label, tasks=SHORT_TASKS):
     """Write a table that several passes read, so it is computed once."""
     path = work_dir(df.sparkSession, label)
-    with session_conf(df.sparkSession, SHORT_TASKS):
+    with session_conf(df.sparkSession, tasks):
         overwrite(df, path)
     return table(df.sparkSession, path)
 

@@ -9,11 +9,12 @@ from rows import event, messages
 from wavelode.operators.quality import latest_per_key
 from wavelode.plans.layers import bronze, silver_seen
 from wavelode.plans.queries.testbed import state_partitions
+from wavelode.session import CLOSED_STATE_CONF
 from wavelode.sources.events import event_stream
 from wavelode.sources.files import (
     child_names, folder_bytes, remove_path, table, table_stream, write_text,
 )
-from wavelode.streaming import batches
+from wavelode.streaming import batches, jobs
 from wavelode.streaming.batches import each_batch, late_bound, read_batches, write_once
 from wavelode.streaming.jobs import (
     Layout, read_gold, read_gold_updates, read_latest, read_outcomes, run_layers, start_bronze,
@@ -166,6 +167,40 @@ def test_state_partitions_follow_the_messages():
     assert [state_partitions(n) for n in (6_000_000, 36_000_000)] == [12, 72]
 
 
+def test_a_batch_is_held_on_disk(spark, tmp_path):
+    send(spark, str(tmp_path / "in"), arrival(0, DAYS[0]))
+    levels = []
+    rows = event_stream(spark, "parquet", str(tmp_path / "in"))
+    run_stream(each_batch(
+        rows, str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+        lambda batch, name, batch_id: levels.append(batch.storageLevel), NOW))
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_a_run_that_ends_closes_its_state(spark, tmp_path, monkeypatch, closed):
+    if not closed:  # else the store stays until Spark's next look for old ones
+        monkeypatch.setattr(jobs, "CLOSED_STATE_CONF", {})
+    path, layout = str(tmp_path / "in"), Layout(str(tmp_path / "layers"))
+    send(spark, path, arrival(0, DAYS[0]))
+    run_stream(start_bronze(event_stream(spark, "parquet", path), layout, NOW))
+    done = silver_job(spark, layout)
+    state = spark._jvm.org.apache.spark.sql.execution.streaming.state
+    run = spark._jvm.java.util.UUID.fromString(str(done.runId))
+    loaded = [
+        state.StateStore.isLoaded(state.StateStoreProviderId(
+            state.StateStoreId(f"file:{layout.checkpoint('silver')}/state", op, part, "default"),
+            run))
+        for op in (0, 1) for part in (0, 1)
+    ]
+    assert loaded == [not closed] * 4
+
+
+@pytest.mark.parametrize("start", [(2, "10 seconds"), (2, NOW, {"maxFilesPerTrigger": 1})])
+def test_a_run_of_many_triggers_keeps_its_state(start):
+    assert not set(CLOSED_STATE_CONF) & set(jobs.state_conf(*start))
+
+
 def test_late_bound_reads_the_batch_before(spark, tmp_path):
     (tmp_path / "offsets").mkdir()
     write_text(spark, str(tmp_path / "offsets" / "0"), 'v1\n{"batchWatermarkMs":0}\n{}')

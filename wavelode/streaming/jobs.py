@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from wavelode.operators.quality import SILVER_RULES
 from wavelode.plans.layers import COPY_SPREAD, bronze, gold, silver, silver_seen
 from wavelode.schemas import MESSAGE_SCHEMA
-from wavelode.session import STATE_STORE_CONF, session_conf
+from wavelode.session import CLOSED_STATE_CONF, STATE_STORE_CONF, session_conf
 from wavelode.sources.files import make_folder, table_stream
 from wavelode.streaming.batches import (
     KEPT, LATE, OUTCOMES, REJECTED, RULE_COUNTS, outcome_stream, read_batches,
@@ -37,9 +37,13 @@ class Layout:
         return f"{self.root}/{self.checkpoints}/{layer}"
 
 
-def _state_conf(state_partitions):
+def state_conf(state_partitions=None, trigger=DEFAULT_TRIGGER, limits=None):
+    """Settings under which a query with state starts; ``limits`` are the source's options
+    that bound what a trigger takes, if there are any."""
     # The number of state partitions is fixed when a query first starts.
     conf = dict(STATE_STORE_CONF)
+    if trigger == "available_now" and not limits:
+        conf.update(CLOSED_STATE_CONF)
     if state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     return conf
@@ -75,7 +79,7 @@ def start_silver(spark, layout, trigger=DEFAULT_TRIGGER, now=None, watermark=Non
         _layer_stream(spark, layout, "bronze", **options), now,
         watermark=watermark, spread=spread,
     )
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return append_stream(
             rows, layout.path("silver"), layout.checkpoint("silver"), trigger, layout.fmt
         )
@@ -100,7 +104,7 @@ def start_silver_outcomes(spark, layout, trigger=DEFAULT_TRIGGER, now=None, wate
     """
     rows = _layer_stream(spark, layout, "bronze", **options)
     kept = silver(rows, now, watermark=watermark, spread=spread)
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return outcome_stream(
             kept, silver_seen(rows), outcome_paths(layout), SILVER_RULES,
             layout.checkpoint("silver"), watermark, trigger,
@@ -123,7 +127,7 @@ def read_outcomes(spark, layout, table):
 def start_gold(spark, layout, trigger=DEFAULT_TRIGGER, now=None, state_partitions=None,
                keep=KEEP, **options):
     rows = gold(_layer_stream(spark, layout, "silver", **options), now)
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return snapshot_stream(
             rows, layout.path("gold"), layout.checkpoint("gold"), trigger, layout.fmt, keep
         )
@@ -133,7 +137,7 @@ def start_gold_updates(spark, layout, trigger=DEFAULT_TRIGGER, now=None,
                        state_partitions=None, parts=PARTS, keep=KEEP, **options):
     """Gold of which a trigger rewrites only the parts whose groups changed."""
     rows = gold(_layer_stream(spark, layout, "silver", **options), now)
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return keyed_stream(
             rows, layout.path("gold_parts"), layout.checkpoint("gold_parts"), GOLD_KEY,
             trigger, parts, keep,
@@ -150,7 +154,7 @@ def start_latest(spark, layout, trigger=DEFAULT_TRIGGER, keys=("track_id",),
     """The newest Silver row of each key, whatever order the rows come in."""
     keys = list(keys)
     rows = latest_rows(_layer_stream(spark, layout, "silver", **options), keys, order)
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return keyed_stream(
             rows, layout.path("latest"), layout.checkpoint("latest"), keys, trigger, parts, keep
         )
@@ -167,7 +171,7 @@ def start_windows(spark, layout, name, width, delay, trigger=DEFAULT_TRIGGER, ke
         _layer_stream(spark, layout, "silver", **options), "event_timestamp", width, delay,
         keys, means, slide=slide,
     )
-    with session_conf(spark, _state_conf(state_partitions)):
+    with session_conf(spark, state_conf(state_partitions, trigger, options)):
         return append_stream(
             rows, layout.path(name), layout.checkpoint(name), trigger, layout.fmt
         )

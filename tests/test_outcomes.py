@@ -1,6 +1,7 @@
 """Side tables of the running layers, windows and keyed tables."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from rows import event, messages
 from wavelode.operators.quality import latest_per_key
 from wavelode.plans.layers import bronze, silver_seen
+from wavelode.plans.queries import outcomes
 from wavelode.plans.queries.testbed import state_partitions
 from wavelode.session import CLOSED_STATE_CONF
 from wavelode.sources.events import event_stream
@@ -201,6 +203,28 @@ def test_a_run_of_many_triggers_keeps_its_state(start):
     assert not set(CLOSED_STATE_CONF) & set(jobs.state_conf(*start))
 
 
+def test_state_of_the_newest_lines_follows_the_lines(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(
+        [(i % 3, 1, i, float(i), datetime(2024, 1 + i % 12, 2, 12)) for i in range(24)],
+        "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_extendedprice DOUBLE, "
+        "l_shipdate TIMESTAMP").write.parquet(str(tmp_path / "lineitem.parquet"))
+    started = []
+
+    def start(*args):
+        started.append(keyed_stream(*args))
+        return started[-1]
+
+    monkeypatch.setattr(outcomes, "keyed_stream", start)
+    monkeypatch.setattr(outcomes, "state_partitions", lambda rows: 11)
+    rows = outcomes.stream_latest(spark, str(tmp_path)).collect()
+    assert sorted((r.l_orderkey, r.l_partkey, r.shipped) for r in rows) == [
+        (0, 21, "2024-10-02"), (1, 22, "2024-11-02"), (2, 23, "2024-12-02")]
+    for query in started:
+        state = query.lastProgress["stateOperators"][0]
+        assert state["numShufflePartitions"] == 11
+        assert "rocksdbGetCount" in state["customMetrics"]
+
+
 def test_late_bound_reads_the_batch_before(spark, tmp_path):
     (tmp_path / "offsets").mkdir()
     write_text(spark, str(tmp_path / "offsets" / "0"), 'v1\n{"batchWatermarkMs":0}\n{}')

@@ -9,12 +9,12 @@ from wavelode.plans.queries.streams import _GOLD
 from wavelode.plans.queries.testbed import (
     EVENT_TRACKS, SILVER_WHERE, as_messages, event_tracks, state_partitions,
 )
-from wavelode.session import work_dir
+from wavelode.session import UNCOUNTED_STATE_CONF, session_conf, work_dir
 from wavelode.sources.events import event_stream
 from wavelode.sources.files import child_names, remove_path, table, table_stream
 from wavelode.streaming.jobs import (
     Layout, read_gold, read_gold_updates, read_latest, read_outcomes, start_bronze, start_gold,
-    start_gold_updates, start_latest, start_silver_outcomes, start_windows,
+    start_gold_updates, start_latest, start_silver_outcomes, start_windows, state_conf,
 )
 from wavelode.streaming.keyed import keyed_stream, latest_rows, read_keyed
 from wavelode.streaming.sinks import append_stream, numbered_children, run_stream
@@ -249,7 +249,8 @@ def stream_latest(spark, folder):
         newest = latest_rows(
             table_stream(spark, f"{path}/*", lines.schema), keys,
             ["l_shipdate", "l_extendedprice"])
-        run_stream(keyed_stream(newest, target, f"{target}-checkpoint", keys, _NOW, parts))
+        with session_conf(spark, {**state_conf(parts, _NOW), **UNCOUNTED_STATE_CONF}):
+            run_stream(keyed_stream(newest, target, f"{target}-checkpoint", keys, _NOW, parts))
     return read_keyed(spark, target).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
